@@ -8,6 +8,7 @@ Anything larger stays a shuffle join."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +18,16 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """``broadcast(df)`` when it provably has at most ``max_rows`` rows, else ``df`` unchanged."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+def bounded(df: DataFrame, max_rows: int, reuse: bool = False) -> DataFrame:
+    """``broadcast(df)`` when it provably has at most ``max_rows`` rows, else ``df`` unchanged.
+
+    With ``reuse`` (for expensive small sides) the small side is persisted (memory, spilling to disk) while it is counted,
+    so the broadcast reads the blocks the check computed instead of re-running its plan.
+    Lost blocks are recomputed from lineage; a side that fails the check is unpersisted."""
+    if reuse:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if row_count_at_most(df, max_rows):
+        return F.broadcast(df)
+    if reuse:
+        df.unpersist()
+    return df

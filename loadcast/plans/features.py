@@ -35,13 +35,18 @@ def hourly_features(
     keys = list(keys)
     l48, l168, l336 = (f"consumption_lag_{k}" for k in lags)
 
-    def apply(df: DataFrame, ks: list[str], order: str) -> DataFrame:
-        staged = df.withColumns(windows.lag_columns(value, lags, order, ks, names=[l48, l168, l336]))
+    def window_columns(ks: list[str], order: str, with_position: bool) -> dict:
+        cols = windows.lag_columns(value, lags, order, ks, names=[l48, l168, l336])
+        if exact:
+            cols.update(windows.moment_prefix_columns(value, window, gap, order, ks, scale, False, "t"))
+        if with_position:
+            cols["_pos"] = F.row_number().over(windows.spec(ks, order))
+        return cols
+
+    def finish(staged: DataFrame, ks: list[str], order: str) -> DataFrame:
         if exact:
-            tag = "t"
-            staged = staged.withColumns(windows.moment_prefix_columns(value, window, gap, order, ks, scale, False, tag))
             staged = staged.withColumns(
-                windows.moments_from_prefix(tag, scale, f"rolling_mean_{window}", f"rolling_std_{window}")
+                windows.moments_from_prefix("t", scale, f"rolling_mean_{window}", f"rolling_std_{window}")
             ).drop("_s_t", "_q_t", "_n_t")
         else:
             staged = windows.rolling_moments(staged, value, window, gap, order, ks, exact=False)
@@ -50,8 +55,12 @@ def hourly_features(
             "lag_diff_168_336": F.col(l168) - F.col(l336),
         })
 
+    def apply(df: DataFrame, ks: list[str], order: str) -> DataFrame:
+        return finish(df.withColumns(window_columns(ks, order, False)), ks, order)
+
     if block_rows is None:
-        staged = apply(long, keys, ts).withColumn("_pos", F.row_number().over(windows.spec(keys, ts)))
+        # every window expression in one projection -> one Window node over one sort
+        staged = finish(long.withColumns(window_columns(keys, ts, True)), keys, ts)
         return staged.filter(F.col("_pos") > min_history_rows).drop("_pos")
     indexed = index.row_index(long, ts, keys)
     out = index.blocked(indexed, keys, max(max(lags), window + gap), block_rows, apply)
