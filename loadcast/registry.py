@@ -491,3 +491,44 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
+
+
+# ---------------------------------------------------------------- payloads and learning
+
+
+@register("weather_xml_parse", with_views(
+    "SELECT timestamp, city, TA_PT1H_AVG, '1.0' AS WS_PT1H_AVG, '0.0' AS PRA_PT1H_ACC FROM wx_inf_raw", "wx_inf_raw"))
+def q_weather_xml(spark, sf):
+    """Land the inference feed as one WaterML document per (city, day, parameter), parse it back."""
+    raw = tv.weather_inference_raw(spark, sf)
+    long = raw.select(
+        "city", "timestamp", F.substring("timestamp", 1, 10).alias("day"),
+        F.explode(F.map_from_arrays(
+            F.array(*[F.lit(p) for p in payloads.WEATHER_PARAMETERS]),
+            F.array(*[F.col(p) for p in payloads.WEATHER_PARAMETERS]),
+        )).alias("param", "value"),
+    )
+    docs = long.groupBy("city", "day", "param").agg(
+        F.sort_array(F.collect_list(F.struct("timestamp", "value"))).alias("pts")
+    ).select(
+        "city",
+        payloads.timeseries_xml(F.concat(F.lit("obs-obs-1-1-"), F.col("param")), F.col("pts.timestamp"), F.col("pts.value")).alias("xml"),
+    )
+    return payloads.weather_xml_rows(docs)
+
+
+@register("gbt_forecast")
+def q_gbt_forecast(spark, sf):
+    """Boosted trees trained on the hourly training set (without weather), validation from the
+    cutoff, then refitted; predicts the 48 h inference window."""
+    from loadcast.plans import ml
+
+    split = _split(spark, sf)
+    cal = _calendar_hourly(spark, sf)
+    cal_train, cal_inf = calendar.split_calendar_hourly(cal, tv.INFER_START, tv.INFER_END, ts_type=TS)
+    price_train, price_inf = price.split_price(_price_features(spark, sf), tv.INFER_START, tv.INFER_END, ts_type=TS)
+    dims = _groups(spark, sf)
+    train = gold.build_gold(split.train, dims, cal_train, price=price_train, weather_mode="none")
+    infer = gold.build_gold(split.inference, dims, cal_inf, price=price_inf, weather_mode="none")
+    model = ml.train_forecaster(train, ml.categorical_columns(False), cutoff=tv.VALID_CUTOFF, max_iter=20)
+    return model.predict(infer).select("timestamp_utc", "group_id", "target_consumption")

@@ -5,16 +5,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 CALENDAR_PAYLOAD_SCHEMA = "map<string, struct<desc: string, working_day: boolean>>"
 
 # The weather parameters requested per city.
 WEATHER_PARAMETERS = ("TA_PT1H_AVG", "WS_PT1H_AVG", "PRA_PT1H_ACC")
 
-TIMESERIES_XML_SCHEMA = (
-    "struct<_gml:id: string, "
-    "`wml2:point`: array<struct<`wml2:MeasurementTVP`: struct<`wml2:time`: string, `wml2:value`: string>>>>"
-)
+# WaterML element names (namespace prefixes are part of the tag names).
+TIMESERIES_XML_SCHEMA = StructType([
+    StructField("_gml:id", StringType()),
+    StructField("wml2:point", ArrayType(StructType([
+        StructField("wml2:MeasurementTVP", StructType([
+            StructField("wml2:time", StringType()),
+            StructField("wml2:value", StringType()),
+        ])),
+    ]))),
+])
 
 
 def calendar_payload_rows(df: DataFrame, payload: str = "payload") -> DataFrame:
@@ -28,7 +35,7 @@ def weather_xml_rows(df: DataFrame, xml: str = "xml", city: str = "city",
     """One ``wml2:MeasurementTimeseries`` document per row -> one row per (city, time) with one
     string column per parameter. The parameter is the last ``-`` token of the series ``gml:id``."""
     parsed = df.select(F.col(city).alias("city"), F.from_xml(F.col(xml), TIMESERIES_XML_SCHEMA).alias("ts"))
-    param = F.element_at(F.split(F.col("ts._gml:id"), "-"), -1)
+    param = F.element_at(F.split(F.col("ts.`_gml:id`"), "-"), -1)
     points = parsed.select("city", param.alias("param"), F.explode("ts.`wml2:point`").alias("p"))
     tvp = points.select(
         "city", "param",
