@@ -10,10 +10,13 @@ from loadcast.plans.deliver import decimal_comma_projection
 
 
 def write_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "parquet",
-                partition_by: Sequence[str] | None = None) -> None:
-    """Overwrite (by default) a managed table; ``partition_by`` enables partition pruning for
-    later time/split filters. Replaces both the DataFrame writes and ``CREATE OR REPLACE TABLE AS``."""
+                partition_by: Sequence[str] | None = None, path: str | None = None) -> None:
+    """Overwrite (by default) a table; ``partition_by`` enables partition pruning for later
+    time/split filters; ``path`` makes it an external table at a shared location. Replaces both
+    the DataFrame writes and ``CREATE OR REPLACE TABLE AS``."""
     writer = df.write.mode(mode).format(fmt)
+    if path:
+        writer = writer.option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)

@@ -1,0 +1,2 @@
+"""No streaming operators: the modelled pipeline reads and overwrites tables in batch only
+(no stream sources, watermarks or stateful operators exist to reproduce)."""
