@@ -13,6 +13,8 @@ from loadcast.operators import index, spine, splits, windows
 TARGET_LAGS = (48, 168, 336)
 ROLLING_WINDOW = 168
 MIN_HISTORY_ROWS = 336
+# Rows per block of the default (skew-safe) plan: bounds the rows one window task buffers.
+DEFAULT_BLOCK_ROWS = 1 << 16
 
 FEATURE_COLUMNS = (
     "consumption_lag_48", "consumption_lag_168", "consumption_lag_336",
@@ -23,15 +25,18 @@ FEATURE_COLUMNS = (
 def hourly_features(
     long: DataFrame, keys=("group_id",), ts: str = "timestamp_utc", value: str = "target_consumption",
     lags=TARGET_LAGS, window: int = ROLLING_WINDOW, gap: int = 1, min_history_rows: int = MIN_HISTORY_ROWS,
-    scale: int = 2, exact: bool = True, block_rows: int | None = None,
+    scale: int = 2, exact: bool = True, block_rows: int | None = DEFAULT_BLOCK_ROWS,
 ) -> DataFrame:
     """Positional lags 48/168/336, trailing mean/std over the 168 rows before each row
     (``gap=1``; ``gap=48`` gives a leak-free variant for a 48 h horizon), lag differences,
     then the first ``min_history_rows`` rows of each group removed.
 
-    Default plan: one exchange by group, one sort, one Window node (plus a projection).
-    ``block_rows`` switches to the blocked plan (``operators.index``) for groups that may
-    be too large for one task."""
+    Default plan (``block_rows`` set): exact positions per group from a (group, day) row
+    number plus per-day offsets, then windows per (group, block of ``block_rows`` positions)
+    with 336 rows of history copied in - a hot group is split into bounded tasks and the
+    parallelism does not depend on the number of groups. Two shuffles of the rows.
+    ``block_rows=None``: one exchange by group, one sort, one Window node - the cheaper plan
+    when groups are many and each is small (e.g. one row per group and hour)."""
     keys = list(keys)
     l48, l168, l336 = (f"consumption_lag_{k}" for k in lags)
 

@@ -256,6 +256,12 @@ def q_hourly_features(spark, sf):
     return _features(spark, sf)
 
 
+@register("hourly_features_per_group", with_views("SELECT * FROM feat", "feat"))
+def q_hourly_features_per_group(spark, sf):
+    """Same result through the single-shuffle plan (one window per group)."""
+    return features.hourly_features(tv.consumption_long(spark, sf), block_rows=None)
+
+
 @register("hourly_features_blocked", with_views("SELECT * FROM feat", "feat"))
 def q_hourly_features_blocked(spark, sf):
     """Same result as ``hourly_features`` through the blocked (hot-group-safe) plan."""

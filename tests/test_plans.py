@@ -24,7 +24,8 @@ def test_no_cartesian_nested_loop_or_python(spark, name):
         assert bad not in text, f"{name}: {bad}"
 
 
-@pytest.mark.parametrize("name", ["global_lag_features", "drop_head_global", "hourly_features", "gold_hourly_with_weather",
+@pytest.mark.parametrize("name", ["global_lag_features", "drop_head_global", "hourly_features", "hourly_features_per_group",
+                                  "gold_hourly_with_weather",
                                   "supplier_daily_features_blocked", "calendar_hourly"])
 def test_rows_never_funnel_into_one_partition(spark, name):
     """SinglePartition exchanges may only carry a keyless partial aggregate (one row per task)
@@ -39,7 +40,7 @@ def test_rows_never_funnel_into_one_partition(spark, name):
 
 
 def test_hourly_features_use_one_exchange_one_window(spark):
-    text = plan(QUERIES["hourly_features"](spark, SF_SMALL))
+    text = plan(QUERIES["hourly_features_per_group"](spark, SF_SMALL))
     window_part = text.split("Window")[0]
     assert text.count("Window [") + text.count("Window(") >= 1
     assert len(re.findall(r"\bWindow\b", text)) == 1, text

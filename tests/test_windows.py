@@ -115,7 +115,7 @@ def test_blocked_features_equal_plain_features(spark):
     rnd = random.Random(11)
     vals = [round(rnd.uniform(0, 20), 2) for _ in range(900)]
     df = series(spark, vals, keys=("g1", "g2")).withColumn("group_id", F.substring("group_id", 2, 1).cast("int"))
-    plain = features.hourly_features(df)
+    plain = features.hourly_features(df, block_rows=None)
     blocked = features.hourly_features(df, block_rows=400)
     cols = ["timestamp_utc", "group_id", *features.FEATURE_COLUMNS]
     assert plain.count() == 2 * (900 - 336)
