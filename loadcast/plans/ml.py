@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
+from loadcast.session import ensure_checkpoint_dir
+
 # Categorical features of the hourly/monthly datasets (weather_key first when used).
 BASE_CATEGORICALS = ("group_id", "desc", "macro_region", "region", "municipality", "segment", "product_type",
                      "consumption_bucket")
@@ -94,6 +96,7 @@ def train_forecaster(
 ) -> Forecaster:
     """Fit on rows with a known target. With ``cutoff``, rows ``ts >= cutoff`` drive early stopping
     and give the validation MAE; the returned model is refitted on all rows for ``max_iter`` rounds."""
+    ensure_checkpoint_dir(df.sparkSession)
     labelled = df.filter(F.col(target).isNotNull() & ~F.isnan(F.col(target)))
     cats = [c for c in categoricals if c in df.columns]
     numeric = [c for c in feature_columns(df, target, ts) if c not in cats
@@ -112,9 +115,12 @@ def train_forecaster(
 
     def gbt(validation: bool) -> GBTRegressor:
         extra = {"validationIndicatorCol": "_is_valid", "validationTol": validation_tol} if validation else {}
+        # checkpointInterval: boosting state is checkpointed to spark.checkpoint.dir every 10 rounds,
+        # so a lost executor does not replay the whole iteration lineage
         return GBTRegressor(featuresCol="features", labelCol=target, maxIter=max_iter, stepSize=step_size,
                             maxDepth=max_depth, subsamplingRate=subsampling_rate, featureSubsetStrategy=feature_subset,
-                            seed=seed, maxBins=max(32, arity), lossType="squared", **extra)
+                            seed=seed, maxBins=max(32, arity), lossType="squared", checkpointInterval=10,
+                            cacheNodeIds=True, **extra)
 
     mae = None
     if cutoff is not None:

@@ -35,6 +35,11 @@ def weather_xml_rows(df: DataFrame, xml: str = "xml", city: str = "city",
     """One ``wml2:MeasurementTimeseries`` document per row -> one row per (city, time) with one
     string column per parameter. The parameter is the last ``-`` token of the series ``gml:id``."""
     parsed = df.select(F.col(city).alias("city"), F.from_xml(F.col(xml), TIMESERIES_XML_SCHEMA).alias("ts"))
+    return timeseries_rows(parsed, parameters)
+
+
+def timeseries_rows(parsed: DataFrame, parameters=WEATHER_PARAMETERS) -> DataFrame:
+    """``(city, ts struct)`` parsed series -> one row per (city, time), one column per parameter."""
     param = F.element_at(F.split(F.col("ts.`_gml:id`"), "-"), -1)
     points = parsed.select("city", param.alias("param"), F.explode("ts.`wml2:point`").alias("p"))
     tvp = points.select(
