@@ -22,6 +22,13 @@ BLOCK = "_blk"
 HALO = "_halo"
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``cols`` where NULL keys match each other (``<=>``; still a hash/sort-merge key)."""
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") for c in cols], *[c for c in right.columns if c not in cols])
+    cond = [left[c].eqNullSafe(renamed[f"_r_{c}"]) for c in cols]
+    return left.join(renamed, cond, how).drop(*[f"_r_{c}" for c in cols])
+
+
 def row_index(
     df: DataFrame, order: str, keys: Sequence[str] = (), bucket: Column | None = None, name: str = IDX,
     with_count: bool = False,
@@ -39,7 +46,7 @@ def row_index(
         F.coalesce(F.sum("_n").over(running.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
         *([F.sum("_n").over(Window.partitionBy(*keys)).alias("_cnt")] if with_count else []),
     )
-    joined = local.join(offsets, [*keys, "_bkt"])
+    joined = _join_null_safe(local, offsets, [*keys, "_bkt"])
     extra = ["_cnt"] if with_count else []
     return joined.select(*df.columns, (F.col("_off") + F.col("_rn")).alias(name), *extra)
 
@@ -97,3 +104,25 @@ def drop_tail_positional(
     """Remove the latest ``n`` rows per key, distributed."""
     indexed = row_index(df, order, keys, bucket, with_count=True)
     return indexed.filter(F.col(IDX) <= F.col("_cnt") - n).drop(IDX, "_cnt")
+
+
+def forward_fill_split(
+    df: DataFrame, value: str, order: str, keys: Sequence[str] = (), out: str | None = None,
+    bucket: Column | None = None,
+) -> DataFrame:
+    """Exact forward fill (last non-NULL up to and including the row, timestamp peers included)
+    without one task per key: fill inside each (key, day), then carry in the last non-NULL
+    value of the earlier days from a per-(key, day) summary table (one row per key and day)."""
+    out = out or value
+    b = bucket if bucket is not None else F.date_trunc("day", F.col(order))
+    keyed = df.withColumn("_bkt", b)
+    local_w = Window.partitionBy(*keys, "_bkt").orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    local = keyed.withColumn("_local", F.last(value, ignorenulls=True).over(local_w))
+    last_in_bucket = keyed.groupBy(*keys, "_bkt").agg(
+        F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.col(order))).alias("_last")
+    )
+    earlier = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last_in_bucket.select(*keys, "_bkt", F.last("_last", ignorenulls=True).over(earlier).alias("_carry"))
+    joined = _join_null_safe(local, carry, [*keys, "_bkt"], "left")
+    cols = [c for c in df.columns if c != out]
+    return joined.select(*cols, F.coalesce(F.col("_local"), F.col("_carry")).alias(out))

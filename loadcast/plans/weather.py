@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadcast.functions import assemble_timestamp, key_from_prefix, normalize_name, tolerant_double, to_ts
-from loadcast.operators import spine, windows
+from loadcast.operators import index, spine, windows
 
 # The weather keys (3-letter station/city prefixes), in their documented order.
 WEATHER_KEYS = ("HEL", "TUR", "TAM", "JOE", "JYV", "KUO", "LAH", "LAP", "OUL", "ROV", "VAA", "HAM", "ESP", "SEI", "VAN", "POR")
@@ -70,19 +70,32 @@ def prepare_weather_training(long: DataFrame, ts_type: str = "timestamp") -> Dat
 
 def weather_features(
     obs: DataFrame, min_ts, max_ts, min_history_rows: int = MIN_HISTORY_ROWS, ts_type: str = "timestamp",
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Complete hourly weather features per key over ``[min_ts, max_ts]`` (inclusive):
     key x hour grid left-joined with observations, ``temperature_missing_flag``, forward
     fill, lags 24/48/168 of the filled series, raw columns dropped, first rows per key removed.
-    One exchange for the grid join, one for the window (both keyed by weather_key)."""
+
+    Default: per-key windows (a weather key holds one row per hour of the span).
+    ``block_rows``: the split plan - forward fill per (key, day) with carried-in values, lags
+    per (key, block) with 168 rows of history, head drop by exact position."""
+    lag_names = [f"temp_lag_{k}" for k in TEMP_LAGS]
     dense = spine.densify(obs, ["weather_key"], min_ts, max_ts, ts_type=ts_type)
     flagged = dense.withColumn("temperature_missing_flag", F.when(F.col("temperature").isNull(), 1).otherwise(0))
-    filled = windows.forward_fill(flagged, "temperature", keys=["weather_key"], out="temperature_filled")
-    lagged = windows.lag_features(
-        filled, "temperature_filled", TEMP_LAGS, keys=["weather_key"], names=[f"temp_lag_{k}" for k in TEMP_LAGS]
-    )
-    trimmed = windows.drop_head(lagged.drop("temperature", "temperature_filled"), min_history_rows, keys=["weather_key"])
-    return trimmed.select("weather_key", "timestamp_utc", "temperature_missing_flag", *[f"temp_lag_{k}" for k in TEMP_LAGS])
+    if block_rows is None:
+        filled = windows.forward_fill(flagged, "temperature", keys=["weather_key"], out="temperature_filled")
+        lagged = windows.lag_features(filled, "temperature_filled", TEMP_LAGS, keys=["weather_key"], names=lag_names)
+        trimmed = windows.drop_head(lagged, min_history_rows, keys=["weather_key"])
+    else:
+        filled = index.forward_fill_split(flagged, "temperature", "timestamp_utc", ["weather_key"], out="temperature_filled")
+        indexed = index.row_index(filled, "timestamp_utc", ["weather_key"])
+
+        def apply(d: DataFrame, ks: list[str], o: str) -> DataFrame:
+            return d.withColumns(windows.lag_columns("temperature_filled", TEMP_LAGS, o, ks, names=lag_names))
+
+        lagged = index.blocked(indexed, ["weather_key"], max(TEMP_LAGS), block_rows, apply)
+        trimmed = lagged.filter(F.col(index.IDX) > min_history_rows)
+    return trimmed.select("weather_key", "timestamp_utc", "temperature_missing_flag", *lag_names)
 
 
 def drop_latest_horizon(df: DataFrame, horizon: int = FORECAST_HORIZON) -> DataFrame:

@@ -319,6 +319,23 @@ def q_weather_features(spark, sf):
     return _weather_training(spark, sf)
 
 
+@register("weather_features_split", with_views("SELECT * FROM wx_train_feat", "wx_train_feat"))
+def q_weather_features_split(spark, sf):
+    """Same result as ``weather_features`` through the split plan (day-bucket fill, blocked lags)."""
+    long = weather.build_weather_long(tv.weather_landing(spark, sf), "source_table")
+    obs = weather.prepare_weather_training(long, ts_type=TS)
+    feats = weather.weather_features(obs, tv.WX_MIN, tv.WX_MAX, ts_type=TS, block_rows=256)
+    return index.drop_tail_positional(feats, weather.FORECAST_HORIZON, "timestamp_utc", ["weather_key"])
+
+
+@register("forward_fill_split", with_views(
+    "SELECT *, last_value(temperature IGNORE NULLS) OVER (PARTITION BY weather_key ORDER BY timestamp_utc "
+    "RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS temperature_filled FROM wx_inf_dense", "wx_inf_dense"))
+def q_forward_fill_split(spark, sf):
+    dense = spine.densify(_weather_inference(spark, sf), ["weather_key"], tv.WX_MIN, tv.WX_MAX, ts_type=TS)
+    return index.forward_fill_split(dense, "temperature", "timestamp_utc", ["weather_key"], out="temperature_filled")
+
+
 # ---------------------------------------------------------------- joins and gold
 
 
@@ -536,5 +553,5 @@ def q_gbt_forecast(spark, sf):
     dims = _groups(spark, sf)
     train = gold.build_gold(split.train, dims, cal_train, price=price_train, weather_mode="none")
     infer = gold.build_gold(split.inference, dims, cal_inf, price=price_inf, weather_mode="none")
-    model = ml.train_forecaster(train, ml.categorical_columns(False), cutoff=tv.VALID_CUTOFF, max_iter=20)
+    model = ml.train_forecaster(train, ml.categorical_columns(False), cutoff=tv.VALID_CUTOFF, max_iter=10)
     return model.predict(infer).select("timestamp_utc", "group_id", "target_consumption")

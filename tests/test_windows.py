@@ -126,3 +126,12 @@ def test_blocked_rejects_short_blocks(spark):
     df = index.row_index(series(spark, [1.0, 2.0]), "timestamp_utc", ["group_id"])
     with pytest.raises(ValueError):
         index.blocked(df, ["group_id"], 10, 5, lambda d, k, o: d)
+
+
+def test_split_operators_keep_null_keys(spark):
+    rows = [(None, T0 + dt.timedelta(days=d, hours=h), 1.0 if (d, h) == (0, 0) else None) for d in range(3) for h in range(2)]
+    df = spark.createDataFrame(rows, "group_id string, timestamp_utc timestamp_ntz, target_consumption double")
+    idx = index.row_index(df, "timestamp_utc", ["group_id"])
+    assert sorted(r[0] for r in idx.select(index.IDX).collect()) == [1, 2, 3, 4, 5, 6]
+    filled = index.forward_fill_split(df, "target_consumption", "timestamp_utc", ["group_id"], out="f")
+    assert [r[0] for r in filled.select("f").collect()] == [1.0] * 6
