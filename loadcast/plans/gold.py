@@ -65,3 +65,36 @@ def build_gold(
         cols.extend(WEATHER_COLUMNS)
     cols.extend(CALENDAR_COLUMNS)
     return out.select(*cols)
+
+
+def gold_sql(
+    consumption: str, groups: str, calendar: str, price: str | None = None, weather: str | None = None,
+    bridge: str | None = None, weather_mode: str = "none", hourly_features: bool = True,
+) -> str:
+    """The same dataset as ``build_gold`` as one Spark SQL statement over named tables or views
+    (for SQL-first users and ``CREATE TABLE ... AS``). Catalyst plans it like the DataFrame form;
+    broadcast decisions are left to the size estimates and AQE."""
+    fact = ["timestamp_utc", "group_id", "target_consumption", *(FEATURE_COLUMNS if hourly_features else ())]
+    sel = [f"c.{c}" for c in fact] + [f"g.{c}" for c in GROUP_ATTRIBUTES]
+    joins = [f"LEFT JOIN {groups} g ON c.group_id = g.group_id"]
+    if weather_mode in ("join", "null"):
+        sel.append("b.weather_key")
+        joins.append(f"LEFT JOIN {bridge} b ON c.group_id = b.group_id")
+    if price is not None:
+        sel += [f"p.{c}" for c in PRICE_COLUMNS]
+        joins.append(f"LEFT JOIN {price} p ON c.timestamp_utc = p.timestamp_utc")
+    if weather_mode == "join":
+        sel += [f"w.{c}" for c in WEATHER_COLUMNS]
+        joins.append(f"LEFT JOIN {weather} w ON c.timestamp_utc = w.timestamp_utc AND b.weather_key = w.weather_key")
+    elif weather_mode == "null":
+        sel += ["CAST(NULL AS INT) AS temperature_missing_flag"] + [f"CAST(NULL AS DOUBLE) AS {c}" for c in WEATHER_COLUMNS[1:]]
+    sel += [f"cal.`{c}`" for c in CALENDAR_COLUMNS]
+    joins.append(f"LEFT JOIN {calendar} cal ON c.timestamp_utc = cal.timestamp_utc")
+    return "SELECT " + ", ".join(sel) + f" FROM {consumption} c " + " ".join(joins)
+
+
+def create_gold_table(spark, target: str, select_sql: str, fmt: str = "parquet") -> None:
+    """``CREATE TABLE target AS select`` after dropping the old table (replace-as-select is not
+    available for file-source tables in the session catalog)."""
+    spark.sql(f"DROP TABLE IF EXISTS {target}")
+    spark.sql(f"CREATE TABLE {target} USING {fmt} AS {select_sql}")

@@ -424,6 +424,21 @@ def q_gold_without_weather(spark, sf):
     return gold.build_gold(_split(spark, sf).train, _groups(spark, sf), cal_train, price=price_train, weather_mode="none")
 
 
+@register("gold_hourly_without_weather_sql", ORACLES["gold_hourly_without_weather"])
+def q_gold_without_weather_sql(spark, sf):
+    """The without-weather training set through Spark SQL over temp views of the silver frames."""
+    import uuid
+
+    cal_train, _ = calendar.split_calendar_hourly(_calendar_hourly(spark, sf), tv.INFER_START, tv.INFER_END, ts_type=TS)
+    price_train, _ = price.split_price(_price_features(spark, sf), tv.INFER_START, tv.INFER_END, ts_type=TS)
+    tag = uuid.uuid4().hex[:8]
+    names = {}
+    for role, df in {"cons": _split(spark, sf).train, "grp": _groups(spark, sf), "cal": cal_train, "price": price_train}.items():
+        names[role] = f"lc_{role}_{tag}"
+        df.createOrReplaceTempView(names[role])
+    return spark.sql(gold.gold_sql(names["cons"], names["grp"], names["cal"], price=names["price"], weather_mode="none"))
+
+
 @register("gold_monthly", with_views(
     f"SELECT c.timestamp_utc, c.group_id, c.target_consumption, {GROUP_COLS}, {CAL_COLS} FROM cons c "
     "LEFT JOIN groups g ON c.group_id = g.group_id LEFT JOIN cal_hourly cal ON c.timestamp_utc = cal.timestamp_utc",

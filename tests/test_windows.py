@@ -135,3 +135,29 @@ def test_split_operators_keep_null_keys(spark):
     assert sorted(r[0] for r in idx.select(index.IDX).collect()) == [1, 2, 3, 4, 5, 6]
     filled = index.forward_fill_split(df, "target_consumption", "timestamp_utc", ["group_id"], out="f")
     assert [r[0] for r in filled.select("f").collect()] == [1.0] * 6
+
+
+def test_hot_group_is_spread_over_many_tasks(spark):
+    """One group with ~99% of the rows: the blocked plan windows it in many partitions."""
+    hot = [(1, T0 + dt.timedelta(hours=h), float(h % 7)) for h in range(6000)]
+    cold = [(g, T0 + dt.timedelta(hours=h), 1.0) for g in range(2, 6) for h in range(20)]
+    df = spark.createDataFrame(hot + cold, "group_id int, timestamp_utc timestamp_ntz, target_consumption double")
+    prev = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        indexed = index.row_index(df, "timestamp_utc", ["group_id"])
+
+        def apply(d, ks, o):
+            return d.withColumns(windows.lag_columns("target_consumption", [48], o, ks, names=["l48"])).withColumn(
+                "_pid", F.spark_partition_id())
+
+        out = index.blocked(indexed, ["group_id"], 48, 500, apply)
+        # keep the lag in the projection: otherwise the unused window (and its exchange) is pruned away
+        hot_rows = out.filter("group_id = 1").select("l48", "_pid").collect()
+        pids = len({r["_pid"] for r in hot_rows})
+        assert len(hot_rows) == 6000 and pids >= 5, pids
+        plain = windows.lag_features(df, "target_consumption", [48], keys=["group_id"], names=["l48"])
+        assert sorted(map(tuple, out.select("group_id", "timestamp_utc", "l48").collect())) == \
+            sorted(map(tuple, plain.select("group_id", "timestamp_utc", "l48").collect()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
