@@ -31,3 +31,17 @@ def bounded(df: DataFrame, max_rows: int, reuse: bool = False) -> DataFrame:
     if reuse:
         df.unpersist()
     return df
+
+
+def bounded_all(frames: dict[str, DataFrame], max_rows: int) -> dict[str, DataFrame]:
+    """``bounded`` for several small sides with ONE job: the ``limit(max_rows + 1)`` counts of all
+    sides run as branches of a single union, so their plans execute concurrently."""
+    if not frames:
+        return {}
+    names = list(frames)
+    probes = [frames[n].limit(max_rows + 1).select(F.lit(i).alias("_side")) for i, n in enumerate(names)]
+    union = probes[0]
+    for p in probes[1:]:
+        union = union.unionByName(p)
+    counts = {r["_side"]: r["n"] for r in union.groupBy("_side").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return {n: F.broadcast(frames[n]) if counts.get(i, 0) <= max_rows else frames[n] for i, n in enumerate(names)}

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadcast.operators.joins import bounded
+from loadcast.operators.joins import bounded_all
 from loadcast.plans.features import FEATURE_COLUMNS
 from loadcast.plans.groups import GROUP_ATTRIBUTES
 
@@ -41,20 +41,28 @@ def build_gold(
     fact_cols = [ts, gid, "target_consumption", *(FEATURE_COLUMNS if hourly_features else ())]
     out = consumption.select(*fact_cols)
 
-    out = out.join(bounded(groups.select(gid, *GROUP_ATTRIBUTES), max_dim_rows), gid, "left")
+    sides = {"groups": groups.select(gid, *GROUP_ATTRIBUTES), "calendar": calendar.select(ts, *CALENDAR_COLUMNS)}
     if weather_mode in ("join", "null"):
-        out = out.join(bounded(bridge.select(gid, "weather_key"), max_dim_rows), gid, "left")
+        sides["bridge"] = bridge.select(gid, "weather_key")
     if price is not None:
-        out = out.join(bounded(price.select(ts, *PRICE_COLUMNS), max_dim_rows), ts, "left")
+        sides["price"] = price.select(ts, *PRICE_COLUMNS)
     if weather_mode == "join":
-        wx = weather.select(ts, "weather_key", *WEATHER_COLUMNS)
-        out = out.join(bounded(wx, max_dim_rows), [ts, "weather_key"], "left")
+        sides["weather"] = weather.select(ts, "weather_key", *WEATHER_COLUMNS)
+    small = bounded_all(sides, max_dim_rows)  # one job proves every bound
+
+    out = out.join(small["groups"], gid, "left")
+    if "bridge" in small:
+        out = out.join(small["bridge"], gid, "left")
+    if "price" in small:
+        out = out.join(small["price"], ts, "left")
+    if "weather" in small:
+        out = out.join(small["weather"], [ts, "weather_key"], "left")
     elif weather_mode == "null":
         out = out.withColumns({
             "temperature_missing_flag": F.lit(None).cast("int"),
             **{c: F.lit(None).cast("double") for c in WEATHER_COLUMNS[1:]},
         })
-    out = out.join(bounded(calendar.select(ts, *CALENDAR_COLUMNS), max_dim_rows), ts, "left")
+    out = out.join(small["calendar"], ts, "left")
 
     cols = [*fact_cols, *GROUP_ATTRIBUTES]
     if weather_mode in ("join", "null"):
