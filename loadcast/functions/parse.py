@@ -17,8 +17,11 @@ def _col(c: str | Column) -> Column:
 
 
 def to_ts(c: str | Column, ts_type: str = "timestamp") -> Column:
-    """Strict cast of a string/timestamp column to ``timestamp`` (session TZ) or ``timestamp_ntz``."""
-    return _col(c).cast(ts_type)
+    """Strict cast of a string/timestamp column to ``timestamp`` (session TZ) or ``timestamp_ntz``.
+    NTZ goes through ``timestamp`` so an explicit offset in the text (``Z``, ``+02:00``) is applied
+    (the session zone is pinned to UTC, so zone-less text keeps its wall clock)."""
+    ts = _col(c).cast("timestamp")
+    return ts.cast("timestamp_ntz") if ts_type == "timestamp_ntz" else ts.cast(ts_type)
 
 
 def trunc_ts(unit: str, c: str | Column, ts_type: str = "timestamp") -> Column:

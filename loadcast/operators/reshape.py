@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loadcast.functions.parse import to_ts
+
 
 def to_long(
     df: DataFrame,
@@ -25,7 +27,7 @@ def to_long(
     no action). Runs as an Expand node fused into the scan stage: no shuffle."""
     cols = list(value_cols) if value_cols is not None else [c for c in df.columns if c != id_col]
     typed = df.select(
-        F.col(id_col).cast(ts_type).alias(ts_name),
+        to_ts(F.col(id_col), ts_type).alias(ts_name),
         *[F.col(f"`{c}`").cast(value_type).alias(c) for c in cols],
     )
     long = typed.unpivot([ts_name], cols, key_name, value_name)

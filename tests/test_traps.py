@@ -140,3 +140,10 @@ def test_weather_null_variant_keeps_bridge_and_blanks_weather(spark):
     out = gold.build_gold(fact, groups, cal, bridge=bridge, weather_mode="null").first()
     assert out["weather_key"] == "HEL" and out["temperature_missing_flag"] is None and out["temp_lag_24"] is None
     assert out["hour_of_day"] == 0
+
+
+def test_iso_offsets_are_applied_when_parsing(spark):
+    from loadcast.functions import to_ts
+    df = spark.createDataFrame([("2024-01-05T07:00:00Z",), ("2024-01-05T09:00:00+02:00",), ("2024-01-05 07:00:00",)], "x string")
+    got = {r[0] for r in df.select(to_ts("x", "timestamp_ntz")).collect()}
+    assert got == {dt.datetime(2024, 1, 5, 7, 0)}
