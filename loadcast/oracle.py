@@ -7,9 +7,11 @@ the same final double formula, so results agree bit for bit."""
 
 from __future__ import annotations
 
+from loadcast.plans.weather import WEATHER_KEYS
 from loadcast.sources import testviews as tv
 
 G = tv.N_GROUPS
+KEYS_SQL = ", ".join(f"'{k}'" for k in WEATHER_KEYS)
 
 
 def _pick(values: list[str], idx: str) -> str:
@@ -68,7 +70,7 @@ VIEWS: dict[str, str] = {
         "SELECT CAST(CAST(timestamp AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS TIMESTAMP) AS timestamp_utc, "
         "TRY_CAST(TA_PT1H_AVG AS DOUBLE) AS temperature, "
         "CASE WHEN upper(substr(translate(lower(trim(city)), 'äöå', 'aoa'), 1, 3)) IN "
-        "(" + ", ".join(f"'{k}'" for k in ("HEL", "TUR", "TAM", "JOE", "JYV", "KUO", "LAH", "LAP", "OUL", "ROV", "VAA", "HAM", "ESP", "SEI", "VAN", "POR")) + ") "
+        "(" + KEYS_SQL + ") "
         "THEN upper(substr(translate(lower(trim(city)), 'äöå', 'aoa'), 1, 3)) END AS weather_key FROM wx_inf_raw"
     ),
     "wx_inf": (
@@ -90,7 +92,7 @@ VIEWS: dict[str, str] = {
         "SELECT Havaintoasema, Vuosi, Kuukausi, \"Päivä\", CAST(hour(h) AS VARCHAR) || ':00' AS hour, "
         "TRY_CAST(temp_text AS DOUBLE) AS temperature, upper(substr(source_table, 1, 3)) AS weather_key, h "
         "FROM landing WHERE upper(substr(source_table, 1, 3)) IN ("
-        + ", ".join(f"'{k}'" for k in ("HEL", "TUR", "TAM", "JOE", "JYV", "KUO", "LAH", "LAP", "OUL", "ROV", "VAA", "HAM", "ESP", "SEI", "VAN", "POR")) + ")"
+        + KEYS_SQL + ")"
     ),
     "wx_train_obs": "SELECT h AS timestamp_utc, temperature, weather_key FROM wx_long",
     "wx_train_feat_all": (

@@ -291,6 +291,18 @@ def q_supplier_daily(spark, sf):
     return windows.drop_head(d, 28, "day", ["supplier_id"])
 
 
+@register("supplier_rolling_168", with_views(
+    "SELECT supplier_id, day, quantity, "
+    "CASE WHEN n > 0 THEN CAST(s AS DOUBLE) / (CAST(n AS DOUBLE) * CAST(100 AS DOUBLE)) END AS rolling_mean_168, "
+    "CASE WHEN n > 1 THEN sqrt(CAST(n * q - s * s AS DOUBLE) / CAST(n * (n - 1) AS DOUBLE)) / CAST(100 AS DOUBLE) END AS rolling_std_168 "
+    "FROM (SELECT *, sum(x) OVER w AS s, sum(x * x) OVER w AS q, count(x) OVER w AS n "
+    "FROM (SELECT *, CAST(round(quantity * 100) AS BIGINT) AS x FROM supplier_daily) "
+    "WINDOW w AS (PARTITION BY supplier_id ORDER BY day ROWS BETWEEN 168 PRECEDING AND 1 PRECEDING))", "supplier_daily"))
+def q_supplier_rolling(spark, sf):
+    """The reference's trailing frame (168 rows before) on the largest derived series."""
+    return windows.rolling_moments(tv.supplier_daily(spark, sf), "quantity", 168, 1, "day", ["supplier_id"])
+
+
 @register("supplier_daily_features_blocked", with_views(SUPPLIER_ORACLE, "supplier_daily"))
 def q_supplier_daily_blocked(spark, sf):
     """Positional index per supplier (month buckets), then 64-row blocks with 28 rows of history."""

@@ -46,15 +46,15 @@ BUCKETS = ["Low", "Medium", "High"]
 BRIDGE_KEYS = ["HEL", "TAM", "TUR", "OUL", "VAA"]
 
 
-_READS: dict[tuple[str, str], DataFrame] = {}
+_READS: dict[tuple[str, int, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The driver table (one resolved scan per application and path: plans are immutable, so
     the same read is shared by every view instead of re-resolving the file each time)."""
-    key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
+    key = (spark.sparkContext.applicationId, id(spark), f"{sf_dir}/{name}.parquet")
     if key not in _READS:
-        _READS[key] = spark.read.parquet(key[1])
+        _READS[key] = spark.read.parquet(key[2])
     return _READS[key]
 
 
