@@ -26,6 +26,7 @@ def hourly_features(
     long: DataFrame, keys=("group_id",), ts: str = "timestamp_utc", value: str = "target_consumption",
     lags=TARGET_LAGS, window: int = ROLLING_WINDOW, gap: int = 1, min_history_rows: int = MIN_HISTORY_ROWS,
     scale: int = 2, exact: bool = True, block_rows: int | None = DEFAULT_BLOCK_ROWS,
+    densify: tuple | None = None, ts_type: str = "timestamp",
 ) -> DataFrame:
     """Positional lags 48/168/336, trailing mean/std over the 168 rows before each row
     (``gap=1``; ``gap=48`` gives a leak-free variant for a 48 h horizon), lag differences,
@@ -36,8 +37,11 @@ def hourly_features(
     with 336 rows of history copied in - a hot group is split into bounded tasks and the
     parallelism does not depend on the number of groups. Two shuffles of the rows.
     ``block_rows=None``: one exchange by group, one sort, one Window node - the cheaper plan
-    when groups are many and each is small (e.g. one row per group and hour)."""
+    when groups are many and each is small (e.g. one row per group and hour).
+    ``densify=(start, end)``: fill the hourly grid first, so lags are temporal on gapped data."""
     keys = list(keys)
+    if densify is not None:  # temporal lags: every group gets every hour of the span (missing hours -> NULL rows)
+        long = spine.densify(long, keys, densify[0], densify[1], ts, ts_type=ts_type)
     l48, l168, l336 = (f"consumption_lag_{k}" for k in lags)
 
     def window_columns(ks: list[str], order: str, with_position: bool) -> dict:

@@ -95,7 +95,8 @@ def test_t18_t19_inner_joins_zero_actuals_and_zero_baseline_mape(spark):
     p, a, b = _eval_frames(spark, [(0, 1, 10.0), (1, 1, 0.0), (0, 2, 5.0)],
                            [(0, 1, 11.0), (1, 1, 1.0), (0, 2, 5.0)],
                            [(0, 1, 10.0), (1, 1, 2.0)])
-    r = evaluate.evaluate(p, a, b).first()
+    r = evaluate.evaluate(p, a, b, with_counts=True).first()
+    assert r["matched_rows"] == 2
     assert r["prediction_MAE"] == pytest.approx(1.0)
     assert r["baseline_MAE"] == pytest.approx(1.0)
     assert r["prediction_MAPE_percent"] == pytest.approx(10.0)
@@ -147,3 +148,15 @@ def test_iso_offsets_are_applied_when_parsing(spark):
     df = spark.createDataFrame([("2024-01-05T07:00:00Z",), ("2024-01-05T09:00:00+02:00",), ("2024-01-05 07:00:00",)], "x string")
     got = {r[0] for r in df.select(to_ts("x", "timestamp_ntz")).collect()}
     assert got == {dt.datetime(2024, 1, 5, 7, 0)}
+
+
+def test_t1_densify_option_makes_lags_temporal(spark):
+    rows = [(1, T0 + dt.timedelta(hours=h), float(h)) for h in range(400) if h != 350]
+    df = spark.createDataFrame(rows, "group_id int, timestamp_utc timestamp_ntz, target_consumption double")
+    pos = {r["timestamp_utc"]: r for r in features.hourly_features(df).collect()}
+    tmp = {r["timestamp_utc"]: r for r in features.hourly_features(
+        df, densify=("2024-01-01 00:00:00", "2024-01-17 15:00:00"), ts_type="timestamp_ntz").collect()}
+    t = T0 + dt.timedelta(hours=360)
+    assert tmp[t]["consumption_lag_48"] == 312.0          # 48 hours earlier
+    assert pos[t]["consumption_lag_48"] == 311.0          # 48 rows earlier (one hour missing)
+    assert tmp[T0 + dt.timedelta(hours=350)]["target_consumption"] is None
