@@ -121,3 +121,19 @@ def drop_tail(df: DataFrame, n: int, order: str = "timestamp_utc", keys: Sequenc
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     staged = df.withColumns({"_rn": F.row_number().over(w), "_cnt": F.count(F.lit(1)).over(whole)})
     return staged.filter(F.col("_rn") <= F.col("_cnt") - n).drop("_rn", "_cnt")
+
+
+def temporal_lags(
+    df: DataFrame, value: str, hours, ts: str = "timestamp_utc", keys: Sequence[str] = (),
+    names: Sequence[str] | None = None,
+) -> DataFrame:
+    """``value`` exactly k hours earlier (NULL when that hour has no row), as equi-joins on
+    ``(keys, ts)`` against the series shifted forward by k hours: no ordering, no window, and
+    no single partition for an un-keyed series. Equal to positional lags on gap-free hourly data.
+    The series must have one row per (keys, ts)."""
+    names = list(names) if names is not None else [f"{value}_lag_{k}" for k in hours]
+    out = df
+    for k, name in zip(hours, names):
+        shifted = df.select(*keys, (F.col(ts) + F.expr(f"INTERVAL {int(k)} HOURS")).alias(ts), F.col(value).alias(name))
+        out = out.join(shifted, [*keys, ts], "left")
+    return out

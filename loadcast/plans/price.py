@@ -21,10 +21,15 @@ def clean_price(raw: DataFrame, ts_type: str = "timestamp", on_error: str = "fai
     )
 
 
-def price_lag_features(clean: DataFrame, lags=PRICE_LAGS, block_rows: int = 4096) -> DataFrame:
-    """``price_lag_k`` = price k rows earlier over the whole (un-keyed) series; the current
-    price is dropped. Distributed positional index: no single-partition window."""
+def price_lag_features(clean: DataFrame, lags=PRICE_LAGS, block_rows: int = 4096, mode: str = "rows") -> DataFrame:
+    """``price_lag_k`` = price k rows earlier over the whole (un-keyed) series (``mode='rows'``,
+    distributed positional index, no single-partition window) or the price k hours earlier
+    (``mode='time'``, shifted equi-joins); the current price is dropped."""
     names = [f"price_lag_{k}" for k in lags]
+    if mode == "time":
+        from loadcast.operators.windows import temporal_lags
+
+        return temporal_lags(clean, "eur_per_mwh", lags, names=names).drop("eur_per_mwh")
     out = index.positional_lags(clean, "eur_per_mwh", lags, "timestamp_utc", (), names, block_rows=block_rows)
     return out.drop("eur_per_mwh")
 

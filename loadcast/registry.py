@@ -230,6 +230,15 @@ def q_global_lag(spark, sf):
     return price.price_lag_features(price.clean_price(tv.price_raw(spark, sf), ts_type=TS))
 
 
+@register("global_lag_features_time", with_views(
+    "SELECT p.timestamp_utc, a.eur_per_mwh AS price_lag_24, b.eur_per_mwh AS price_lag_48, c.eur_per_mwh AS price_lag_168 "
+    "FROM price p LEFT JOIN price a ON a.timestamp_utc = p.timestamp_utc - INTERVAL 24 HOUR "
+    "LEFT JOIN price b ON b.timestamp_utc = p.timestamp_utc - INTERVAL 48 HOUR "
+    "LEFT JOIN price c ON c.timestamp_utc = p.timestamp_utc - INTERVAL 168 HOUR", "price"))
+def q_global_lag_time(spark, sf):
+    return price.price_lag_features(price.clean_price(tv.price_raw(spark, sf), ts_type=TS), mode="time")
+
+
 @register("rolling_stats", with_views(
     "SELECT timestamp_utc, group_id, target_consumption, rolling_mean_168, rolling_std_168 FROM feat_cols", "feat_cols"))
 def q_rolling_stats(spark, sf):
