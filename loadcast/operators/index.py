@@ -16,17 +16,25 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 IDX = "_idx"
 BLOCK = "_blk"
 HALO = "_halo"
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join on ``cols`` where NULL keys match each other (``<=>``; still a hash/sort-merge key)."""
-    renamed = right.select(*[F.col(c).alias(f"_r_{c}") for c in cols], *[c for c in right.columns if c not in cols])
-    cond = [left[c].eqNullSafe(renamed[f"_r_{c}"]) for c in cols]
-    return left.join(renamed, cond, how).drop(*[f"_r_{c}" for c in cols])
+def _null_free_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Add, per key, a non-NULL value column and an is-NULL flag. Windows, counts and joins
+    on these plain columns treat NULL keys as one key *and* share one hash partitioning, so
+    the join back to the numbered rows does not re-shuffle them (``<=>`` join keys would)."""
+    cols, names = {}, []
+    for i, k in enumerate(keys):
+        dtype = df.schema[k].dataType
+        default = F.lit("1970-01-01").cast(dtype) if isinstance(dtype, DateType) else F.lit(0).cast(dtype)
+        cols[f"_kv{i}"] = F.coalesce(F.col(k), default)
+        cols[f"_kn{i}"] = F.col(k).isNull()
+        names += [f"_kv{i}", f"_kn{i}"]
+    return df.withColumns(cols), names
 
 
 def row_index(
@@ -37,16 +45,16 @@ def row_index(
 
     ``bucket`` defaults to the day of ``order``. ``with_count`` also adds ``_cnt`` = rows of the key."""
     b = bucket if bucket is not None else F.date_trunc("day", F.col(order))
-    keyed = df.withColumn("_bkt", b)
-    local = keyed.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys, "_bkt").orderBy(order)))
-    counts = keyed.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
-    running = Window.partitionBy(*keys).orderBy("_bkt")
+    keyed, ks = _null_free_keys(df.withColumn("_bkt", b), keys)
+    local = keyed.withColumn("_rn", F.row_number().over(Window.partitionBy(*ks, "_bkt").orderBy(order)))
+    counts = keyed.groupBy(*ks, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
+    running = Window.partitionBy(*ks).orderBy("_bkt")
     offsets = counts.select(
-        *keys, "_bkt",
+        *ks, "_bkt",
         F.coalesce(F.sum("_n").over(running.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
-        *([F.sum("_n").over(Window.partitionBy(*keys)).alias("_cnt")] if with_count else []),
+        *([F.sum("_n").over(Window.partitionBy(*ks)).alias("_cnt")] if with_count else []),
     )
-    joined = _join_null_safe(local, offsets, [*keys, "_bkt"])
+    joined = local.join(offsets, [*ks, "_bkt"])
     extra = ["_cnt"] if with_count else []
     return joined.select(*df.columns, (F.col("_off") + F.col("_rn")).alias(name), *extra)
 
@@ -115,14 +123,14 @@ def forward_fill_split(
     value of the earlier days from a per-(key, day) summary table (one row per key and day)."""
     out = out or value
     b = bucket if bucket is not None else F.date_trunc("day", F.col(order))
-    keyed = df.withColumn("_bkt", b)
-    local_w = Window.partitionBy(*keys, "_bkt").orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    keyed, ks = _null_free_keys(df.withColumn("_bkt", b), keys)
+    local_w = Window.partitionBy(*ks, "_bkt").orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     local = keyed.withColumn("_local", F.last(value, ignorenulls=True).over(local_w))
-    last_in_bucket = keyed.groupBy(*keys, "_bkt").agg(
+    last_in_bucket = keyed.groupBy(*ks, "_bkt").agg(
         F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.col(order))).alias("_last")
     )
-    earlier = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    carry = last_in_bucket.select(*keys, "_bkt", F.last("_last", ignorenulls=True).over(earlier).alias("_carry"))
-    joined = _join_null_safe(local, carry, [*keys, "_bkt"], "left")
+    earlier = Window.partitionBy(*ks).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last_in_bucket.select(*ks, "_bkt", F.last("_last", ignorenulls=True).over(earlier).alias("_carry"))
+    joined = local.join(carry, [*ks, "_bkt"], "left")
     cols = [c for c in df.columns if c != out]
     return joined.select(*cols, F.coalesce(F.col("_local"), F.col("_carry")).alias(out))

@@ -66,3 +66,10 @@ def test_row_index_has_no_single_partition_row_exchange(spark):
     text = plan(index.row_index(events, "ts"))
     rows_side = text.split("BroadcastExchange")[0]
     assert "SinglePartition" not in rows_side
+
+
+@pytest.mark.parametrize("name", ["hourly_features", "weather_features_split", "forward_fill_split", "global_lag_features"])
+def test_index_join_reuses_the_row_number_partitioning(spark, name):
+    """NULL-safe keys are plain columns, so the numbered rows are not shuffled again for the offsets join."""
+    text = plan(QUERIES[name](spark, SF_SMALL))
+    assert not re.search(r"Exchange hashpartitioning\(coalesce\(", text), name
