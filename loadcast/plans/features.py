@@ -26,7 +26,7 @@ def hourly_features(
     long: DataFrame, keys=("group_id",), ts: str = "timestamp_utc", value: str = "target_consumption",
     lags=TARGET_LAGS, window: int = ROLLING_WINDOW, gap: int = 1, min_history_rows: int = MIN_HISTORY_ROWS,
     scale: int = 2, exact: bool = True, block_rows: int | None = DEFAULT_BLOCK_ROWS,
-    densify: tuple | None = None, ts_type: str = "timestamp",
+    densify: tuple | None = None, ts_type: str = "timestamp", since=None, step_hours: int = 1,
 ) -> DataFrame:
     """Positional lags 48/168/336, trailing mean/std over the 168 rows before each row
     (``gap=1``; ``gap=48`` gives a leak-free variant for a 48 h horizon), lag differences,
@@ -38,8 +38,19 @@ def hourly_features(
     parallelism does not depend on the number of groups. Two shuffles of the rows.
     ``block_rows=None``: one exchange by group, one sort, one Window node - the cheaper plan
     when groups are many and each is small (e.g. one row per group and hour).
-    ``densify=(start, end)``: fill the hourly grid first, so lags are temporal on gapped data."""
+    ``densify=(start, end)``: fill the hourly grid first, so lags are temporal on gapped data.
+    ``since``: only rows from ``since`` on are wanted - the input is filtered to
+    ``ts >= since - (longest lookback + head rows) * step`` before any shuffle (pushed to the scan
+    when ``ts`` is a stored column), so an inference window does not read the whole history.
+    Exact for gap-free series (one row per group and step), which is what the padding assumes."""
     keys = list(keys)
+    if since is not None:
+        pad = (max(max(lags), window + gap) + min_history_rows) * step_hours
+        lo = F.lit(since).cast(ts_type)
+        long = long.filter(F.col(ts) >= lo - F.expr(f"INTERVAL {pad} HOURS"))
+        out = hourly_features(long, keys, ts, value, lags, window, gap, min_history_rows, scale, exact, block_rows,
+                              densify, ts_type)
+        return out.filter(F.col(ts) >= lo)
     if densify is not None:  # temporal lags: every group gets every hour of the span (missing hours -> NULL rows)
         long = spine.densify(long, keys, densify[0], densify[1], ts, ts_type=ts_type)
     l48, l168, l336 = (f"consumption_lag_{k}" for k in lags)

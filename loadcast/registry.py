@@ -265,6 +265,14 @@ def q_hourly_features(spark, sf):
     return _features(spark, sf)
 
 
+@register("inference_features_since", with_views("SELECT * FROM feat_inf", "feat_inf"))
+def q_inference_features_since(spark, sf):
+    """Features of the 48 h inference window computed from a pruned scan (window start minus
+    lookback and head padding) instead of the whole history; equal on the gap-free hourly grid."""
+    feats = features.hourly_features(tv.consumption_long(spark, sf), since=tv.INFER_START, ts_type=TS)
+    return splits.split_window(feats, tv.INFER_START, tv.INFER_END, ts_type=TS)
+
+
 @register("hourly_features_per_group", with_views("SELECT * FROM feat", "feat"))
 def q_hourly_features_per_group(spark, sf):
     """Same result through the single-shuffle plan (one window per group)."""
