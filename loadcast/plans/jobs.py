@@ -18,6 +18,7 @@ from loadcast.sources.writers import export_csv, write_table
 
 @dataclass
 class Windows:
+    # Fixed values (defaults): the pipeline's inference, baseline, future and weather windows.
     inference_start: str = "2024-09-29 00:00:00"
     inference_end: str = "2024-10-01 00:00:00"
     baseline_start: str = "2024-09-22 00:00:00"

@@ -84,8 +84,12 @@ def weather_features(
     flagged = dense.withColumn("temperature_missing_flag", F.when(F.col("temperature").isNull(), 1).otherwise(0))
     if block_rows is None:
         filled = windows.forward_fill(flagged, "temperature", keys=["weather_key"], out="temperature_filled")
-        lagged = windows.lag_features(filled, "temperature_filled", TEMP_LAGS, keys=["weather_key"], names=lag_names)
-        trimmed = windows.drop_head(lagged, min_history_rows, keys=["weather_key"])
+        # lags and the head-drop position share one Window node (the fill must come first)
+        lagged = filled.withColumns({
+            **windows.lag_columns("temperature_filled", TEMP_LAGS, "timestamp_utc", ["weather_key"], names=lag_names),
+            "_pos": F.row_number().over(windows.spec(["weather_key"], "timestamp_utc")),
+        })
+        trimmed = lagged.filter(F.col("_pos") > min_history_rows)
     else:
         filled = index.forward_fill_split(flagged, "temperature", "timestamp_utc", ["weather_key"], out="temperature_filled")
         indexed = index.row_index(filled, "timestamp_utc", ["weather_key"])
