@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -93,9 +93,13 @@ def train_forecaster(
     df: DataFrame, categoricals: Sequence[str], cutoff: str | None = None, max_iter: int = 50,
     step_size: float = 0.03, max_depth: int = 8, subsampling_rate: float = 1.0, feature_subset: str = "all",
     seed: int = 42, target: str = TARGET, ts: str = "timestamp_utc", validation_tol: float = 0.01,
+    max_nominal: int = 256,
 ) -> Forecaster:
     """Fit on rows with a known target. With ``cutoff``, rows ``ts >= cutoff`` drive early stopping
-    and give the validation MAE; the returned model is refitted on all rows for ``max_iter`` rounds."""
+    and give the validation MAE; the returned model is refitted on all rows for ``max_iter`` rounds.
+    Categoricals with more than ``max_nominal`` labels (e.g. a meter id at scale) enter as ordered
+    codes instead of nominal features, which keeps ``maxBins`` - and the per-level split
+    aggregation of every tree - bounded."""
     ensure_checkpoint_dir(df.sparkSession)
     labelled = df.filter(F.col(target).isNotNull() & ~F.isnan(F.col(target)))
     cats = [c for c in categoricals if c in df.columns]
@@ -109,9 +113,15 @@ def train_forecaster(
     indexer = PipelineModel(stages=[
         StringIndexer(inputCols=cats, outputCols=idx_cols, handleInvalid="keep", stringOrderType="alphabetAsc").fit(staged)
     ]) if cats else PipelineModel(stages=[])
-    arity = max([len(lbls) + 1 for lbls in indexer.stages[0].labelsArray] if cats else [2])
+    labels = dict(zip(cats, indexer.stages[0].labelsArray)) if cats else {}
+    wide = [c for c in cats if len(labels[c]) > max_nominal]
+    arity = max([len(labels[c]) + 1 for c in cats if c not in wide] or [2])
     indexed = indexer.transform(staged)
-    assembler = VectorAssembler(inputCols=idx_cols + num_cols, outputCol="features")
+    # a cast drops the nominal metadata: the code becomes an ordered numeric feature
+    ordinal = [SQLTransformer(statement="SELECT *, " + ", ".join(
+        f"CAST(`{c}__idx` AS DOUBLE) AS `{c}__ord`" for c in wide) + " FROM __THIS__")] if wide else []
+    inputs = [f"{c}__idx" for c in cats if c not in wide] + [f"{c}__ord" for c in wide] + num_cols
+    assembler = PipelineModel(stages=[*ordinal, VectorAssembler(inputCols=inputs, outputCol="features")])
 
     def gbt(validation: bool) -> GBTRegressor:
         extra = {"validationIndicatorCol": "_is_valid", "validationTol": validation_tol} if validation else {}
@@ -125,9 +135,9 @@ def train_forecaster(
     mae = None
     if cutoff is not None:
         flagged = indexed.withColumn("_is_valid", F.col(ts) >= F.lit(cutoff).cast(df.schema[ts].dataType))
-        vmodel = PipelineModel(stages=[assembler, gbt(True).fit(assembler.transform(flagged))])
-        scored = vmodel.stages[1].transform(assembler.transform(flagged.filter("_is_valid")))
+        vgbt = gbt(True).fit(assembler.transform(flagged))
+        scored = vgbt.transform(assembler.transform(flagged.filter("_is_valid")))
         mae = scored.agg(F.avg(F.abs(F.col("prediction") - F.col(target)))).first()[0]
     final = gbt(False).fit(assembler.transform(indexed))
     staged.unpersist()
-    return Forecaster(indexer, PipelineModel(stages=[assembler, final]), cats, numeric, mae)
+    return Forecaster(indexer, PipelineModel(stages=[*assembler.stages, final]), cats, numeric, mae)

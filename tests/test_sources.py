@@ -92,3 +92,21 @@ def test_forecaster_trains_predicts_and_round_trips(spark, tmp_path):
     again = ml.Forecaster.load(str(tmp_path / "m"), model.categoricals, model.numeric)
     assert again.predict(df).count() == 288
     assert ml.artifact_name("hourly", "with_weather") == "hourly_with_weather"
+    ordinal = ml.train_forecaster(df, ["group_id", "segment"], max_iter=2, max_depth=3, max_nominal=2)
+    assert [s.__class__.__name__ for s in ordinal.model.stages][:2] == ["SQLTransformer", "VectorAssembler"]
+    assert ordinal.predict(df).count() == 288
+
+
+def test_high_cardinality_categorical_keeps_bins_bounded(spark):
+    """40 groups > max_nominal: trained as an ordered code (nominal would need maxBins >= 41 > 32)."""
+    rows = [(T0 + dt.timedelta(hours=h), g, float(g % 5 + h % 3)) for g in range(40) for h in range(12)]
+    df = spark.createDataFrame(rows, "timestamp_utc timestamp_ntz, group_id int, target_consumption double")
+    model = ml.train_forecaster(df, ["group_id"], max_iter=2, max_depth=3, max_nominal=10)
+    assert model.predict(df).filter(F.col("target_consumption").isNull()).count() == 0
+    gbt = model.model.stages[-1]
+    assert gbt.getOrDefault("maxBins") == 32
+    features = model.model.stages[0].transform(model.prepare(df))
+    for stage in model.model.stages[1:-1]:
+        features = stage.transform(features)
+    attrs = features.schema["features"].metadata["ml_attr"]["attrs"]
+    assert "nominal" not in attrs
