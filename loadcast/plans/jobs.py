@@ -202,6 +202,34 @@ def export_job(spark: SparkSession, table: str, path: str, order_by, decimal_com
                decimal_comma=decimal_comma)
 
 
+# Exported datasets -> (layer attribute, sort keys, decimal-comma deliverable).
+EXPORTS = {
+    "consumption_hourly_actuals": ("results", ("group_id", "timestamp_utc"), False),
+    "hourly_inference_dataset_weather_null": ("gold", ("group_id", "timestamp_utc"), False),
+    "hourly_inference_dataset_with_weather": ("gold", ("group_id", "timestamp_utc"), False),
+    "hourly_training_dataset_with_weather": ("gold", ("group_id", "timestamp_utc"), False),
+    "hourly_inference_dataset_without_weather": ("gold", ("group_id", "timestamp_utc"), False),
+    "hourly_training_dataset_without_weather": ("gold", ("group_id", "timestamp_utc"), False),
+    "consumption_monthly_combined": ("results", ("measured_at",), False),
+    "monthly_inference_dataset": ("gold", ("group_id", "timestamp_utc"), False),
+    "monthly_training_dataset": ("gold", ("group_id", "timestamp_utc"), False),
+    "consumption_deliverables_hourly": ("deliverables", ("measured_at",), True),
+    "consumption_deliverables_monthly": ("deliverables", ("measured_at",), True),
+}
+
+
+def export_all(spark: SparkSession, L: Layers, root: str, names=tuple(EXPORTS), single_file: bool = False) -> list[str]:
+    """Every dataset/deliverable as an ordered CSV folder under ``root/<name>_csv``. Multi-file
+    (range-partitioned, files in order) unless ``single_file``."""
+    written = []
+    for name in names:
+        layer, order, comma = EXPORTS[name]
+        table = _t(getattr(L, layer), name)
+        export_job(spark, table, f"{root}/{name}_csv", list(order), decimal_comma=comma, single_file=single_file)
+        written.append(name)
+    return written
+
+
 def null_exogenous_inference(spark: SparkSession, L: Layers) -> DataFrame:
     """The weather-null inference set built directly: bridge kept, weather columns NULL."""
     src = spark.table(_t(L.gold, "hourly_inference_dataset_with_weather"))

@@ -70,5 +70,10 @@ def test_medallion_flow(spark, tmp_path):
     assert combined.count() == 3 and len(combined.columns) == 1 + tv.N_GROUPS  # Jan actual; Jan + Feb predicted
     jobs.export_job(spark, "lc_deliv.consumption_deliverables_monthly", str(tmp_path / "export"), ["measured_at"],
                     decimal_comma=True, single_file=True)
+    done = jobs.export_all(spark, L, str(tmp_path / "exports"), names=("hourly_training_dataset_without_weather",
+                                                                       "consumption_deliverables_hourly"))
+    back = spark.read.option("header", True).option("sep", ";").csv(str(tmp_path / "exports" / "consumption_deliverables_hourly_csv"))
+    assert len(done) == 2 and back.count() == 48
+    assert any("," in (r[1] or "") for r in back.collect())  # decimal comma
     for db in ("lc_bronze", "lc_silver", "lc_gold", "lc_results", "lc_deliv"):
         spark.sql(f"DROP DATABASE {db} CASCADE")

@@ -110,3 +110,27 @@ def test_high_cardinality_categorical_keeps_bins_bounded(spark):
         features = stage.transform(features)
     attrs = features.schema["features"].metadata["ml_attr"]["attrs"]
     assert "nominal" not in attrs
+
+
+def test_weather_xml_directory(spark, tmp_path):
+    def doc(param, pts):
+        body = "".join(f"<wml2:point><wml2:MeasurementTVP><wml2:time>{t}</wml2:time><wml2:value>{v}</wml2:value>"
+                       "</wml2:MeasurementTVP></wml2:point>" for t, v in pts)
+        return f'<wml2:MeasurementTimeseries gml:id="obs-obs-1-1-{param}">{body}</wml2:MeasurementTimeseries>'
+    for city, temp in (("helsinki", "1.5"), ("oulu", "-3.0")):
+        (tmp_path / f"{city}.xml").write_text(
+            "<wfs:FeatureCollection>" + doc("TA_PT1H_AVG", [("2024-01-01T00:00:00Z", temp)])
+            + doc("WS_PT1H_AVG", [("2024-01-01T00:00:00Z", "2.0")]) + "</wfs:FeatureCollection>")
+    parsed = readers.read_weather_xml_dir(spark, str(tmp_path))
+    rows = sorted(tuple(r) for r in payloads.timeseries_rows(parsed).collect())
+    assert rows == [("2024-01-01T00:00:00Z", "helsinki", "1.5", "2.0", None), ("2024-01-01T00:00:00Z", "oulu", "-3.0", "2.0", None)]
+
+
+def test_catalog_prefix_tables(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS lc_landing LOCATION '{tmp_path / 'landing'}'")
+    df = spark.createDataFrame([("st", "1.0")], "station string, temp string")
+    for name in ("helsinki_kaisaniemi", "TURKU_artukainen", "misc_station"):
+        writers.write_table(df, f"lc_landing.{name}")
+    out, missing = readers.load_prefixed_tables(spark, "lc_landing", ["HEL", "TUR", "POR"])
+    assert sorted(r["weather_key"] for r in out.collect()) == ["HEL", "TUR"] and missing == ["POR"]
+    spark.sql("DROP DATABASE lc_landing CASCADE")
