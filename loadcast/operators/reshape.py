@@ -34,9 +34,13 @@ def to_long(
     return long.select(ts_name, F.col(key_name).cast(key_type).alias(key_name), value_name)
 
 
-def sorted_distinct_ids(df: DataFrame, key: str = "group_id") -> list:
-    """ACTION: ascending distinct keys, collected. Bounded by the number of output columns of a pivot."""
-    return [r[0] for r in df.select(key).distinct().orderBy(key).collect()]
+def sorted_distinct_ids(df: DataFrame, key: str = "group_id", max_ids: int = 10_000) -> list:
+    """ACTION: ascending distinct keys, collected - they become the columns of a pivot, so at most
+    ``max_ids`` are fetched (``limit(max_ids + 1)``) and more raise instead of flooding the driver."""
+    ids = [r[0] for r in df.select(key).distinct().orderBy(key).limit(max_ids + 1).collect()]
+    if len(ids) > max_ids:
+        raise ValueError(f"more than {max_ids} distinct {key} values: too many pivot columns")
+    return ids
 
 
 def to_wide(

@@ -160,3 +160,11 @@ def test_t1_densify_option_makes_lags_temporal(spark):
     assert tmp[t]["consumption_lag_48"] == 312.0          # 48 hours earlier
     assert pos[t]["consumption_lag_48"] == 311.0          # 48 rows earlier (one hour missing)
     assert tmp[T0 + dt.timedelta(hours=350)]["target_consumption"] is None
+
+
+def test_pivot_id_collection_is_bounded(spark):
+    from loadcast.operators.reshape import sorted_distinct_ids
+    df = spark.range(50).withColumnRenamed("id", "group_id")
+    assert sorted_distinct_ids(df, max_ids=50) == list(range(50))
+    with pytest.raises(ValueError):
+        sorted_distinct_ids(df, max_ids=49)
