@@ -25,3 +25,23 @@ def test_entry_returns_rows_with_stable_schema(spark):
     assert df.count() > 0
     assert len(df.columns) == 32
     assert df.columns[:3] == ["timestamp_utc", "group_id", "target_consumption"]
+
+
+def test_oracles_do_not_depend_on_the_duckdb_time_zone():
+    import duckdb
+
+    from compare import canonical_rows
+    from conftest import TABLES
+
+    def digests(tz):
+        con = duckdb.connect()
+        con.execute(f"SET TimeZone='{tz}'")
+        for t in TABLES:
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+        out = {}
+        for n, q in ORACLES.items():
+            r = con.execute(q)
+            out[n] = canonical_rows([d[0] for d in r.description], r.fetchall())
+        return out
+
+    assert digests("UTC") == digests("Asia/Kolkata")
