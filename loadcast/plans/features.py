@@ -28,7 +28,7 @@ def hourly_features(
     scale: int = 2, exact: bool = True, block_rows: int | None = DEFAULT_BLOCK_ROWS,
     densify: tuple | None = None, ts_type: str = "timestamp", since=None, step_hours: int = 1,
 ) -> DataFrame:
-    """Positional lags 48/168/336, trailing mean/std over the 168 rows before each row
+    """Positional lags (default 48/168/336), trailing mean/std over the 168 rows before each row
     (``gap=1``; ``gap=48`` gives a leak-free variant for a 48 h horizon), lag differences,
     then the first ``min_history_rows`` rows of each group removed.
 
@@ -53,10 +53,13 @@ def hourly_features(
         return out.filter(F.col(ts) >= lo)
     if densify is not None:  # temporal lags: every group gets every hour of the span (missing hours -> NULL rows)
         long = spine.densify(long, keys, densify[0], densify[1], ts, ts_type=ts_type)
-    l48, l168, l336 = (f"consumption_lag_{k}" for k in lags)
+    lag_names = [f"consumption_lag_{k}" for k in lags]
+    # differences of consecutive lags (defaults: lag_diff_48_168, lag_diff_168_336)
+    diffs = {f"lag_diff_{a}_{b}": F.col(f"consumption_lag_{a}") - F.col(f"consumption_lag_{b}")
+             for a, b in zip(lags, lags[1:])}
 
     def window_columns(ks: list[str], order: str, with_position: bool) -> dict:
-        cols = windows.lag_columns(value, lags, order, ks, names=[l48, l168, l336])
+        cols = windows.lag_columns(value, lags, order, ks, names=lag_names)
         if exact:
             cols.update(windows.moment_prefix_columns(value, window, gap, order, ks, scale, False, "t"))
         if with_position:
@@ -70,10 +73,7 @@ def hourly_features(
             ).drop("_s_t", "_q_t", "_n_t")
         else:
             staged = windows.rolling_moments(staged, value, window, gap, order, ks, exact=False)
-        return staged.withColumns({
-            "lag_diff_48_168": F.col(l48) - F.col(l168),
-            "lag_diff_168_336": F.col(l168) - F.col(l336),
-        })
+        return staged.withColumns(diffs)
 
     def apply(df: DataFrame, ks: list[str], order: str) -> DataFrame:
         return finish(df.withColumns(window_columns(ks, order, False)), ks, order)
