@@ -2,9 +2,9 @@
 
 Catalyst already broadcasts a side whose estimated size is under
 ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-plans on measured sizes. ``bounded``
-adds an explicit hint only after checking the row count on the small side with a
-``limit(max_rows + 1).count()`` (reads at most ``max_rows + 1`` rows of its result).
-Anything larger stays a shuffle join."""
+adds an explicit hint only after counting the small side's rows with a partial-aggregated
+count (one row per task reaches the final count - unlike ``limit(n).count()``, which funnels
+up to n rows per task into a single task). Anything larger stays a shuffle join."""
 
 from __future__ import annotations
 
@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """ACTION: True when ``df`` has at most ``max_rows`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """ACTION: True when ``df`` has at most ``max_rows`` rows (partial-aggregated count)."""
+    return df.select(F.count(F.lit(1)).alias("n")).first()["n"] <= max_rows
 
 
 def bounded(df: DataFrame, max_rows: int, reuse: bool = False) -> DataFrame:
@@ -34,12 +34,12 @@ def bounded(df: DataFrame, max_rows: int, reuse: bool = False) -> DataFrame:
 
 
 def bounded_all(frames: dict[str, DataFrame], max_rows: int) -> dict[str, DataFrame]:
-    """``bounded`` for several small sides with ONE job: the ``limit(max_rows + 1)`` counts of all
-    sides run as branches of a single union, so their plans execute concurrently."""
+    """``bounded`` for several small sides with ONE job: the row counts of all sides are branches
+    of a single union (partial-aggregated per task), so their plans execute concurrently."""
     if not frames:
         return {}
     names = list(frames)
-    probes = [frames[n].limit(max_rows + 1).select(F.lit(i).alias("_side")) for i, n in enumerate(names)]
+    probes = [frames[n].select(F.lit(i).alias("_side")) for i, n in enumerate(names)]
     union = probes[0]
     for p in probes[1:]:
         union = union.unionByName(p)
