@@ -35,12 +35,13 @@ def to_long(
 
 
 def sorted_distinct_ids(df: DataFrame, key: str = "group_id", max_ids: int = 10_000) -> list:
-    """ACTION: ascending distinct keys, collected - they become the columns of a pivot, so at most
-    ``max_ids`` are fetched (``limit(max_ids + 1)``) and more raise instead of flooding the driver."""
-    ids = [r[0] for r in df.select(key).distinct().orderBy(key).limit(max_ids + 1).collect()]
-    if len(ids) > max_ids:
+    """ACTION: ascending distinct keys, collected - they become the columns of a pivot. The distinct
+    count is checked first (an aggregate, nothing funnelled), so more than ``max_ids`` keys raise
+    instead of flooding the driver."""
+    distinct = df.select(key).distinct()
+    if distinct.count() > max_ids:
         raise ValueError(f"more than {max_ids} distinct {key} values: too many pivot columns")
-    return ids
+    return [r[0] for r in distinct.orderBy(key).collect()]
 
 
 def to_wide(
