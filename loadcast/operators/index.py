@@ -16,7 +16,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType
+from pyspark.sql.types import AtomicType, DateType, TimestampNTZType, TimestampType
 
 IDX = "_idx"
 BLOCK = "_blk"
@@ -30,8 +30,13 @@ def _null_free_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list
     cols, names = {}, []
     for i, k in enumerate(keys):
         dtype = df.schema[k].dataType
-        default = F.lit("1970-01-01").cast(dtype) if isinstance(dtype, DateType) else F.lit(0).cast(dtype)
-        cols[f"_kv{i}"] = F.coalesce(F.col(k), default)
+        if isinstance(dtype, (DateType, TimestampType, TimestampNTZType)):
+            default = F.lit("1970-01-01 00:00:00").cast(dtype)
+        elif isinstance(dtype, AtomicType):
+            default = F.lit(0).cast(dtype)
+        else:  # complex key types: used as they are (NULL keys then stay unmatched in the offsets join)
+            default = None
+        cols[f"_kv{i}"] = F.coalesce(F.col(k), default) if default is not None else F.col(k)
         cols[f"_kn{i}"] = F.col(k).isNull()
         names += [f"_kv{i}", f"_kn{i}"]
     return df.withColumns(cols), names

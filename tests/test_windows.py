@@ -161,3 +161,12 @@ def test_hot_group_is_spread_over_many_tasks(spark):
             sorted(map(tuple, plain.select("group_id", "timestamp_utc", "l48").collect()))
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
+
+
+def test_row_index_with_timestamp_and_string_keys(spark):
+    rows = [(T0 if i % 2 else None, "k" if i % 3 else None, T0 + dt.timedelta(hours=i)) for i in range(30)]
+    df = spark.createDataFrame(rows, "kt timestamp_ntz, ks string, ts timestamp_ntz")
+    idx = index.row_index(df, "ts", ["kt", "ks"])
+    assert idx.count() == 30
+    per_key = idx.groupBy("kt", "ks").agg(F.max(index.IDX).alias("m"), F.count(F.lit(1)).alias("n")).collect()
+    assert all(r["m"] == r["n"] for r in per_key)
