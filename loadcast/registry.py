@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadcast.functions import key_from_prefix, normalize_name, tolerant_double
+from loadcast.functions import key_from_prefix, normalize_name, to_ts, tolerant_double
 from loadcast.oracle import pivot_cols, with_views
 from loadcast.operators import index, joins, reshape, spine, splits, windows
 from loadcast.plans import calendar, deliver, evaluate, features, gold, groups, price, weather
@@ -260,6 +260,18 @@ def q_drop_tail(spark, sf):
     return _weather_inference(spark, sf)
 
 
+@register("drop_tail_per_key_split", with_views("SELECT * FROM wx_inf", "wx_inf"))
+def q_drop_tail_split(spark, sf):
+    """The latest row of every weather key removed by exact position (no one-task-per-key window)."""
+    raw = tv.weather_inference_raw(spark, sf)
+    prepared = raw.select(
+        to_ts("timestamp", TS).alias("timestamp_utc"),
+        tolerant_double("TA_PT1H_AVG").alias("temperature"),
+        key_from_prefix(normalize_name("city"), weather.WEATHER_KEYS).alias("weather_key"),
+    )
+    return index.drop_tail_positional(prepared, 1, "timestamp_utc", ["weather_key"])
+
+
 @register("hourly_features", with_views("SELECT * FROM feat", "feat"))
 def q_hourly_features(spark, sf):
     return _features(spark, sf)
