@@ -80,8 +80,10 @@ def gold_sql(
     bridge: str | None = None, weather_mode: str = "none", hourly_features: bool = True,
 ) -> str:
     """The same dataset as ``build_gold`` as one Spark SQL statement over named tables or views
-    (for SQL-first users and ``CREATE TABLE ... AS``). Catalyst plans it like the DataFrame form;
-    broadcast decisions are left to the size estimates and AQE."""
+    (for SQL-first users and ``CREATE TABLE ... AS``). Catalyst plans it like the DataFrame form.
+    Create the dimension views from ``joins.bounded_all(...)`` outputs: the broadcast hint of a
+    proven-small side is part of the view's plan, so the SQL joins broadcast exactly like
+    ``build_gold``; otherwise the size estimates and AQE decide."""
     fact = ["timestamp_utc", "group_id", "target_consumption", *(FEATURE_COLUMNS if hourly_features else ())]
     sel = [f"c.{c}" for c in fact] + [f"g.{c}" for c in GROUP_ATTRIBUTES]
     joins = [f"LEFT JOIN {groups} g ON c.group_id = g.group_id"]

@@ -473,8 +473,10 @@ def q_gold_without_weather_sql(spark, sf):
     cal_train, _ = calendar.split_calendar_hourly(_calendar_hourly(spark, sf), tv.INFER_START, tv.INFER_END, ts_type=TS)
     price_train, _ = price.split_price(_price_features(spark, sf), tv.INFER_START, tv.INFER_END, ts_type=TS)
     tag = uuid.uuid4().hex[:8]
+    # the same proof as the DataFrame builder: views over proven-small sides carry the broadcast hint
+    small = joins.bounded_all({"grp": _groups(spark, sf), "cal": cal_train, "price": price_train}, gold.DEFAULT_MAX_DIM_ROWS)
     names = {}
-    for role, df in {"cons": _split(spark, sf).train, "grp": _groups(spark, sf), "cal": cal_train, "price": price_train}.items():
+    for role, df in {"cons": _split(spark, sf).train, **small}.items():
         names[role] = f"lc_{role}_{tag}"
         df.createOrReplaceTempView(names[role])
     return spark.sql(gold.gold_sql(names["cons"], names["grp"], names["cal"], price=names["price"], weather_mode="none"))
