@@ -88,14 +88,17 @@ def price_job(spark: SparkSession, raw_table: str, w: Windows, L: Layers) -> Non
     write_table(infer, _t(L.silver, "price_inference_clean"))
 
 
-def weather_job(spark: SparkSession, landing_long_table: str, inference_raw_table: str, w: Windows, L: Layers) -> None:
-    """Training features from the long landing table (C6-C8) and both inference variants (C5, C7)."""
+def weather_job(spark: SparkSession, landing_long_table: str, inference_raw_table: str, w: Windows, L: Layers,
+                block_rows: int | None = None) -> None:
+    """Training features from the long landing table (C6-C8) and both inference variants (C5, C7).
+    ``block_rows`` selects the split plan (fill per key and day, blocked lags) for very long keys."""
     obs = weather.prepare_weather_training(spark.table(landing_long_table), w.ts_type)
-    train = weather.drop_latest_horizon(weather.weather_features(obs, *w.train_weather, ts_type=w.ts_type))
-    write_table(train, _t(L.silver, "weather_training_clean"))
+    feats = weather.weather_features(obs, *w.train_weather, ts_type=w.ts_type, block_rows=block_rows)
+    write_table(weather.drop_latest_horizon(feats), _t(L.silver, "weather_training_clean"))
     inf = weather.prepare_weather_inference(spark.table(inference_raw_table), w.ts_type)
-    write_table(weather.weather_features(inf, *w.inference_weather, ts_type=w.ts_type), _t(L.silver, "weather_inference_clean"))
-    write_table(weather.weather_features(inf, *w.inference_weather_null, ts_type=w.ts_type),
+    write_table(weather.weather_features(inf, *w.inference_weather, ts_type=w.ts_type, block_rows=block_rows),
+                _t(L.silver, "weather_inference_clean"))
+    write_table(weather.weather_features(inf, *w.inference_weather_null, ts_type=w.ts_type, block_rows=block_rows),
                 _t(L.silver, "weather_inference_null_clean"))
 
 
