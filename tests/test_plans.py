@@ -4,6 +4,7 @@ no cartesian / nested-loop joins, no Python UDFs, filters reach the scan, one ex
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
@@ -73,3 +74,19 @@ def test_index_join_reuses_the_row_number_partitioning(spark, name):
     """NULL-safe keys are plain columns, so the numbered rows are not shuffled again for the offsets join."""
     text = plan(QUERIES[name](spark, SF_SMALL))
     assert not re.search(r"Exchange hashpartitioning\(coalesce\(", text), name
+
+
+def test_default_feature_window_is_partitioned_by_group_and_block(spark):
+    text = plan(QUERIES["hourly_features"](spark, SF_SMALL))
+    assert re.search(r"Exchange hashpartitioning\(group_id#\d+, _blk#\d+L?,", text), "blocked window not keyed by (group, block)"
+
+
+def test_since_filter_reaches_the_scan(spark):
+    from loadcast.plans import features
+    from loadcast.sources import testviews as tv
+
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet").select(
+        F.col("ts").alias("timestamp_utc"), (F.col("user_id") % 3).cast("int").alias("group_id"),
+        F.col("value").alias("target_consumption"))
+    text = plan(features.hourly_features(events, since="2024-01-29 00:00:00", ts_type=tv.TS))
+    assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts,2024-01-01T00:00)]" in text, text[-2000:]
