@@ -4,6 +4,9 @@
 (consumption, price, weather), ``customer``/``nation``/``region`` for group metadata,
 ``orders`` for monthly history, ``lineitem`` for a large daily per-supplier series.
 Every view is derived from whole tables; timestamps stay ``timestamp_ntz`` like the files.
+Each stand-in source takes all events of the type it represents (purchases -> price, views ->
+inference weather feed, clicks -> landed station tables, every event -> consumption); group ids
+map users to 12 groups by ``user_id % 12`` without dropping any row. Nothing is sampled or capped.
 The same shapes are defined in SQL for the DuckDB oracle (``loadcast.oracle``)."""
 
 from __future__ import annotations
