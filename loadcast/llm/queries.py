@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadcast.llm import neardup
+from loadcast.llm import neardup, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,7 +38,7 @@ _OP4_ORACLE = f"""
 WITH RECURSIVE words AS (SELECT doc_id, {_WORDS.format(_LOWERED)} AS w FROM documents),
 sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
   FROM words),
 items AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
 links AS (
@@ -57,6 +57,31 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+_OP9_ORACLE = f"""
+WITH words AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+windows AS (
+  SELECT doc_id, s, md5(array_to_string(w[s:s + 49], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS s FROM words WHERE len(w) >= 50)),
+firsts AS (SELECT h, min(doc_id) AS lo FROM windows GROUP BY h HAVING count(*) > 1),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS i FROM windows JOIN firsts USING (h) WHERE doc_id > lo),
+gone_list AS (SELECT doc_id, list(i) AS g FROM gone GROUP BY doc_id),
+kept AS (
+  SELECT w.doc_id, len(w) AS n, CASE WHEN g IS NULL THEN w
+    ELSE list_transform(list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(g, i)), lambda i: w[i]) END AS k
+  FROM words w LEFT JOIN gone_list USING (doc_id))
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(n - len(k) AS BIGINT) AS n_removed,
+  sha256(array_to_string(k, ' ')) AS kept_sha256
+FROM kept"""
+
+
+@register("op9_fixed_block_substring_dedup", _OP9_ORACLE)
+def op9_fixed_block_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ACTION. Words covered by 50-word windows that a smaller document also has are removed."""
+    out = substring.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
