@@ -9,7 +9,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from loadcast.session import ensure_checkpoint_dir
 
@@ -24,13 +23,3 @@ def materialize(df: DataFrame) -> DataFrame:
     path = folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-BROADCAST_BYTES = 32 << 20
-
-
-def small_side(table: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """A written table as the small side of a join: broadcast when its files show that it is small
-    (8 bytes in memory per file byte assumed), otherwise left to a shuffle join."""
-    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return F.broadcast(table) if size * 8 <= limit else table

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadcast.llm.scratch import materialize, small_side
+from loadcast.llm.scratch import materialize
 from loadcast.llm.textbytes import Words, mix, sliding_min, slices
 
 WINDOW = 50
@@ -161,20 +161,21 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
     documents = runs.select("doc_id", "seq_a", "seq_b").join(owners, ["seq_a", "seq_b"])
     copies = documents.filter("doc_id > own").select("doc_id", "seq_a").distinct()
 
-    rows = runs.select("doc_id", "seq_a", "seq_b", F.explode("runs").alias("r")) \
-        .select("doc_id", "seq_a", "seq_b", "r.key", "r.start", "r.stop")
+    rows = runs.select("doc_id", "seq_a", F.explode("runs").alias("r")) \
+        .select("doc_id", "seq_a", "r.key", "r.start", "r.stop")
     keys = runs.select("doc_id", F.explode("runs").alias("r")).groupBy("r.key").agg(
         F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.max("r.anchor").alias("anchor"))
     shared = materialize(keys.filter("lo < hi").select("key", "anchor"))
-    own_runs = rows.join(small_side(shared), "key") \
-        .groupBy("doc_id", "seq_a", "seq_b").agg(F.collect_list(F.struct("start", "stop", "anchor")).alias("runs")) \
-        .join(owners.withColumnRenamed("own", "doc_id"), ["doc_id", "seq_a", "seq_b"], "left_semi")
-    hits = materialize(own_runs.filter(F.exists("runs", lambda r: r["anchor"])).drop("seq_b"))
+    own_runs = rows.join(shared, "key") \
+        .groupBy("doc_id", "seq_a").agg(F.collect_list(F.struct("start", "stop", "anchor")).alias("runs")) \
+        .join(owners.select(F.col("own").alias("doc_id"), "seq_a"), ["doc_id", "seq_a"], "left_semi")
+    hits = materialize(own_runs.filter(F.exists("runs", lambda r: r["anchor"])))
     texts = docs.select("doc_id", "text").distinct() if _repeated_ids(docs) else docs.select("doc_id", "text")
-    windows = materialize(_candidate_windows(texts.join(small_side(hits), "doc_id"), window))
+    windows = materialize(_candidate_windows(texts.join(hits, "doc_id"), window))
 
-    firsts = windows.groupBy("h", "g").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")) \
-        .filter("lo < hi").select("h", "g", "lo")
+    # written, so that the join below has plain exchanges on both sides and a hot passage can be split
+    firsts = materialize(windows.groupBy("h", "g").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+                         .filter("lo < hi").select("h", "g", "lo"))
     later = windows.join(firsts, ["h", "g"]).filter("doc_id > lo")
     marked = later.groupBy("doc_id", "seq_a").agg(F.collect_list("s").alias("starts"))
     marks = copies.select("doc_id", "seq_a", F.lit(True).alias("copy"), F.array().cast("array<int>").alias("starts")) \
@@ -193,7 +194,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     starts in a document with a smaller doc_id; windows are judged on the input. Extra columns stay."""
     marks = repeats(docs, window, gram)
     found = marks.withColumnsRenamed({"doc_id": "_marked_id", "marks": "_marks"})
-    joined = docs.join(small_side(found), docs["doc_id"] == F.col("_marked_id"), "left").drop("_marked_id")
+    joined = docs.join(found, docs["doc_id"] == F.col("_marked_id"), "left").drop("_marked_id")
     schema = T.StructType([*docs.schema.fields, T.StructField("kept_text", T.StringType()),
                            T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
     names = docs.columns
