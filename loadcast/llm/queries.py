@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadcast.llm import neardup, substring
+from loadcast.llm import bpe, neardup, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -26,6 +26,13 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+def tokenizer_file(name: str) -> str:
+    """Path of a public tokenizer file (found through the installed package, never copied)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -82,6 +89,17 @@ def op9_fixed_block_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFra
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@register("op6_bpe_automaton")
+def op6_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merge automaton of word_bpe_49k.json over whole documents, and back."""
+    path = tokenizer_file("word_bpe_49k.json")
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
+    out = bpe.decode(encoded, path)
+    return out.select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+                      F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
