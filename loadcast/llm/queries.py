@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadcast.llm import bpe, neardup, substring
+from loadcast.llm import bpe, coder, neardup, substring
+from loadcast.llm.scratch import folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,6 +58,14 @@ SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.c AS component_id, s.
 FROM sets s JOIN comp c ON s.doc_id = c.x"""
 
 
+@register("op2_context_mixing_coder")
+def op2_context_mixing_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ACTION. Ids of byte_bpe_50k.json written as range-coded blocks and read back."""
+    place = folder(spark)
+    coder.write(table(spark, sf_dir, "documents"), place, tokenizer_file("byte_bpe_50k.json"), end_id=0)
+    return coder.read(spark, place).select("doc_id", "start", F.col("n_ids").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 @register("op4_minhash_near_dedup", _OP4_ORACLE)
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ACTION. Tensored-banding near-duplicate components: 3-word shingles, Jaccard >= 0.85."""
