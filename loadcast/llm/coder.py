@@ -34,7 +34,7 @@ from loadcast.llm.textbytes import slices
 
 BLOCK_IDS = 1 << 20
 LANES = 4096
-CACHED_PIECES = 300_000
+CACHED_PIECES = 600_000
 
 _MAGIC = b"CMR1"
 _HEAD = struct.Struct("<4sIIIIII")  # magic, ids, documents, lanes, largest id + 1, crc of ids, crc of what follows
@@ -42,17 +42,23 @@ _TOTAL_BITS = 28
 _TOTAL = 1 << _TOTAL_BITS
 _BOTTOM = np.uint64(1 << 32)
 _SLOTS_BITS = 18
+_FINE = 20  # order-0 counts never add up to more than 2**20, and smallest order-0 shares are 2**20 wide
+_ROOM = np.uint64(1 << 48)
 _U = np.uint64
 _BLOCKS = "part bigint, block bigint, n_docs bigint, n_ids bigint, split boolean, payload binary"
 
 
+# next trust of an entry by trust (first eight: its guess was wrong, last eight: right)
+_NEXT_TRUST = np.array([1, 1, 1, 1, 2, 2, 3, 3, 1, 2, 3, 4, 5, 6, 7, 7], dtype=np.int64)
+
+
 class _Model:
     """Shared adaptive state of a block; every method works on one step of all active lanes."""
 
     def __init__(self, symbols: int):
         self.symbols = symbols
         self.freq = np.ones(symbols, dtype=np.int64)
-        self.cum = np.arange(symbols + 1, dtype=np.int64)
+        self.cum = (np.arange(symbols + 1, dtype=np.int64) << _FINE) // max(1, symbols)  # scaled to 2**20
         self.guess = [np.full(symbols + 1, -1, dtype=np.int32), np.full(1 << _SLOTS_BITS, -1, dtype=np.int32)]
         self.trust = [np.zeros(symbols + 1, dtype=np.int64), np.zeros(1 << _SLOTS_BITS, dtype=np.int64)]
         self.right = [np.ones(8, dtype=np.int64), np.ones(8, dtype=np.int64)]
@@ -67,22 +73,24 @@ class _Model:
         self.g1, self.g2 = self.guess[0][one], self.guess[1][slot]
         self.c1, self.c2 = self.trust[0][one], self.trust[1][slot]
         share = [np.minimum(_TOTAL * r // t, _TOTAL - _TOTAL // 16) for r, t in zip(self.right, self.tried)]
-        m2 = np.where(self.g2 >= 0, share[1][self.c2], 0)
+        share[0][0] = share[1][0] = 0  # trust 0: no guess yet
+        m2 = share[1][self.c2]
         rest = _TOTAL - m2
-        self.apart = (self.g1 >= 0) & (self.g1 != self.g2)
-        m1 = np.where(self.apart, rest * share[0][self.c1] >> _TOTAL_BITS, 0)
+        self.apart = self.g1 != self.g2
+        m1 = (rest * share[0][self.c1] >> _TOTAL_BITS) * self.apart
         return m2, m1, rest - m1
 
     def interval(self, ids: np.ndarray, m2, m1, m0):
         """Start and size of each id's interval."""
-        total = int(self.cum[-1])
-        lo = m0 * self.cum[ids] // total
-        size = m0 * self.cum[ids + 1] // total - lo
+        lo = m0 * self.cum[ids] >> _FINE
+        size = (m0 * self.cum[ids + 1] >> _FINE) - lo
         start = m2 + m1 + lo
-        is1 = self.apart & (ids == self.g1)
-        is2 = ids == self.g2
-        start, size = np.where(is1, m2, start), np.where(is1, m1, size)
-        return np.where(is2, 0, start), np.where(is2, m2, size)
+        self.hit2, self.hit1 = ids == self.g2, ids == self.g1
+        at = np.flatnonzero(self.hit1)
+        start[at], size[at] = m2[at], m1[at]
+        at = np.flatnonzero(self.hit2)
+        start[at], size[at] = 0, m2[at]
+        return start, size
 
     def find(self, value: np.ndarray, m2, m1, m0) -> np.ndarray:
         """The id whose interval holds each value."""
@@ -90,22 +98,23 @@ class _Model:
         low = np.flatnonzero(value >= m2 + m1)
         if len(low):
             v = value[low] - (m2 + m1)[low]
-            y = ((v + 1) * int(self.cum[-1]) - 1) // m0[low]
+            y = (((v + 1) << _FINE) - 1) // m0[low]
             ids[low] = np.searchsorted(self.cum, y, side="right") - 1
         return ids
 
     def learn(self, ids: np.ndarray) -> None:
-        hit2, hit1 = ids == self.g2, ids == self.g1
-        for k, (hit, seen, trust) in enumerate(((hit1, self.apart & ~hit2, self.c1), (hit2, self.g2 >= 0, self.c2))):
-            self.tried[k] += np.bincount(trust[seen], minlength=8)
-            self.right[k] += np.bincount(trust[seen & hit], minlength=8)
+        for k, (hit, seen, trust, guess) in enumerate((
+                (self.hit1, self.apart & ~self.hit2 & (self.c1 > 0), self.c1, self.g1),
+                (self.hit2, self.c2 > 0, self.c2, self.g2))):
+            both = np.bincount((trust + 8 * hit)[seen], minlength=16)
+            self.tried[k] += both[:8] + both[8:]
+            self.right[k] += both[8:]
             if self.tried[k].max() > 1 << 20:
                 self.tried[k] = (self.tried[k] >> 1) + 2
                 self.right[k] = (self.right[k] >> 1) + 1
-            keep = hit | (trust > 1)
-            guess = self.g1 if k == 0 else self.g2
-            self.guess[k][self.at[k]] = np.where(keep, guess, ids)
-            self.trust[k][self.at[k]] = np.where(hit, np.minimum(trust + 1, 7), np.where(trust > 1, trust >> 1, 1))
+            where = self.at[k]
+            self.guess[k][where] = np.where(hit | (trust > 1), guess, ids)
+            self.trust[k][where] = _NEXT_TRUST[trust + 8 * hit]
         self.fresh.append(ids)
         self.step += 1
         if self.step < 8 or self.step % 8 == 0:
@@ -113,23 +122,21 @@ class _Model:
             self.fresh = []
             while int(self.freq.sum()) > 1 << 20:
                 self.freq = (self.freq + 1) >> 1
-            np.cumsum(self.freq, out=self.cum[1:])
+            cum = np.cumsum(self.freq)
+            self.cum[1:] = (cum << _FINE) // cum[-1]
 
 
 def _settle(low: np.ndarray, rng: np.ndarray, emit) -> None:
     """Shift out 16-bit words until every lane has room again; ``emit(lanes)`` is called before each shift."""
-    lanes = None
-    while True:
-        a, r = (low, rng) if lanes is None else (low[lanes], rng[lanes])
+    lanes = np.flatnonzero(rng <= _ROOM)  # others have room
+    while len(lanes):
+        a, r = low[lanes], rng[lanes]
         same = ((a ^ (a + (r - _U(1)))) >> _U(48)) == 0
         short = ~same & (r < _BOTTOM)
-        picked = np.flatnonzero(same | short)
-        if not len(picked):
-            return
-        cut = short[picked]
-        lanes = picked if lanes is None else lanes[picked]
-        a, r = low[lanes], rng[lanes]
-        r = np.where(cut, (_U(0) - a) & (_BOTTOM - _U(1)), r)
+        if short.any():
+            r = np.where(short, (_U(0) - a) & (_BOTTOM - _U(1)), r)
+            same |= short
+        lanes, a, r = lanes[same], a[same], r[same]
         emit(lanes)
         low[lanes] = a << _U(16)
         r = r << _U(16)
@@ -236,6 +243,22 @@ def decode_block(block: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray
     return doc_ids, lengths, ids, skips, bool(docs and marks[-1] & 2)
 
 
+class _Pieces(dict):
+    """Piece -> little-endian ids, filled on demand by the library's model; emptied when full."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.tokenize, self.symbols = model.tokenize, byte_symbols()
+
+    def __missing__(self, piece: str) -> bytes:
+        symbols = self.symbols
+        ids = [t.id for t in self.tokenize("".join([symbols[b] for b in piece.encode()]))]
+        if len(self) >= CACHED_PIECES:
+            self.clear()
+        out = self[piece] = np.array(ids, dtype="<u4").tobytes()
+        return out
+
+
 class PieceTokenizer:
     """A byte-level tokenizer file: texts are split by its public pattern, each distinct piece is
     encoded once by the library's model, special strings in texts become their ids (library default)."""
@@ -244,7 +267,6 @@ class PieceTokenizer:
         from tokenizers import Tokenizer
 
         whole = Tokenizer.from_str(definition)
-        self.model = whole.model
         # Fixed text: the split pattern of byte-level pre-tokenizers.
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         self.find = regex.compile(pattern).findall
@@ -252,27 +274,17 @@ class PieceTokenizer:
         self.special = {t.content: i for i, t in whole.get_added_tokens_decoder().items()}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")").split \
             if self.special else (lambda text: [text])
-        self.symbols = byte_symbols()
-        self.known: dict[str, bytes] = {}
-
-    def _piece(self, piece: str) -> bytes:
-        symbols = self.symbols
-        ids = [t.id for t in self.model.tokenize("".join([symbols[b] for b in piece.encode()]))]
-        if len(self.known) >= CACHED_PIECES:
-            self.known.clear()
-        out = self.known[piece] = np.array(ids, dtype="<u4").tobytes()
-        return out
+        self.pieces = _Pieces(whole.model)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        known, parts = self.known, []
+        look, parts = self.pieces.__getitem__, []
         for k, segment in enumerate(self.cut(text)):
             if k % 2:
                 parts.append(np.array([self.special[segment]], dtype="<u4").tobytes())
             elif segment:
-                for piece in (self.find_latin if _is_latin(segment) else self.find)(segment):
-                    parts.append(known.get(piece) or self._piece(piece))
+                parts.extend(map(look, (self.find_latin if _is_latin(segment) else self.find)(segment)))
         return b"".join(parts)
 
 
