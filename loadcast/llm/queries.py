@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadcast.llm import bpe, coder, neardup, substring
+from loadcast.llm import bpe, chat, coder, mixing, neardup, substring, warc
 from loadcast.llm.scratch import folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,6 +109,103 @@ def op6_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+@register("op5_content_addressed_warc")
+def op5_content_addressed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ACTION. Pages archived with payloads stored once, read back from the rebuilt records."""
+    place = folder(spark)
+    warc.write(table(spark, sf_dir, "pages"), place)
+    return warc.parse(warc.records(spark, place)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+# Fixed values of the mixing query: weights by level, share of all tokens, passes, seed.
+MIX_WEIGHTS = {"domain": {"0": 1.0, "1": 2.0, "2": 3.0, "3": 1.5}, "lang": {"en": 1.0, "de": 2.0, "fr": 2.0, "es": 3.0},
+               "source": {"src0": 0.5}}
+MIX = {"fraction": 0.5, "max_epochs": 3, "seed": 7}
+
+
+def source_domain():
+    """Domain of a source in the test tables: its number modulo four."""
+    return F.pmod(F.regexp_extract("source", r"(\d+)$", 1).try_cast("int"), F.lit(4)).cast("string")
+
+
+def _mix_level(name: str, above: str, keys: list[str], weight: str) -> str:
+    """Budgets of one level of the tree in SQL: closed-form water filling per parent."""
+    up, cols = keys[:-1], ", ".join(keys)
+    on = " AND ".join(f"c.{k} IS NOT DISTINCT FROM p.{k}" for k in up) or "true"
+    part = f"PARTITION BY {', '.join(up)}" if up else ""
+    return f"""
+{name}_c AS (SELECT {cols}, sum(supply) * {MIX['max_epochs']}::DOUBLE AS capacity, {weight} AS weight FROM supply GROUP BY {cols}),
+{name}_r AS (SELECT {', '.join('c.' + k for k in keys)}, capacity, weight, p.budget AS parent, capacity / weight AS ratio
+  FROM {name}_c c JOIN {above} p ON {on}),
+{name}_l AS (SELECT *, (parent - coalesce(sum(capacity) OVER ({part} ORDER BY ratio, {cols} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+  / sum(weight) OVER ({part} ORDER BY ratio, {cols} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM {name}_r),
+{name}_w AS (SELECT *, max(CASE WHEN ratio >= level THEN level END) OVER ({part}) AS water FROM {name}_l),
+{name} AS (SELECT {cols}, CASE WHEN water IS NULL THEN capacity ELSE least(capacity, weight * water) END AS budget FROM {name}_w)"""
+
+
+def _case(level: str) -> str:
+    whens = " ".join(f"WHEN {level} = '{k}' THEN {v!r}::DOUBLE" for k, v in MIX_WEIGHTS[level].items())
+    return f"(CASE {whens} ELSE 1.0::DOUBLE END)"
+
+
+_OP7_ORACLE = rf"""
+WITH base AS (SELECT doc_id, lang, source, text, CAST(CAST(regexp_extract(source, '(\d+)$', 1) AS INT) % 4 AS VARCHAR) AS domain,
+  CAST(len({_WORDS.format("coalesce(text, '')")}) AS BIGINT) AS n_tokens FROM documents),
+supply AS (SELECT domain, lang, source, sum(n_tokens)::DOUBLE AS supply FROM base GROUP BY ALL),
+root AS (SELECT least(sum(supply) * {MIX['fraction']}::DOUBLE, sum(supply) * {MIX['max_epochs']}::DOUBLE) AS budget FROM supply),
+{_mix_level("l1", "root", ["domain"], _case("domain"))},
+{_mix_level("l2", "l1", ["domain", "lang"], _case("lang"))},
+{_mix_level("l3", "l2", ["domain", "lang", "source"], _case("source"))},
+leaf AS (SELECT domain, lang, source, CAST(floor(budget + 1e-6) AS BIGINT) AS target, CAST(supply AS BIGINT) AS supply
+  FROM l3 JOIN supply USING (domain, lang, source)),
+placed AS (SELECT b.*, target, target // supply AS epochs, target % supply AS rest FROM base b JOIN leaf USING (domain, lang, source)),
+ordered AS (SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source
+  ORDER BY md5(concat('{MIX['seed']}', ':', epochs, ':', doc_id)), doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM placed)
+SELECT doc_id, domain, lang, source, n_tokens, target, CAST(epochs AS BIGINT) AS epochs,
+  CAST(epochs * n_tokens + greatest(0, least(n_tokens, rest - pos)) AS BIGINT) AS taken FROM ordered"""
+
+
+@register("op7_hierarchical_mixing", _OP7_ORACLE)
+def op7_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ACTION. Budgets through domain, language and source, and each leaf's token prefix."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", "source", mixing.word_tokens().alias("words"), F.md5(F.col("text").cast("binary")).alias("text"))
+    return mixing.mix(docs, source_domain(), weights=MIX_WEIGHTS, tokens=F.col("words"), **MIX).select(
+        "doc_id", "domain", "lang", "source", "n_tokens", "target", "epochs", "taken")
+
+
+_SPECIAL = "</s>[INST] ok [/INST]"
+
+_OP8_ORACLE = rf"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{_SPECIAL}' UNION ALL SELECT -1, 1, 'assistant', '{_SPECIAL}'),
+e AS (SELECT *, lag(role) OVER w AS before, length(replace(replace(role, '\', '\\'), '<|', '<\|')) AS role_chars,
+  length(replace(replace(text, '\', '\\'), '<|', '<\|')) AS text_chars FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text))
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(text_chars + CASE WHEN before IS NULL OR before <> role THEN role_chars + 8 + 8 + 7 ELSE 8 END) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id"""
+
+
+@register("op8_relational_chat", _OP8_ORACLE)
+def op8_relational_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations and one with control-like texts, formatted and read back from the formatted text."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    special = spark.range(2).select(F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+                                    F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                    F.lit(_SPECIAL).alias("text"))
+    back = chat.read_back(chat.format_conversations(turns.unionByName(special)))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join("loss_texts", "")
+    return back.select("conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(said.cast("binary"), 256).alias("turns_sha256"),
+                       F.char_length(loss).cast("bigint").alias("loss_chars"), F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
+                       F.char_length("formatted").cast("bigint").alias("formatted_chars"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
