@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadcast.llm import bpe, chat, coder, mixing, neardup, substring, warc
+from loadcast.llm import bpe, chat, coder, embeddings, mixing, neardup, quality, substring, warc
 from loadcast.llm.scratch import folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,14 @@ def op2_context_mixing_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coder.read(spark, place).select("doc_id", "start", F.col("n_ids").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+@register("op3_bradley_terry_quality")
+def op3_bradley_terry_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ACTION. Pairwise ranking learned outside the held-out third, every document scored."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
 @register("op4_minhash_near_dedup", _OP4_ORACLE)
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ACTION. Tensored-banding near-duplicate components: 3-word shingles, Jaccard >= 0.85."""
@@ -206,6 +214,25 @@ def op8_relational_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.char_length("formatted").cast("bigint").alias("formatted_chars"))
 
 
+_OP10_ORACLE = """
+WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda e: CAST(e AS DOUBLE)) AS x FROM embeddings),
+ok AS (SELECT vec_id, x FROM v WHERE x IS NOT NULL AND len(list_filter(x, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+  AND list_inner_product(x, x) > 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.95),
+reach(x, y) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+comp AS (SELECT x, min(y) AS c FROM reach GROUP BY x),
+degree AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT v.vec_id, coalesce(d.n, 0) AS n_links, c.c AS component_id, v.vec_id = c.c AS kept
+FROM v JOIN comp c ON v.vec_id = c.x LEFT JOIN degree d ON v.vec_id = d.x"""
+
+
+@register("op10_iterative_quantisation", _OP10_ORACLE)
+def op10_iterative_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ACTION. Links of cosine >= 0.95 through learned binary codes, and their components."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
