@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadcast.llm import bpe, chat, coder, embeddings, mixing, neardup, quality, substring, warc
+from loadcast.llm import bpe, chat, coder, embeddings, iblt, mixing, neardup, quality, substring, warc
 from loadcast.llm.scratch import folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,12 @@ SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.c AS component_id, s.
 FROM sets s JOIN comp c ON s.doc_id = c.x"""
 
 
+@register("op1_iblt_fingerprints")
+def op1_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invertible sketches of every text and its edited version, and likeness by peeling."""
+    return iblt.fingerprints(table(spark, sf_dir, "documents"))
+
+
 @register("op2_context_mixing_coder")
 def op2_context_mixing_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ACTION. Ids of byte_bpe_50k.json written as range-coded blocks and read back."""
