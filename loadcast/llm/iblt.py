@@ -26,11 +26,10 @@ from pyspark.sql import functions as F
 
 CELLS = 24          # cells of the fingerprint's table: three parts of eight
 LONG_LINE = 160     # characters from which a line is cut after its sentence ends
-PER_GROUP = 10      # digests of both sides per group in the retry
-WIDER = (24, 60, 180)  # cells of a group's table, try by try
+PER_GROUP = 6       # digests of both sides per group in the retry
+WIDER = (18, 48, 144)  # cells of a group's table, try by try
 ROUNDS = 12         # peeling rounds per table
 SPAN = 64           # consecutive ids per bucket
-_CELL = "struct<n:int,k:bigint,h:bigint>"
 
 
 def digests(text: Column) -> Column:
@@ -51,42 +50,50 @@ def _entry(digest: str, cells: int, seed: int, sign: str = "1") -> str:
 
 
 def _table(digest_array: str, cells: int, seed: int) -> str:
-    """The cells of a digest array."""
-    return (f"transform(array(transform({digest_array}, d -> {_entry('d', cells, seed)})), es -> "
-            f"transform(sequence(0, {cells - 1}), i -> aggregate(es, cast(named_struct('n', 0, 'k', 0, 'h', 0) as {_CELL}), (a, e) -> "
-            f"if(e.p0 = i or e.p1 = i or e.p2 = i, cast(named_struct('n', a.n + 1, 'k', a.k ^ e.d, 'h', a.h ^ e.c) as {_CELL}), a))))[0]")
+    """The cells of a digest array, part by part (a digest has one cell in each part)."""
+    part = cells // 3
+    parts = [f"transform(sequence({j * part}, {j * part + part - 1}), i -> aggregate(es, named_struct('n', 0, 'k', 0L, 'h', 0L), "
+             f"(a, e) -> if(e.p{j} = i, named_struct('n', a.n + e.s, 'k', a.k ^ e.d, 'h', a.h ^ e.c), a)))" for j in range(3)]
+    return (f"transform(array(transform({digest_array}, d -> {_entry('d', cells, seed)})), es -> concat({', '.join(parts)}))[0]")
 
 
 def _difference(left: str, right: str) -> str:
     """Cell-wise subtraction of two tables."""
-    return (f"zip_with({left}, {right}, (x, y) -> cast(named_struct('n', x.n - y.n, 'k', x.k ^ y.k, 'h', x.h ^ y.h) as {_CELL}))")
+    return f"zip_with({left}, {right}, (x, y) -> named_struct('n', x.n - y.n, 'k', x.k ^ y.k, 'h', x.h ^ y.h))"
 
 
 def _peeled(cells_expr: str, cells: int, seed: int) -> str:
     """Number of digests recovered from a difference, NULL when cells are left over."""
-    state = f"struct<cells:array<{_CELL}>,found:int>"
+    part = cells // 3
     pure = (f"array_distinct(transform(filter(st.cells, c -> abs(c.n) = 1 and c.h = xxhash64(c.k, 'check') & 4294967295), "
             f"c -> {_entry('c.k', cells, seed, 'c.n')}))")
-    out = (f"cast(named_struct('n', a.n - p.s, 'k', a.k ^ p.d, 'h', a.h ^ p.c) as {_CELL})")
-    taken = (f"transform(st.cells, (c, i) -> aggregate(ps, c, (a, p) -> if(p.p0 = i or p.p1 = i or p.p2 = i, {out}, a)))")
-    step = (f"transform(array({pure}), ps -> if(size(ps) = 0, st, cast(named_struct('cells', {taken}, "
-            f"'found', st.found + size(ps)) as {state})))[0]")
-    run = (f"aggregate(sequence(1, {ROUNDS}), cast(named_struct('cells', {cells_expr}, 'found', 0) as {state}), (st, r) -> {step})")
-    return (f"transform(array({run}), z -> if(forall(z.cells, c -> c.n = 0 and c.k = 0 and c.h = 0), z.found, null))[0]")
+    taken = (f"transform(st.cells, (c, i) -> aggregate(ps, c, (a, p) -> "
+             f"if(if(i < {part}, p.p0, if(i < {2 * part}, p.p1, p.p2)) = i, "
+             f"named_struct('n', a.n - p.s, 'k', a.k ^ p.d, 'h', a.h ^ p.c), a)))")
+    step = (f"transform(array({pure}), ps -> if(size(ps) = 0, st, named_struct('cells', {taken}, "
+            f"'found', st.found + size(ps))))[0]")
+    run = f"aggregate(sequence(1, {ROUNDS}), named_struct('cells', {cells_expr}, 'found', 0), (st, r) -> {step})"
+    return f"transform(array({run}), z -> if(forall(z.cells, c -> c.n = 0 and c.k = 0 and c.h = 0), z.found, null))[0]"
 
 
 def _retried(left: str, right: str) -> str:
-    """Differing digests by groups: tables of growing width, then plain set difference."""
+    """Differing digests by groups: tables of growing width, then plain set difference.
+
+    Groups are dealt in two steps (about the square root of their number each), so a text of p
+    paragraphs costs p * sqrt(p) tests, not p * p."""
     tries = []
     for t, cells in enumerate(WIDER):
         seed = 101 * (t + 2)
         tries.append(_peeled(_difference(_table("x.a", cells, seed), _table("x.b", cells, seed)), cells, seed))
     exact = "size(array_except(x.a, x.b)) + size(array_except(x.b, x.a))"
-    one = (f"transform(array(named_struct('a', filter({left}, d -> pmod(d, g.n) = g.i), 'b', filter({right}, d -> pmod(d, g.n) = g.i))), "
-           f"x -> coalesce({', '.join(tries)}, {exact}))[0]")
-    count = f"cast(greatest(1, ceil((size({left}) + size({right})) / {PER_GROUP})) as int)"
-    groups = f"transform(array({count}), n -> transform(sequence(0, n - 1), i -> named_struct('n', n, 'i', i)))[0]"
-    return f"aggregate(transform({groups}, g -> {one}), 0, (acc, v) -> acc + v)"
+    side = f"cast(ceil(sqrt(greatest(1, (size({left}) + size({right})) / {PER_GROUP}))) as int)"
+    fine = (f"aggregate(transform(sequence(0, n - 1), i2 -> transform(array(named_struct("
+            f"'a', filter(w.a, d -> pmod(shiftright(d, 24), n) = i2), 'b', filter(w.b, d -> pmod(shiftright(d, 24), n) = i2))), "
+            f"x -> coalesce({', '.join(tries)}, {exact}))[0]), 0, (acc, v) -> acc + v)")
+    coarse = (f"aggregate(transform(sequence(0, n - 1), i1 -> transform(array(named_struct("
+              f"'a', filter({left}, d -> pmod(d, n) = i1), 'b', filter({right}, d -> pmod(d, n) = i1))), w -> {fine})[0]), "
+              f"0, (acc, v) -> acc + v)")
+    return f"transform(array({side}), n -> {coarse})[0]"
 
 
 def sketch(digest_array: str, cells: int = CELLS) -> Column:
