@@ -33,7 +33,7 @@ from loadcast.llm.bpe import _is_latin, _latin, byte_symbols
 from loadcast.llm.textbytes import slices
 
 BLOCK_IDS = 1 << 20
-LANES = 4096
+LANES = 8192
 CACHED_PIECES = 600_000
 
 _MAGIC = b"CMR1"
@@ -252,10 +252,14 @@ class _Pieces(dict):
 
     def __missing__(self, piece: str) -> bytes:
         symbols = self.symbols
-        ids = [t.id for t in self.tokenize("".join([symbols[b] for b in piece.encode()]))]
+        if piece.isascii() and piece.isprintable():  # only the space has a stand-in among these
+            text = piece.replace(" ", symbols[32])
+        else:
+            text = "".join([symbols[b] for b in piece.encode()])
+        ids = [t.id for t in self.tokenize(text)]
         if len(self) >= CACHED_PIECES:
             self.clear()
-        out = self[piece] = np.array(ids, dtype="<u4").tobytes()
+        out = self[piece] = struct.pack(f"<{len(ids)}I", *ids)
         return out
 
 

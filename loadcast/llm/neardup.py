@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadcast.llm.components import connected
@@ -44,7 +44,7 @@ MISS = 2e-5         # accepted chance that a pair exactly at the threshold share
 BLOCK = 512         # members of a group compared against each other in one cell
 FIRST_PARTNERS = 3  # partners per class sent to verification in round one (round two takes the rest)
 
-_SIGNATURE = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, half_keys binary, bitmap binary"
+_SIGNATURE = "doc_id bigint, row bigint, n_shingles bigint, set_a bigint, set_b bigint, half_keys binary, bitmap binary"
 
 
 def half_key_count(threshold: float, rows: int = ROWS, miss: float = MISS) -> int:
@@ -95,7 +95,7 @@ def signatures(docs: DataFrame, shingle: int, m: int, rows: int = ROWS) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(batch.schema.get_field_index("doc_id"))
+            ids, rows_ = (batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "row"))
             for a, b, data, offsets in slices(batch, "text"):
                 values, at = _shingle_sets(data, offsets, shingle)
                 size = np.diff(at)
@@ -112,11 +112,16 @@ def signatures(docs: DataFrame, shingle: int, m: int, rows: int = ROWS) -> DataF
                         keys[full, j] = (h >> np.uint64(32)).astype(np.uint32)
                 bitmaps = [_bitmap(values[x:y]) if y > x else b"" for x, y in zip(at[:-1].tolist(), at[1:].tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, b - a).cast(pa.int64()), pa.array(size, pa.int64()), pa.array(set_a), pa.array(set_b),
+                    [ids.slice(a, b - a).cast(pa.int64()), rows_.slice(a, b - a), pa.array(size, pa.int64()), pa.array(set_a), pa.array(set_b),
                      pa.array([k.tobytes() for k in keys], pa.binary()), pa.array(bitmaps, pa.binary())],
-                    names=["doc_id", "n_shingles", "set_a", "set_b", "half_keys", "bitmap"])
+                    names=["doc_id", "row", "n_shingles", "set_a", "set_b", "half_keys", "bitmap"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, _SIGNATURE)
+    return docs.select("doc_id", _row_key().alias("row"), "text").mapInArrow(run, _SIGNATURE)
+
+
+def _row_key() -> Column:
+    """A key by which a document's text is found again: its id, or a hash of the text where it has none."""
+    return F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text"))
 
 
 def _upper_bound(bits_x: np.ndarray, bits_y: np.ndarray, nx: np.ndarray, ny: np.ndarray) -> np.ndarray:
@@ -247,9 +252,9 @@ def _candidates(cells: DataFrame, m: int, percent: int, partners: int | None) ->
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Pairs whose full shingle sets reach the threshold. Texts are joined by document id and must
+    """Pairs whose full shingle sets reach the threshold. Texts are joined by row key and must
     reproduce the class digest, so a repeated id with another text can not stand in."""
-    texts = docs.select("doc_id", "text").filter("text is not null")
+    texts = docs.select(_row_key().alias("row"), "text").filter("text is not null")
 
     def digest_and_set(text: str):
         raw = np.frombuffer(text.encode(), dtype=np.uint8)
@@ -272,8 +277,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64())),
                                               batch.column(1).take(pa.array(keep, pa.int64()))], names=["src", "dst"])
 
-    one = pairs.join(texts.withColumnsRenamed({"doc_id": "doc_x", "text": "text_x"}), "doc_x")
-    two = one.join(texts.withColumnsRenamed({"doc_id": "doc_y", "text": "text_y"}), "doc_y")
+    one = pairs.join(texts.withColumnsRenamed({"row": "doc_x", "text": "text_x"}), "doc_x")
+    two = one.join(texts.withColumnsRenamed({"row": "doc_y", "text": "text_y"}), "doc_y")
     return two.select("x", "y", "text_x", "text_y").mapInArrow(run, "src bigint, dst bigint")
 
 
@@ -287,8 +292,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rows:
     ids = signed.select("doc_id", "n_shingles", "set_a", "set_b")
     classes = materialize(
         signed.filter("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles")
-        .agg(F.min("doc_id").alias("low"), F.min(F.struct("doc_id", "half_keys", "bitmap")).alias("s"))
-        .select(F.col("set_a").alias("cls"), "set_b", "n_shingles", "low", F.col("s.doc_id").alias("rep"),
+        .agg(F.min("doc_id").alias("low"), F.min(F.struct("row", "half_keys", "bitmap")).alias("s"))
+        .select(F.col("set_a").alias("cls"), "set_b", "n_shingles", "low", F.col("s.row").alias("rep"),
                 F.col("s.half_keys").alias("half_keys"), F.col("s.bitmap").alias("bitmap")))
 
     # half keys in little-endian bytes: 4 bytes each, the first m are the A collection
