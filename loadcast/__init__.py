@@ -7,7 +7,6 @@ unless its docstring says so. Sub-packages:
 * ``functions`` - Column-level helpers (parsing, normalisation, calendar parts)
 * ``operators`` - reusable DataFrame operators (reshape, spine, windows, splits, joins)
 * ``plans``     - the user-level jobs composed from the operators (features, gold, evaluation, delivery, ML)
-* ``streaming`` - intentionally empty (the modelled pipeline is batch only)
 """
 
 from loadcast.session import get_session, pin_session

@@ -49,7 +49,9 @@ def row_index(
     """Add the 1-based position of each row within its key (ties broken arbitrarily, as row_number).
 
     ``bucket`` defaults to the day of ``order``. ``with_count`` also adds ``_cnt`` = rows of the key."""
-    b = bucket if bucket is not None else F.date_trunc("day", F.col(order))
+    # rows without an order value come first, as in an ascending sort: they get a bucket before all days
+    b = bucket if bucket is not None else F.coalesce(
+        F.date_trunc("day", F.col(order)), F.lit("0001-01-01 00:00:00").cast("timestamp"))
     keyed, ks = _null_free_keys(df.withColumn("_bkt", b), keys)
     local = keyed.withColumn("_rn", F.row_number().over(Window.partitionBy(*ks, "_bkt").orderBy(order)))
     counts = keyed.groupBy(*ks, "_bkt").agg(F.count(F.lit(1)).alias("_n"))

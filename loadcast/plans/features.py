@@ -27,6 +27,7 @@ def hourly_features(
     lags=TARGET_LAGS, window: int = ROLLING_WINDOW, gap: int = 1, min_history_rows: int = MIN_HISTORY_ROWS,
     scale: int = 2, exact: bool = True, block_rows: int | None = DEFAULT_BLOCK_ROWS,
     densify: tuple | None = None, ts_type: str = "timestamp", since=None, step_hours: int = 1,
+    gap_free: bool = False,
 ) -> DataFrame:
     """Positional lags (default 48/168/336), trailing mean/std over the 168 rows before each row
     (``gap=1``; ``gap=48`` gives a leak-free variant for a 48 h horizon), lag differences,
@@ -39,15 +40,17 @@ def hourly_features(
     ``block_rows=None``: one exchange by group, one sort, one Window node - the cheaper plan
     when groups are many and each is small (e.g. one row per group and hour).
     ``densify=(start, end)``: fill the hourly grid first, so lags are temporal on gapped data.
-    ``since``: only rows from ``since`` on are wanted - the input is filtered to
-    ``ts >= since - (longest lookback + head rows) * step`` before any shuffle (pushed to the scan
-    when ``ts`` is a stored column), so an inference window does not read the whole history.
-    Exact for gap-free series (one row per group and step), which is what the padding assumes."""
+    ``since``: only rows from ``since`` on are wanted. Lags and the head drop count rows, so on series
+    with gaps no number of hours bounds what they need: the whole history is computed and filtered.
+    ``gap_free=True`` (the caller's statement: one row per group and step) lets the input be filtered to
+    ``ts >= since - (longest lookback + head rows) * step`` before any shuffle (pushed to the scan when
+    ``ts`` is a stored column); with ``densify`` the keys still come from the whole input, so it is not used."""
     keys = list(keys)
     if since is not None:
-        pad = (max(max(lags), window + gap) + min_history_rows) * step_hours
         lo = F.lit(since).cast(ts_type)
-        long = long.filter(F.col(ts) >= lo - F.expr(f"INTERVAL {pad} HOURS"))
+        if gap_free and densify is None:
+            pad = (max(max(lags), window + gap) + min_history_rows) * step_hours
+            long = long.filter(F.col(ts) >= lo - F.expr(f"INTERVAL {pad} HOURS"))
         out = hourly_features(long, keys, ts, value, lags, window, gap, min_history_rows, scale, exact, block_rows,
                               densify, ts_type)
         return out.filter(F.col(ts) >= lo)

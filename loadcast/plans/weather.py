@@ -45,9 +45,10 @@ def build_weather_long(landing: DataFrame, name_col: str, prefixes: Sequence[str
 
 def check_prefix_coverage(long: DataFrame, prefixes: Sequence[str] = WEATHER_KEYS) -> list[str]:
     """ACTION (bounded by the number of prefixes): prefixes without any source. Raises when none matched."""
-    found = {r[0] for r in long.select("weather_key").distinct().limit(len(prefixes) + 1).collect()}
+    known = F.col("weather_key").isin(list(prefixes))
+    found = {r[0] for r in long.filter(known).select("weather_key").distinct().collect()}
     if not found:
-        raise ValueError("No tables matched any prefixes.")
+        raise ValueError(f"no weather source for any of {', '.join(prefixes)}")
     missing = [p for p in prefixes if p not in found]
     for p in missing:
         warnings.warn(f"no weather source for prefix {p}", stacklevel=2)

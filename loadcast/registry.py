@@ -281,7 +281,7 @@ def q_hourly_features(spark, sf):
 def q_inference_features_since(spark, sf):
     """Features of the 48 h inference window computed from a pruned scan (window start minus
     lookback and head padding) instead of the whole history; equal on the gap-free hourly grid."""
-    feats = features.hourly_features(tv.consumption_long(spark, sf), since=tv.INFER_START, ts_type=TS)
+    feats = features.hourly_features(tv.consumption_long(spark, sf), since=tv.INFER_START, ts_type=TS, gap_free=True)
     return splits.split_window(feats, tv.INFER_START, tv.INFER_END, ts_type=TS)
 
 

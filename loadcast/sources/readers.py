@@ -62,7 +62,7 @@ def load_prefixed_tables(spark: SparkSession, database: str, prefixes: Sequence[
         for p in prefixes for t in matched[p]
     ]
     if not frames:
-        raise ValueError("No tables matched any prefixes.")
+        raise ValueError(f"{database} has no table for any of {', '.join(prefixes)}")
     missing = [p for p in prefixes if not matched[p]]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames), missing
 

@@ -88,5 +88,5 @@ def test_since_filter_reaches_the_scan(spark):
     events = spark.read.parquet(f"{SF_SMALL}/events.parquet").select(
         F.col("ts").alias("timestamp_utc"), (F.col("user_id") % 3).cast("int").alias("group_id"),
         F.col("value").alias("target_consumption"))
-    text = plan(features.hourly_features(events, since="2024-01-29 00:00:00", ts_type=tv.TS))
+    text = plan(features.hourly_features(events, since="2024-01-29 00:00:00", ts_type=tv.TS, gap_free=True))
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts,2024-01-01T00:00)]" in text, text[-2000:]

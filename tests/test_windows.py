@@ -170,3 +170,26 @@ def test_row_index_with_timestamp_and_string_keys(spark):
     assert idx.count() == 30
     per_key = idx.groupBy("kt", "ks").agg(F.max(index.IDX).alias("m"), F.count(F.lit(1)).alias("n")).collect()
     assert all(r["m"] == r["n"] for r in per_key)
+
+
+def test_row_index_keeps_rows_without_order_value(spark):
+    from pyspark.sql import functions as F
+
+    from loadcast.operators import index
+
+    df = spark.range(50).select(F.lit(1).alias("k"), F.when(F.col("id") > 0, F.timestamp_seconds(F.col("id") * 40_000)).alias("ts"), "id")
+    got = index.row_index(df, "ts", ["k"]).orderBy("_idx").collect()
+    assert [r["_idx"] for r in got] == list(range(1, 51)) and [r.id for r in got] == list(range(50))
+
+
+def test_since_keeps_every_row_of_a_gapped_series(spark):
+    from pyspark.sql import functions as F
+
+    from loadcast.plans import features
+
+    long = spark.range(720).select(F.lit(1).alias("group_id"), F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 10800).alias("timestamp_utc"),
+                                   (F.col("id") % 17).cast("double").alias("target_consumption"))
+    whole = features.hourly_features(long).filter("timestamp_utc >= timestamp'2024-03-15'")
+    since = features.hourly_features(long, since="2024-03-15 00:00:00")
+    assert whole.count() == since.count() > 100
+    assert whole.exceptAll(since).isEmpty()
