@@ -49,7 +49,8 @@ _BLOCKS = "part bigint, block bigint, n_docs bigint, n_ids bigint, split boolean
 
 
 # next trust of an entry by trust (first eight: its guess was wrong, last eight: right)
-_NEXT_TRUST = np.array([1, 1, 1, 1, 2, 2, 3, 3, 1, 2, 3, 4, 5, 6, 7, 7], dtype=np.int64)
+_NEXT_TRUST = np.array([1, 1, 1, 1, 2, 2, 3, 3, 1, 2, 3, 4, 5, 6, 7, 7], dtype=np.int32)
+_EMPTY = -8  # an entry is its guess * 8 + its trust; no guess yet: -1 with trust 0
 
 
 class _Model:
@@ -59,31 +60,31 @@ class _Model:
         self.symbols = symbols
         self.freq = np.ones(symbols, dtype=np.int64)
         self.cum = (np.arange(symbols + 1, dtype=np.int64) << _FINE) // max(1, symbols)  # scaled to 2**20
-        self.guess = [np.full(symbols + 1, -1, dtype=np.int32), np.full(1 << _SLOTS_BITS, -1, dtype=np.int32)]
-        self.trust = [np.zeros(symbols + 1, dtype=np.int64), np.zeros(1 << _SLOTS_BITS, dtype=np.int64)]
+        self.entries = [np.full(n, _EMPTY, dtype=np.int32) for n in (symbols + 1, 1 << _SLOTS_BITS)]
         self.right = [np.ones(8, dtype=np.int64), np.ones(8, dtype=np.int64)]
         self.tried = [np.full(8, 2, dtype=np.int64), np.full(8, 2, dtype=np.int64)]
         self.fresh: list[np.ndarray] = []
         self.step = 0
+        self.holder: np.ndarray | None = None  # id of every unit of ``cum``; only decoding asks for it
 
     def predict(self, one: np.ndarray, two: np.ndarray):
         """Guesses and interval sizes: order 2, order 1, and what is left for order 0."""
         slot = ((two * 0x9E3779B1 + one * 0x85EBCA6B) & 0xFFFFFFFF) >> (32 - _SLOTS_BITS)
         self.at = (one, slot)
-        self.g1, self.g2 = self.guess[0][one], self.guess[1][slot]
-        self.c1, self.c2 = self.trust[0][one], self.trust[1][slot]
+        self.e1, self.e2 = self.entries[0].take(one), self.entries[1].take(slot)
+        self.g1, self.g2, self.c1, self.c2 = self.e1 >> 3, self.e2 >> 3, self.e1 & 7, self.e2 & 7
         share = [np.minimum(_TOTAL * r // t, _TOTAL - _TOTAL // 16) for r, t in zip(self.right, self.tried)]
         share[0][0] = share[1][0] = 0  # trust 0: no guess yet
-        m2 = share[1][self.c2]
+        m2 = share[1].take(self.c2)
         rest = _TOTAL - m2
         self.apart = self.g1 != self.g2
-        m1 = (rest * share[0][self.c1] >> _TOTAL_BITS) * self.apart
+        m1 = (rest * share[0].take(self.c1) >> _TOTAL_BITS) * self.apart
         return m2, m1, rest - m1
 
     def interval(self, ids: np.ndarray, m2, m1, m0):
         """Start and size of each id's interval."""
-        lo = m0 * self.cum[ids] >> _FINE
-        size = (m0 * self.cum[ids + 1] >> _FINE) - lo
+        lo = m0 * self.cum.take(ids) >> _FINE
+        size = (m0 * self.cum.take(ids + 1) >> _FINE) - lo
         start = m2 + m1 + lo
         self.hit2, self.hit1 = ids == self.g2, ids == self.g1
         at = np.flatnonzero(self.hit1)
@@ -95,26 +96,28 @@ class _Model:
     def find(self, value: np.ndarray, m2, m1, m0) -> np.ndarray:
         """The id whose interval holds each value."""
         ids = np.where(value < m2, self.g2, self.g1).astype(np.int64)
-        low = np.flatnonzero(value >= m2 + m1)
+        over = value - m2 - m1
+        low = np.flatnonzero(over >= 0)
         if len(low):
-            v = value[low] - (m2 + m1)[low]
-            y = (((v + 1) << _FINE) - 1) // m0[low]
-            ids[low] = np.searchsorted(self.cum, y, side="right") - 1
+            if self.holder is None:
+                self.holder = np.repeat(np.arange(self.symbols, dtype=np.int32), np.diff(self.cum))
+            y = (((over[low] + 1) << _FINE) - 1) // m0[low]
+            ids[low] = self.holder.take(y)
         return ids
 
     def learn(self, ids: np.ndarray) -> None:
-        for k, (hit, seen, trust, guess) in enumerate((
-                (self.hit1, self.apart & ~self.hit2 & (self.c1 > 0), self.c1, self.g1),
-                (self.hit2, self.c2 > 0, self.c2, self.g2))):
-            both = np.bincount((trust + 8 * hit)[seen], minlength=16)
+        told = np.logical_or(self.hit2, ~self.apart)  # order 1 was not asked
+        fresh = (ids << 3).astype(np.int32)
+        for k, (hit, trust, entry, aside) in enumerate(((self.hit1, self.c1, self.e1, told), (self.hit2, self.c2, self.e2, None))):
+            case = trust + (hit.view(np.int8) << 3)
+            both = np.bincount(case if aside is None else case + (aside.view(np.int8) << 4), minlength=16)[:16]
+            both[[0, 8]] = 0  # no guess yet
             self.tried[k] += both[:8] + both[8:]
             self.right[k] += both[8:]
             if self.tried[k].max() > 1 << 20:
                 self.tried[k] = (self.tried[k] >> 1) + 2
                 self.right[k] = (self.right[k] >> 1) + 1
-            where = self.at[k]
-            self.guess[k][where] = np.where(hit | (trust > 1), guess, ids)
-            self.trust[k][where] = _NEXT_TRUST[trust + 8 * hit]
+            self.entries[k][self.at[k]] = np.where(case < 2, fresh, entry & -8) | _NEXT_TRUST.take(case)
         self.fresh.append(ids)
         self.step += 1
         if self.step < 8 or self.step % 8 == 0:
@@ -124,6 +127,7 @@ class _Model:
                 self.freq = (self.freq + 1) >> 1
             cum = np.cumsum(self.freq)
             self.cum[1:] = (cum << _FINE) // cum[-1]
+            self.holder = None
 
 
 def _settle(low: np.ndarray, rng: np.ndarray, emit) -> None:
