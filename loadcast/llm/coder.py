@@ -247,6 +247,9 @@ def decode_block(block: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray
     return doc_ids, lengths, ids, skips, bool(docs and marks[-1] & 2)
 
 
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(64)]
+
+
 class _Pieces(dict):
     """Piece -> little-endian ids, filled on demand by the library's model; emptied when full."""
 
@@ -263,7 +266,8 @@ class _Pieces(dict):
         ids = [t.id for t in self.tokenize(text)]
         if len(self) >= CACHED_PIECES:
             self.clear()
-        out = self[piece] = struct.pack(f"<{len(ids)}I", *ids)
+        n = len(ids)
+        out = self[piece] = _PACK[n](*ids) if n < len(_PACK) else struct.pack(f"<{n}I", *ids)
         return out
 
 
