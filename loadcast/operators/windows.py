@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, DecimalType, IntegerType, ShortType
 
 
 def spec(keys: Sequence[str], order: str | Sequence[str]) -> WindowSpec:
@@ -40,8 +41,28 @@ def lag_features(
 
 
 def _scaled(value: str, scale: int, wide: bool) -> Column:
-    x = F.round(F.col(value) * F.lit(10.0**scale)).cast("bigint")
-    return x.cast("decimal(38,0)") if wide else x
+    if wide:  # to decimal before scaling: no bigint in between
+        unit = F.lit(10**scale).cast(f"decimal({scale + 1},0)")
+        return (F.col(value).cast(f"decimal(38,{scale})") * unit).cast("decimal(38,0)")
+    return F.round(F.col(value) * F.lit(10.0**scale)).cast("bigint")
+
+
+def moment_form(df: DataFrame, value: str, scale: int | None, exact: bool | None, wide: bool | None) -> tuple[bool, int, bool]:
+    """``(exact, scale, wide)`` to use. A stated ``scale`` asks for the prefix form. Without one the type decides:
+    integers and decimals whose squares add up inside 38 digits take it with their own scale, everything else
+    (doubles above all, whose digits are unknown) the built-in frame, which is right for any value."""
+    dtype = df.schema[value].dataType
+    if exact is False:
+        return False, 0, False
+    if scale is not None:
+        return True, scale, bool(wide)
+    if isinstance(dtype, DecimalType) and dtype.precision <= 13:
+        return True, dtype.scale, dtype.precision > 4 if wide is None else wide
+    if isinstance(dtype, (ByteType, ShortType, IntegerType)):
+        return True, 0, isinstance(dtype, IntegerType) if wide is None else wide
+    if exact:
+        raise ValueError(f"exact statistics of a {dtype.simpleString()} column need scale=")
+    return False, 0, False
 
 
 def moment_prefix_columns(
@@ -53,7 +74,10 @@ def moment_prefix_columns(
     Both frames are evaluated incrementally (one pass per key), unlike a sliding frame
     that re-aggregates ``size`` rows for every output row."""
     w = spec(keys, order)
-    x = _scaled(value, scale, wide)
+    number = F.col(value).cast("double")
+    off = F.isnan(number - number)  # NaN and infinities have no integer form: they are counted instead
+    x = F.when(~off, _scaled(value, scale, wide))
+    bad = F.when(off, 1)
     near = w.rowsBetween(Window.unboundedPreceding, -gap)
     far = w.rowsBetween(Window.unboundedPreceding, -(gap + size))
     zero = F.lit(0).cast("decimal(38,0)") if wide else F.lit(0).cast("bigint")
@@ -61,42 +85,49 @@ def moment_prefix_columns(
         f"_s_{tag}": F.coalesce(F.sum(x).over(near), zero) - F.coalesce(F.sum(x).over(far), zero),
         f"_q_{tag}": F.coalesce(F.sum(x * x).over(near), zero) - F.coalesce(F.sum(x * x).over(far), zero),
         f"_n_{tag}": F.count(x).over(near) - F.count(x).over(far),
+        f"_b_{tag}": F.count(bad).over(near) - F.count(bad).over(far),
     }
 
 
 def moments_from_prefix(tag: str, scale: int, mean_name: str | None, std_name: str | None) -> dict[str, Column]:
-    """Mean = S/N, sample std = sqrt((N*Q - S^2) / (N*(N-1))), both rescaled; NULL for N=0 / N<2."""
+    """Mean = S/N, sample std = sqrt((N*Q - S^2) / (N*(N-1))), both rescaled; NULL for N=0 / N<2.
+    A frame that holds a NaN or an infinity gives NaN."""
     s, q, n = F.col(f"_s_{tag}"), F.col(f"_q_{tag}"), F.col(f"_n_{tag}")
     unit = 10.0**scale
+    bad, nan = F.col(f"_b_{tag}"), F.lit(float("nan"))
     out = {}
     if mean_name:
-        out[mean_name] = F.when(n > 0, s.cast("double") / (n.cast("double") * F.lit(unit)))
+        out[mean_name] = F.when(bad > 0, nan).when(n > 0, s.cast("double") / (n.cast("double") * F.lit(unit)))
     if std_name:
         var = (n * q - s * s).cast("double") / (n * (n - 1)).cast("double")
-        out[std_name] = F.when(n > 1, F.sqrt(var) / F.lit(unit))
+        out[std_name] = F.when((bad > 0) & (n + bad > 1), nan).when((bad == 0) & (n > 1), F.sqrt(var) / F.lit(unit))
     return out
 
 
 def rolling_moments(
     df: DataFrame, value: str, size: int, gap: int = 1, order: str = "timestamp_utc",
-    keys: Sequence[str] = (), scale: int = 2, mean_name: str | None = None, std_name: str | None = None,
-    exact: bool = True, wide: bool = False,
+    keys: Sequence[str] = (), scale: int | None = None, mean_name: str | None = None, std_name: str | None = None,
+    exact: bool | None = None, wide: bool | None = None,
 ) -> DataFrame:
     """Trailing mean and sample standard deviation over ``rows gap+size-1 .. gap preceding``
     (reference frame: size 168, gap 1 = the 168 rows before the current one). NULLs are skipped.
 
-    ``exact=True`` sums integers ``round(value * 10^scale)`` (exact for values with at most
-    ``scale`` decimals; ``wide=True`` switches the accumulators to decimal(38,0) for very
-    large magnitudes). ``exact=False`` uses Spark's built-in double sliding frame."""
+    ``scale=k`` is the caller's statement that values have at most ``k`` decimals: integers ``round(value * 10^k)``
+    are summed, exactly and in one pass. Bigint sums raise on overflow (squares of scaled values over a key or block
+    above 9.2e18); ``wide=True`` sums decimal(38,0) and raises beyond 38 digits
+    (frame rows times squares above 1e38: scaled values from about 1e17 on). Without ``scale`` see ``moment_form``: doubles use the built-in
+    sliding frame (``size`` values per row). ``exact=False`` always does. A NaN or infinity gives NaN in the exact form;
+    the built-in frame gives Spark's own result."""
     mean_name = mean_name or f"rolling_mean_{size}"
     std_name = std_name or f"rolling_std_{size}"
+    exact, scale, wide = moment_form(df, value, scale, exact, wide)
     if not exact:
         frame = spec(keys, order).rowsBetween(-(gap + size - 1), -gap)
         return df.withColumns({mean_name: F.avg(value).over(frame), std_name: F.stddev_samp(value).over(frame)})
     tag = f"{value}_{size}_{gap}"
     staged = df.withColumns(moment_prefix_columns(value, size, gap, order, keys, scale, wide, tag))
     return staged.withColumns(moments_from_prefix(tag, scale, mean_name, std_name)).drop(
-        f"_s_{tag}", f"_q_{tag}", f"_n_{tag}"
+        f"_s_{tag}", f"_q_{tag}", f"_n_{tag}", f"_b_{tag}"
     )
 
 

@@ -25,13 +25,14 @@ FEATURE_COLUMNS = (
 def hourly_features(
     long: DataFrame, keys=("group_id",), ts: str = "timestamp_utc", value: str = "target_consumption",
     lags=TARGET_LAGS, window: int = ROLLING_WINDOW, gap: int = 1, min_history_rows: int = MIN_HISTORY_ROWS,
-    scale: int = 2, exact: bool = True, block_rows: int | None = DEFAULT_BLOCK_ROWS,
+    scale: int | None = None, exact: bool | None = None, block_rows: int | None = DEFAULT_BLOCK_ROWS,
     densify: tuple | None = None, ts_type: str = "timestamp", since=None, step_hours: int = 1,
-    gap_free: bool = False,
+    gap_free: bool = False, wide: bool | None = None,
 ) -> DataFrame:
     """Positional lags (default 48/168/336), trailing mean/std over the 168 rows before each row
     (``gap=1``; ``gap=48`` gives a leak-free variant for a 48 h horizon), lag differences,
-    then the first ``min_history_rows`` rows of each group removed.
+    then the first ``min_history_rows`` rows of each group removed. ``scale``, ``exact`` and ``wide`` choose how the
+    statistics are summed (see ``windows.rolling_moments``).
 
     Default plan (``block_rows`` set): exact positions per group from a (group, day) row
     number plus per-day offsets, then windows per (group, block of ``block_rows`` positions)
@@ -52,10 +53,11 @@ def hourly_features(
             pad = (max(max(lags), window + gap) + min_history_rows) * step_hours
             long = long.filter(F.col(ts) >= lo - F.expr(f"INTERVAL {pad} HOURS"))
         out = hourly_features(long, keys, ts, value, lags, window, gap, min_history_rows, scale, exact, block_rows,
-                              densify, ts_type)
+                              densify, ts_type, wide=wide)
         return out.filter(F.col(ts) >= lo)
     if densify is not None:  # temporal lags: every group gets every hour of the span (missing hours -> NULL rows)
         long = spine.densify(long, keys, densify[0], densify[1], ts, ts_type=ts_type)
+    exact, scale, wide = windows.moment_form(long, value, scale, exact, wide)
     lag_names = [f"consumption_lag_{k}" for k in lags]
     # differences of consecutive lags (defaults: lag_diff_48_168, lag_diff_168_336)
     diffs = {f"lag_diff_{a}_{b}": F.col(f"consumption_lag_{a}") - F.col(f"consumption_lag_{b}")
@@ -64,7 +66,7 @@ def hourly_features(
     def window_columns(ks: list[str], order: str, with_position: bool) -> dict:
         cols = windows.lag_columns(value, lags, order, ks, names=lag_names)
         if exact:
-            cols.update(windows.moment_prefix_columns(value, window, gap, order, ks, scale, False, "t"))
+            cols.update(windows.moment_prefix_columns(value, window, gap, order, ks, scale, wide, "t"))
         if with_position:
             cols["_pos"] = F.row_number().over(windows.spec(ks, order))
         return cols
@@ -73,7 +75,7 @@ def hourly_features(
         if exact:
             staged = staged.withColumns(
                 windows.moments_from_prefix("t", scale, f"rolling_mean_{window}", f"rolling_std_{window}")
-            ).drop("_s_t", "_q_t", "_n_t")
+            ).drop("_s_t", "_q_t", "_n_t", "_b_t")
         else:
             staged = windows.rolling_moments(staged, value, window, gap, order, ks, exact=False)
         return staged.withColumns(diffs)

@@ -56,15 +56,17 @@ def _view(spark: SparkSession, name: str, df_sql: str) -> None:
 # ------------------------------------------------------------------ silver
 
 
-def consumption_job(spark: SparkSession, raw_table: str, w: Windows, L: Layers) -> list[str]:
+def consumption_job(spark: SparkSession, raw_table: str, w: Windows, L: Layers, scale: int | None = None,
+                    wide: bool | None = None) -> list[str]:
     """Wide raw -> long -> features computed once, written partitioned by ``split``
     (train / inference / later); training, inference (NULL target), actuals and baseline are
-    views that prune partitions. Monthly history and the 12-month future grid are written too."""
+    views that prune partitions. Monthly history and the 12-month future grid are written too.
+    ``scale`` (decimals of the readings, when known) and ``wide``: as in ``hourly_features``."""
     long = reshape.to_long(spark.table(raw_table), ts_type=w.ts_type)
     ts = F.col("timestamp_utc")
     start, end = (F.lit(x).cast(w.ts_type) for x in (w.inference_start, w.inference_end))
     split = F.when(ts < start, "train").when(ts < end, "inference").otherwise("later")
-    feats = features.hourly_features(long).withColumn("split", split)
+    feats = features.hourly_features(long, scale=scale, wide=wide).withColumn("split", split)
     base = _t(L.silver, "consumption_hourly_features")
     write_table(feats, base, partition_by=["split"])
     cols = ", ".join(["timestamp_utc", "group_id", "target_consumption", *features.FEATURE_COLUMNS])

@@ -37,7 +37,7 @@ def register(name: str, oracle: str | None = None):
 # ---------------------------------------------------------------- shared builders
 
 def _features(spark, sf) -> DataFrame:
-    return features.hourly_features(tv.consumption_long(spark, sf))
+    return features.hourly_features(tv.consumption_long(spark, sf), scale=2)
 
 
 def _split(spark, sf) -> features.HourlySplit:
@@ -242,7 +242,7 @@ def q_global_lag_time(spark, sf):
 @register("rolling_stats", with_views(
     "SELECT timestamp_utc, group_id, target_consumption, rolling_mean_168, rolling_std_168 FROM feat_cols", "feat_cols"))
 def q_rolling_stats(spark, sf):
-    return windows.rolling_moments(tv.consumption_long(spark, sf), "target_consumption", 168, 1, keys=["group_id"])
+    return windows.rolling_moments(tv.consumption_long(spark, sf), "target_consumption", 168, 1, keys=["group_id"], scale=2)
 
 
 @register("drop_head_per_key", with_views("SELECT timestamp_utc, group_id, target_consumption FROM feat", "feat"))
@@ -281,20 +281,20 @@ def q_hourly_features(spark, sf):
 def q_inference_features_since(spark, sf):
     """Features of the 48 h inference window computed from a pruned scan (window start minus
     lookback and head padding) instead of the whole history; equal on the gap-free hourly grid."""
-    feats = features.hourly_features(tv.consumption_long(spark, sf), since=tv.INFER_START, ts_type=TS, gap_free=True)
+    feats = features.hourly_features(tv.consumption_long(spark, sf), scale=2, since=tv.INFER_START, ts_type=TS, gap_free=True)
     return splits.split_window(feats, tv.INFER_START, tv.INFER_END, ts_type=TS)
 
 
 @register("hourly_features_per_group", with_views("SELECT * FROM feat", "feat"))
 def q_hourly_features_per_group(spark, sf):
     """Same result through the single-shuffle plan (one window per group)."""
-    return features.hourly_features(tv.consumption_long(spark, sf), block_rows=None)
+    return features.hourly_features(tv.consumption_long(spark, sf), scale=2, block_rows=None)
 
 
 @register("hourly_features_blocked", with_views("SELECT * FROM feat", "feat"))
 def q_hourly_features_blocked(spark, sf):
     """Same result as ``hourly_features`` through the blocked (hot-group-safe) plan."""
-    return features.hourly_features(tv.consumption_long(spark, sf), block_rows=512)
+    return features.hourly_features(tv.consumption_long(spark, sf), scale=2, block_rows=512)
 
 
 SUPPLIER_ORACLE = (
@@ -311,7 +311,7 @@ SUPPLIER_ORACLE = (
 
 def _supplier_apply(d: DataFrame, ks, order) -> DataFrame:
     d = d.withColumns(windows.lag_columns("quantity", (1, 7, 28), order, ks))
-    return windows.rolling_moments(d, "quantity", 7, 1, order, ks, mean_name="rolling_mean_7", std_name="rolling_std_7")
+    return windows.rolling_moments(d, "quantity", 7, 1, order, ks, scale=2, mean_name="rolling_mean_7", std_name="rolling_std_7")
 
 
 @register("supplier_daily_features", with_views(SUPPLIER_ORACLE, "supplier_daily"))
@@ -329,7 +329,7 @@ def q_supplier_daily(spark, sf):
     "WINDOW w AS (PARTITION BY supplier_id ORDER BY day ROWS BETWEEN 168 PRECEDING AND 1 PRECEDING))", "supplier_daily"))
 def q_supplier_rolling(spark, sf):
     """The reference's trailing frame (168 rows before) on the largest derived series."""
-    return windows.rolling_moments(tv.supplier_daily(spark, sf), "quantity", 168, 1, "day", ["supplier_id"])
+    return windows.rolling_moments(tv.supplier_daily(spark, sf), "quantity", 168, 1, "day", ["supplier_id"], scale=2)
 
 
 @register("supplier_daily_features_blocked", with_views(SUPPLIER_ORACLE, "supplier_daily"))

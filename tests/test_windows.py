@@ -3,6 +3,7 @@
 import datetime as dt
 import math
 import random
+import statistics
 
 import pytest
 from hypothesis import given, settings
@@ -38,6 +39,36 @@ def test_lag_is_positional_on_gapped_series(spark):
     assert out == [(None,), (1.0,), (2.0,)]
 
 
+@pytest.mark.parametrize("low,high,digits,options", [
+    (0.04, 0.06, 13, {}), (190_000.0, 210_000.0, 5, {}), (0.9e17, 1.1e17, 0, {}),
+    (0.04, 0.06, 13, {"scale": 13, "wide": True}), (190_000.0, 210_000.0, 5, {"scale": 5, "wide": True}),
+    (0.9e15, 1.1e15, 0, {"scale": 0, "wide": True})])
+def test_rolling_moments_of_ordinary_doubles(spark, low, high, digits, options):
+    rnd = random.Random(3)
+    vals = [round(rnd.uniform(low, high), digits) for _ in range(700)]
+    out = windows.rolling_moments(series(spark, vals), "target_consumption", 168, 1, keys=["group_id"], **options)
+    for i, (mean, std) in enumerate(by_time(out, "rolling_mean_168", "rolling_std_168")):
+        frame = vals[max(0, i - 168):i]
+        assert mean == (pytest.approx(statistics.fmean(frame), rel=1e-9) if frame else None)
+        assert std == (pytest.approx(statistics.stdev(frame), rel=1e-9) if len(frame) > 1 else None)
+
+
+def test_wide_moments_raise_beyond_their_range(spark):
+    df = series(spark, [1e17, 1.1e17] * 100)
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|ARITHMETIC_OVERFLOW"):
+        windows.rolling_moments(df, "target_consumption", 168, 1, keys=["group_id"], scale=2, wide=True).collect()
+
+
+@pytest.mark.parametrize("options", [{}, {"scale": 2}, {"scale": 2, "wide": True}])
+def test_rolling_moments_with_nan(spark, options):
+    vals = [1.0, 2.0, float("nan"), 4.0, 5.0, 7.0, 8.0]
+    out = windows.rolling_moments(series(spark, vals), "target_consumption", 2, 1, keys=["group_id"], **options)
+    got = by_time(out, "rolling_mean_2", "rolling_std_2")
+    assert got[0] == (None, None) and got[1] == (1.0, None) and got[2][0] == 1.5
+    assert all(math.isnan(x) for row in got[3:5] for x in row)
+    assert got[5][0] == 4.5 and got[6][0] == 6.0
+
+
 def test_rolling_moments_match_definition(spark):
     rnd = random.Random(7)
     vals = [round(rnd.uniform(-50, 50), 2) if rnd.random() > 0.2 else None for _ in range(60)]
@@ -63,7 +94,8 @@ def test_rolling_moments_match_definition(spark):
 def test_exact_moments_equal_builtin_frame(spark, ints, size, gap):
     vals = [None if v is None else v / 100 for v in ints]
     df = series(spark, vals)
-    exact = windows.rolling_moments(df, "target_consumption", size, gap, keys=["group_id"], mean_name="m", std_name="s")
+    exact = windows.rolling_moments(df, "target_consumption", size, gap, keys=["group_id"], scale=2, mean_name="m",
+                                    std_name="s")
     builtin = windows.rolling_moments(df, "target_consumption", size, gap, keys=["group_id"], mean_name="m",
                                       std_name="s", exact=False)
     for (m1, s1), (m2, s2) in zip(by_time(exact, "m", "s"), by_time(builtin, "m", "s")):
