@@ -48,7 +48,7 @@ VIEWS: dict[str, str] = {
     ),
     "cons_wide": f"SELECT strftime(hr.h, '%Y-%m-%d %H:%M:%S') AS measured_at, {pivot_cols('c.v', 'c.g')} "
                  "FROM hours hr LEFT JOIN cells c ON c.h = hr.h GROUP BY hr.h",
-    "price": "SELECT h AS timestamp_utc, CAST(SUM(v) AS DOUBLE) AS eur_per_mwh FROM ev_h WHERE event_type = 'purchase' GROUP BY h",
+    "price": "SELECT h AS timestamp_utc, CAST(SUM(v) AS DOUBLE) AS eur_per_mwh FROM ev_h GROUP BY h",
     "cal_raw": (
         f"SELECT strftime(d, '%Y-%m-%d') AS timestamp, {_special_desc()} AS \"desc\" "
         "FROM (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events)"
@@ -64,7 +64,7 @@ VIEWS: dict[str, str] = {
     "wx_inf_raw": (
         f"SELECT strftime(h, '%Y-%m-%dT%H:%M:%SZ') AS timestamp, city, {_temp_text('t', 'e')} AS TA_PT1H_AVG "
         f"FROM (SELECT h, {_pick(tv.CITIES, 'user_id')} AS city, max(v) AS t, min(event_id) AS e "
-        "FROM ev_h WHERE event_type = 'view' GROUP BY 1, 2)"
+        "FROM ev_h GROUP BY 1, 2)"
     ),
     "wx_inf_keyed": (
         "SELECT CAST(CAST(timestamp AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS TIMESTAMP) AS timestamp_utc, "
@@ -86,7 +86,7 @@ VIEWS: dict[str, str] = {
         "SELECT source_table, station AS Havaintoasema, CAST(year(h) AS INTEGER) AS Vuosi, CAST(month(h) AS INTEGER) AS Kuukausi, "
         "CAST(day(h) AS INTEGER) AS \"Päivä\", h, " + _temp_text("t", "e") + " AS temp_text "
         f"FROM (SELECT h, {_pick([t for t, _ in L], 'user_id')} AS source_table, {_pick([s for _, s in L], 'user_id')} AS station, "
-        "max(v) AS t, min(event_id) AS e FROM ev_h WHERE event_type = 'click' GROUP BY 1, 2, 3)"
+        "max(v) AS t, min(event_id) AS e FROM ev_h GROUP BY 1, 2, 3)"
     ),
     "wx_long": (
         "SELECT Havaintoasema, Vuosi, Kuukausi, \"Päivä\", CAST(hour(h) AS VARCHAR) || ':00' AS hour, "

@@ -4,9 +4,9 @@
 (consumption, price, weather), ``customer``/``nation``/``region`` for group metadata,
 ``orders`` for monthly history, ``lineitem`` for a large daily per-supplier series.
 Every view is derived from whole tables; timestamps stay ``timestamp_ntz`` like the files.
-Each stand-in source takes all events of the type it represents (purchases -> price, views ->
-inference weather feed, clicks -> landed station tables, every event -> consumption); group ids
-map users to 12 groups by ``user_id % 12`` without dropping any row. Nothing is sampled or capped.
+Every stand-in source takes all events (consumption, price, inference weather feed, landed station
+tables); group ids map users to 12 groups by ``user_id % 12`` without dropping any row. Nothing is
+sampled or capped.
 The same shapes are defined in SQL for the DuckDB oracle (``loadcast.oracle``)."""
 
 from __future__ import annotations
@@ -92,8 +92,8 @@ def consumption_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def price_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly purchase totals as decimal-comma text (hours without purchases have no row)."""
-    eh = event_hours(spark, sf_dir).filter(F.col("event_type") == "purchase")
+    """Hourly totals of all events as decimal-comma text (hours without events have no row)."""
+    eh = event_hours(spark, sf_dir)
     p = eh.groupBy("h").agg(F.sum("v").alias("s"))
     return p.select(_fmt("h").alias("measured_at"), F.regexp_replace(F.col("s").cast("string"), r"\.", ",").alias("eur_per_mwh"))
 
@@ -118,7 +118,7 @@ def _temperature_text(value, first_event) -> F.Column:
 
 def weather_inference_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """API-shaped rows: ISO ``timestamp`` with Z, ``city`` as spelled by the feed, text values."""
-    eh = event_hours(spark, sf_dir).filter(F.col("event_type") == "view").withColumn("city", _pick(CITIES, F.col("user_id")))
+    eh = event_hours(spark, sf_dir).withColumn("city", _pick(CITIES, F.col("user_id")))
     agg = eh.groupBy("h", "city").agg(F.max("v").alias("t"), F.min("event_id").alias("e"))
     return agg.select(
         _fmt("h", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"), "city",
@@ -129,7 +129,7 @@ def weather_inference_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def weather_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All landing tables in one frame (``source_table`` = table name), station-file columns."""
-    eh = event_hours(spark, sf_dir).filter(F.col("event_type") == "click")
+    eh = event_hours(spark, sf_dir)
     names = [t for t, _ in LANDING_TABLES]
     stations = [s for _, s in LANDING_TABLES]
     eh = eh.withColumns({"source_table": _pick(names, F.col("user_id")), "station": _pick(stations, F.col("user_id"))})
