@@ -34,12 +34,12 @@ def to_long(
     return long.select(ts_name, F.col(key_name).cast(key_type).alias(key_name), value_name)
 
 
-def sorted_distinct_ids(df: DataFrame, key: str = "group_id", max_ids: int = 10_000) -> list:
-    """ACTION: ascending distinct keys, collected - they become the columns of a pivot. The distinct
-    count is checked first (an aggregate, nothing funnelled), so more than ``max_ids`` keys raise
-    instead of flooding the driver."""
+def sorted_distinct_ids(df: DataFrame, key: str = "group_id", max_ids: int | None = None) -> list:
+    """ACTION: ascending distinct keys, collected - they become the columns of a pivot, so their number is the
+    caller's. With ``max_ids`` the distinct count is checked first (an aggregate, nothing funnelled) and more
+    keys raise instead of reaching the driver; pass the ids to the pivot where they are known."""
     distinct = df.select(key).distinct()
-    if distinct.count() > max_ids:
+    if max_ids is not None and distinct.count() > max_ids:
         raise ValueError(f"more than {max_ids} distinct {key} values: too many pivot columns")
     return [r[0] for r in distinct.orderBy(key).collect()]
 
@@ -62,10 +62,3 @@ def to_wide(
     grouped = df.groupBy(row)
     pivoted = grouped.pivot(col, list(ids)) if ids is not None else grouped.pivot(col)
     return pivoted.agg(fn(value))
-
-
-def rows_to_columns(
-    df: DataFrame, keys: Sequence[str], name_col: str, value_col: str, names: Sequence[str]
-) -> DataFrame:
-    """Merge ``(keys, name, value)`` rows into one row per key with one column per name."""
-    return df.groupBy(*keys).pivot(name_col, list(names)).agg(F.max(value_col))

@@ -6,7 +6,6 @@ operator or job of the library over the whole tables."""
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,16 +65,6 @@ def _groups(spark, sf) -> DataFrame:
     return groups.parse_groups(tv.groups_raw(spark, sf))
 
 
-def _model_predictions(split: features.HourlySplit) -> DataFrame:
-    """Three oracle-expressible forecasters on the inference window, long with a model tag."""
-    models = {"lag_336": "consumption_lag_336", "rolling_mean_168": "rolling_mean_168", "lag_48": "consumption_lag_48"}
-    frames = [
-        split.actuals.select("timestamp_utc", "group_id", F.lit(m).alias("model"), F.col(c).alias("target_consumption"))
-        for m, c in models.items()
-    ]
-    return reduce(DataFrame.unionByName, frames)
-
-
 def _rounded(df: DataFrame, cols, digits: int = 9) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in cols})
 
@@ -84,7 +73,7 @@ FEAT_COLS = "timestamp_utc, group_id, target_consumption, " + ", ".join(features
 GROUP_COLS = ", ".join(f"g.{c}" for c in groups.GROUP_ATTRIBUTES)
 CAL_COLS = "cal.working_day, cal.\"desc\", cal.is_weekend, cal.is_holiday, cal.hour_of_day, cal.day_of_week, cal.month, cal.day_of_year"
 FC = ", ".join(f"c.{c}" for c in ["timestamp_utc", "group_id", "target_consumption", *features.FEATURE_COLUMNS])
-METRIC_COLS = ["prediction_MAE", "baseline_MAE", "prediction_MAPE_percent", "baseline_MAPE_percent", "FVA_percent"]
+METRIC_COLS = list(evaluate.METRIC_COLUMNS)
 
 # ---------------------------------------------------------------- reshape
 
@@ -531,12 +520,14 @@ def q_evaluate(spark, sf):
     return _rounded(evaluate.evaluate(preds, split.actuals, split.baseline), METRIC_COLS)
 
 
-@register("model_comparison", with_views(_metrics_sql(
-    {"lag_336": "consumption_lag_336", "rolling_mean_168": "rolling_mean_168", "lag_48": "consumption_lag_48"}),
-    "feat_inf", "feat_base"))
+# Three forecasters that SQL can express: model name -> feature column.
+MODELS = {"lag_336": "consumption_lag_336", "rolling_mean_168": "rolling_mean_168", "lag_48": "consumption_lag_48"}
+
+
+@register("model_comparison", with_views(_metrics_sql(MODELS), "feat_inf", "feat_base"))
 def q_model_comparison(spark, sf):
     split = _split(spark, sf)
-    return _rounded(evaluate.evaluate(_model_predictions(split), split.actuals, split.baseline), METRIC_COLS)
+    return _rounded(evaluate.evaluate_columns(split.actuals, MODELS, split.baseline), METRIC_COLS)
 
 
 # ---------------------------------------------------------------- monthly deliverables
