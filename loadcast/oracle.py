@@ -82,6 +82,15 @@ VIEWS: dict[str, str] = {
         f"CROSS JOIN unnest(generate_series(TIMESTAMP '{tv.WX_MIN}', TIMESTAMP '{tv.WX_MAX}', INTERVAL 1 HOUR)) AS u(t) "
         "LEFT JOIN wx_inf o ON o.weather_key = k.weather_key AND o.timestamp_utc = u.t"
     ),
+    "wx_inf_feat": (
+        "SELECT weather_key, timestamp_utc, temperature_missing_flag, temp_lag_24, temp_lag_48, temp_lag_168 FROM ("
+        "SELECT weather_key, timestamp_utc, temperature_missing_flag, lag(tf, 24) OVER w AS temp_lag_24, "
+        "lag(tf, 48) OVER w AS temp_lag_48, lag(tf, 168) OVER w AS temp_lag_168, row_number() OVER w AS rn FROM ("
+        "SELECT *, CASE WHEN temperature IS NULL THEN 1 ELSE 0 END AS temperature_missing_flag, "
+        "last_value(temperature IGNORE NULLS) OVER (PARTITION BY weather_key ORDER BY timestamp_utc "
+        "RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tf FROM wx_inf_dense) "
+        "WINDOW w AS (PARTITION BY weather_key ORDER BY timestamp_utc)) WHERE rn > 336"
+    ),
     "landing": (
         "SELECT source_table, station AS Havaintoasema, CAST(year(h) AS INTEGER) AS Vuosi, CAST(month(h) AS INTEGER) AS Kuukausi, "
         "CAST(day(h) AS INTEGER) AS \"Päivä\", h, " + _temp_text("t", "e") + " AS temp_text "
@@ -166,7 +175,7 @@ VIEWS: dict[str, str] = {
 DEPS: dict[str, list[str]] = {
     "ev_h": [], "hours": ["ev_h"], "cells": ["ev_h"], "cons": ["hours", "cells"], "cons_wide": ["hours", "cells"],
     "price": ["ev_h"], "cal_raw": [], "cal_raw2": ["cal_raw"], "cal_hourly": ["cal_raw2"],
-    "wx_inf_raw": ["ev_h"], "wx_inf_keyed": ["wx_inf_raw"], "wx_inf": ["wx_inf_keyed"], "wx_inf_dense": ["wx_inf"],
+    "wx_inf_raw": ["ev_h"], "wx_inf_keyed": ["wx_inf_raw"], "wx_inf": ["wx_inf_keyed"], "wx_inf_dense": ["wx_inf"], "wx_inf_feat": ["wx_inf_dense"],
     "landing": ["ev_h"], "wx_long": ["landing"], "wx_train_obs": ["wx_long"], "wx_train_feat_all": ["wx_train_obs"],
     "wx_train_feat": ["wx_train_feat_all"], "groups_raw": [], "groups": ["groups_raw"], "bridge": [],
     "feat_all": ["cons"], "feat_cols": ["feat_all"], "feat": ["feat_cols"], "feat_train": ["feat"], "feat_inf": ["feat"],

@@ -456,19 +456,11 @@ def q_gold_without_weather(spark, sf):
 
 @register("gold_hourly_without_weather_sql", ORACLES["gold_hourly_without_weather"])
 def q_gold_without_weather_sql(spark, sf):
-    """The without-weather training set through Spark SQL over temp views of the silver frames."""
-    import uuid
-
+    """The without-weather training set through Spark SQL; Spark alone chooses the joins, no job while building."""
     cal_train, _ = calendar.split_calendar_hourly(_calendar_hourly(spark, sf), tv.INFER_START, tv.INFER_END, ts_type=TS)
     price_train, _ = price.split_price(_price_features(spark, sf), tv.INFER_START, tv.INFER_END, ts_type=TS)
-    tag = uuid.uuid4().hex[:8]
-    # the same proof as the DataFrame builder: views over proven-small sides carry the broadcast hint
-    small = joins.bounded_all({"grp": _groups(spark, sf), "cal": cal_train, "price": price_train}, gold.DEFAULT_MAX_DIM_ROWS)
-    names = {}
-    for role, df in {"cons": _split(spark, sf).train, **small}.items():
-        names[role] = f"lc_{role}_{tag}"
-        df.createOrReplaceTempView(names[role])
-    return spark.sql(gold.gold_sql(names["cons"], names["grp"], names["cal"], price=names["price"], weather_mode="none"))
+    return _sql_gold(spark, {"consumption": _split(spark, sf).train, "groups": _groups(spark, sf), "calendar": cal_train,
+                             "price": price_train}, weather_mode="none")
 
 
 @register("gold_monthly", with_views(
@@ -480,6 +472,113 @@ def q_gold_monthly(spark, sf):
                            hourly_features=False)
 
 
+# ---------------------------------------------------------------- tables that forecasts are made and scored on
+
+_IN_WINDOW = f"timestamp_utc >= TIMESTAMP '{tv.INFER_START}' AND timestamp_utc < TIMESTAMP '{tv.INFER_END}'"
+_FC_NULL = FC.replace("c.target_consumption", "CAST(NULL AS DOUBLE) AS target_consumption")
+_INF_DIMS = (
+    "LEFT JOIN groups g ON c.group_id = g.group_id LEFT JOIN bridge b ON c.group_id = b.group_id "
+    f"LEFT JOIN (SELECT * FROM price_feat WHERE {_IN_WINDOW}) p ON c.timestamp_utc = p.timestamp_utc "
+    f"LEFT JOIN (SELECT * FROM cal_trim WHERE {_IN_WINDOW}) cal ON c.timestamp_utc = cal.timestamp_utc"
+)
+
+
+def _inference_sides(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Calendar and price rows of the inference window."""
+    return (calendar.split_calendar_hourly(_calendar_hourly(spark, sf), tv.INFER_START, tv.INFER_END, ts_type=TS)[1],
+            price.split_price(_price_features(spark, sf), tv.INFER_START, tv.INFER_END, ts_type=TS)[1])
+
+
+@register("weather_inference_features", with_views("SELECT * FROM wx_inf_feat", "wx_inf_feat"))
+def q_weather_inference_features(spark, sf):
+    return weather.weather_features(_weather_inference(spark, sf), tv.WX_MIN, tv.WX_MAX, ts_type=TS)
+
+
+@register("gold_hourly_inference_with_weather", with_views(
+    f"SELECT {_FC_NULL}, {GROUP_COLS}, b.weather_key, p.price_lag_24, p.price_lag_48, p.price_lag_168, "
+    f"w.temperature_missing_flag, w.temp_lag_24, w.temp_lag_48, w.temp_lag_168, {CAL_COLS} FROM feat_inf c {_INF_DIMS} "
+    "LEFT JOIN wx_inf_feat w ON c.timestamp_utc = w.timestamp_utc AND b.weather_key = w.weather_key",
+    "feat_inf", "groups", "bridge", "price_feat", "cal_trim", "wx_inf_feat"))
+def q_gold_inference_with_weather(spark, sf):
+    """ACTION (the sides are counted)."""
+    cal_inf, price_inf = _inference_sides(spark, sf)
+    return gold.build_gold(
+        _split(spark, sf).inference, _groups(spark, sf), cal_inf, price=price_inf,
+        weather=q_weather_inference_features(spark, sf), bridge=tv.bridge(spark, sf), weather_mode="join")
+
+
+@register("gold_hourly_inference_without_weather", with_views(
+    f"SELECT {_FC_NULL}, {GROUP_COLS}, p.price_lag_24, p.price_lag_48, p.price_lag_168, {CAL_COLS} FROM feat_inf c {_INF_DIMS}",
+    "feat_inf", "groups", "bridge", "price_feat", "cal_trim"))
+def q_gold_inference_without_weather(spark, sf):
+    """ACTION (the sides are counted)."""
+    cal_inf, price_inf = _inference_sides(spark, sf)
+    return gold.build_gold(_split(spark, sf).inference, _groups(spark, sf), cal_inf, price=price_inf, weather_mode="none")
+
+
+@register("gold_monthly_inference", with_views(
+    f"SELECT c.timestamp_utc, c.group_id, CAST(NULL AS DOUBLE) AS target_consumption, {GROUP_COLS}, {CAL_COLS} FROM ("
+    "SELECT k.group_id, u.t AS timestamp_utc FROM (SELECT DISTINCT group_id FROM cons) k CROSS JOIN unnest(generate_series("
+    f"TIMESTAMP '{tv.INFER_START}', TIMESTAMP '{tv.FUTURE_END}' - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS u(t)) c "
+    "LEFT JOIN groups g ON c.group_id = g.group_id LEFT JOIN cal_hourly cal ON c.timestamp_utc = cal.timestamp_utc",
+    "cons", "groups", "cal_hourly"))
+def q_gold_monthly_inference(spark, sf):
+    """The future grid from the inference start on (two days of it have calendar rows). ACTION (the sides are counted)."""
+    grid = features.monthly_train_inference(tv.consumption_long(spark, sf), tv.INFER_START, tv.FUTURE_END, ts_type=TS)[1]
+    return gold.build_gold(grid, _groups(spark, sf), _calendar_hourly(spark, sf), hourly_features=False)
+
+
+@register("hourly_actuals", with_views("SELECT * FROM feat_inf", "feat_inf"))
+def q_hourly_actuals(spark, sf):
+    return _split(spark, sf).actuals
+
+
+@register("hourly_baseline", with_views("SELECT * FROM feat_base", "feat_base"))
+def q_hourly_baseline(spark, sf):
+    return _split(spark, sf).baseline
+
+
+@register("price_inference", with_views(f"SELECT * FROM price_feat WHERE {_IN_WINDOW}", "price_feat"))
+def q_price_inference(spark, sf):
+    return _inference_sides(spark, sf)[1]
+
+
+@register("calendar_inference", with_views(
+    'SELECT "desc", working_day, timestamp_utc, hour_of_day, day_of_week, is_weekend, is_holiday, month, day_of_year '
+    f"FROM cal_trim WHERE {_IN_WINDOW}", "cal_trim"))
+def q_calendar_inference(spark, sf):
+    return _inference_sides(spark, sf)[0]
+
+
+def _sql_gold(spark, frames: dict[str, DataFrame], **kwargs) -> DataFrame:
+    """``gold.gold_sql`` over the frames: the statement names them as arguments, no view is left behind."""
+    text = gold.gold_sql(**{k: "{%s}" % k for k in frames}, **kwargs)
+    return spark.sql(text, **frames)
+
+
+@register("gold_hourly_with_weather_sql", ORACLES["gold_hourly_with_weather"])
+def q_gold_with_weather_sql(spark, sf):
+    """The with-weather training set through Spark SQL; Spark alone chooses the joins, no job while building."""
+    cal_train, _ = calendar.split_calendar_hourly(_calendar_hourly(spark, sf), tv.INFER_START, tv.INFER_END, ts_type=TS)
+    price_train, _ = price.split_price(_price_features(spark, sf), tv.INFER_START, tv.INFER_END, ts_type=TS)
+    return _sql_gold(spark, {"consumption": _split(spark, sf).train, "groups": _groups(spark, sf), "calendar": cal_train,
+                             "price": price_train, "weather": _weather_training(spark, sf), "bridge": tv.bridge(spark, sf)},
+                     weather_mode="join")
+
+
+@register("gold_hourly_weather_null_sql", ORACLES["gold_hourly_weather_null"])
+def q_gold_weather_null_sql(spark, sf):
+    cal_inf, price_inf = _inference_sides(spark, sf)
+    return _sql_gold(spark, {"consumption": _split(spark, sf).inference, "groups": _groups(spark, sf), "calendar": cal_inf,
+                             "price": price_inf, "bridge": tv.bridge(spark, sf)}, weather_mode="null")
+
+
+@register("gold_monthly_sql", ORACLES["gold_monthly"])
+def q_gold_monthly_sql(spark, sf):
+    return _sql_gold(spark, {"consumption": tv.consumption_long(spark, sf), "groups": _groups(spark, sf),
+                             "calendar": _calendar_hourly(spark, sf)}, hourly_features=False)
+
+
 # ---------------------------------------------------------------- evaluation
 
 
