@@ -157,7 +157,7 @@ def gold_job(spark: SparkSession, L: Layers, bridge_table: str, variants=tuple(G
 
 
 def train_job(spark: SparkSession, L: Layers, frequency: str, variant: str, include_weather: bool, model_root: str,
-              max_iter: int = 50, cutoff: str | None = None, training_variant: str | None = None) -> ml.Forecaster:
+              max_iter: int = 1000, cutoff: str | None = None, training_variant: str | None = None) -> ml.Forecaster:
     """Train on ``gold.{frequency}_training_dataset[_{training_variant or variant}]``; save under
     ``model_root/{frequency}[_{variant}]``. ``cutoff`` defaults to the frequency's validation cutoff.
     (The weather-null model trains on the with-weather training set.)"""
@@ -169,7 +169,10 @@ def train_job(spark: SparkSession, L: Layers, frequency: str, variant: str, incl
     return model
 
 
-def predict_job(spark: SparkSession, L: Layers, model: ml.Forecaster, frequency: str, variant: str) -> str:
+def predict_job(spark: SparkSession, L: Layers, model: ml.Forecaster | str, frequency: str, variant: str) -> str:
+    """Score the inference dataset with a forecaster, or with the one that ``train_job`` saved under the given root."""
+    if isinstance(model, str):
+        model = ml.Forecaster.load(f"{model}/{ml.artifact_name(frequency, variant)}")
     source = f"{frequency}_inference_dataset" + (f"_{variant}" if variant else "")
     out = f"consumption_{frequency}_predictions" + (f"_{variant}" if variant else "")
     write_table(model.predict(spark.table(_t(L.gold, source))), _t(L.results, out))

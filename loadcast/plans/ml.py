@@ -3,19 +3,20 @@
 Categorical columns are indexed with codes fixed at training time (unseen values get their
 own code), numeric features get a sentinel for NULL/NaN plus a 0/1 missing flag (Spark's
 trees reject NaN vectors), everything is assembled into one vector, and a GBTRegressor is
-fitted with a time-based validation indicator for early stopping, then refitted on all rows.
-Training and prediction are Spark jobs over the whole table; nothing is collected."""
+fitted before a time cutoff, judged after it round by round, then refitted on all rows.
+Training and prediction are Spark jobs over the whole table; the driver gets the distinct labels of the
+categorical columns and one error per round."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
@@ -62,13 +63,30 @@ def _numeric_prepare(df: DataFrame, numeric: Sequence[str]) -> tuple[DataFrame,
     return df.withColumns(cols), out
 
 
+def stop_round(errors: Sequence[float], patience: int) -> int:
+    """The round (from 1) that a stop rule keeps: the best one seen before ``patience`` rounds in a row bring
+    nothing better; the earlier one of ties. 0 without rounds."""
+    best = 0
+    for k in range(len(errors)):
+        if errors[k] < errors[best]:
+            best = k
+        elif k - best >= patience:
+            break
+    return best + 1 if errors else 0
+
+
 @dataclass
 class Forecaster:
+    """A fitted forecaster. ``validation_errors``: mean absolute error on the validation rows after each round;
+    ``best_round`` and ``validation_mae``: what the stop rule keeps of them (None without a cutoff or such rows)."""
+
     indexer: PipelineModel
     model: PipelineModel
     categoricals: list[str]
     numeric: list[str]
     validation_mae: float | None = None
+    best_round: int | None = None
+    validation_errors: list[float] = field(default_factory=list)
 
     def prepare(self, df: DataFrame) -> DataFrame:
         staged = df.withColumns({c: F.col(c).cast("string") for c in self.categoricals})
@@ -81,25 +99,52 @@ class Forecaster:
         return scored.select(*[F.col("prediction").alias(target) if c == target else F.col(c) for c in df.columns])
 
     def save(self, path: str) -> None:
+        """ACTION: indexer, model and one row of column lists and validation results under ``path``."""
         self.indexer.write().overwrite().save(f"{path}/indexer")
         self.model.write().overwrite().save(f"{path}/model")
+        about = (self.categoricals, self.numeric, self.validation_mae, self.best_round, self.validation_errors)
+        spark = SparkSession.active()
+        spark.createDataFrame([about], _ABOUT).coalesce(1).write.mode("overwrite").parquet(f"{path}/about")
 
     @classmethod
-    def load(cls, path: str, categoricals: Sequence[str], numeric: Sequence[str]) -> Forecaster:
-        return cls(PipelineModel.load(f"{path}/indexer"), PipelineModel.load(f"{path}/model"), list(categoricals), list(numeric))
+    def load(cls, path: str) -> Forecaster:
+        """ACTION: a saved forecaster, complete with its column lists."""
+        about = SparkSession.active().read.parquet(f"{path}/about").first()
+        return cls(PipelineModel.load(f"{path}/indexer"), PipelineModel.load(f"{path}/model"),
+                   about["categoricals"], about["numeric"], about["validation_mae"], about["best_round"],
+                   about["validation_errors"])
+
+
+_ABOUT = ("categoricals array<string>, numeric array<string>, validation_mae double, best_round int, "
+          "validation_errors array<double>")
+
+
+def index_labels(df: DataFrame, cats: Sequence[str]) -> StringIndexerModel:
+    """ACTION: codes of the labels of each column, from 0 in ascending order; unseen and NULL labels share the next code."""
+    return StringIndexer(inputCols=list(cats), outputCols=[f"{c}__idx" for c in cats], handleInvalid="keep",
+                         stringOrderType="alphabetAsc").fit(df.withColumns({c: F.col(c).cast("string") for c in cats}))
+
+
+def category_codes(df: DataFrame, cats: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """ACTION (labels are indexed). ``keys`` and the code of each categorical column, ``{c}_code``."""
+    codes = index_labels(df, cats).transform(df.withColumns({c: F.col(c).cast("string") for c in cats}))
+    return codes.select(*[F.col(k).cast(df.schema[k].dataType) for k in keys],
+                        *[F.col(f"{c}__idx").cast("int").alias(f"{c}_code") for c in cats])
 
 
 def train_forecaster(
-    df: DataFrame, categoricals: Sequence[str], cutoff: str | None = None, max_iter: int = 50,
-    step_size: float = 0.03, max_depth: int = 8, subsampling_rate: float = 1.0, feature_subset: str = "all",
-    seed: int = 42, target: str = TARGET, ts: str = "timestamp_utc", validation_tol: float = 0.01,
-    max_nominal: int = 256,
+    df: DataFrame, categoricals: Sequence[str], cutoff: str | None = None, max_iter: int = 1000,
+    step_size: float = 0.03, max_depth: int = 8, subsampling_rate: float = 1.0, feature_subset: str = "0.8",
+    seed: int = 42, target: str = TARGET, ts: str = "timestamp_utc", patience: int = 100,
+    ordinal: Sequence[str] = (),
 ) -> Forecaster:
-    """Fit on rows with a known target. With ``cutoff``, rows ``ts >= cutoff`` drive early stopping
-    and give the validation MAE; the returned model is refitted on all rows for ``max_iter`` rounds.
-    Categoricals with more than ``max_nominal`` labels (e.g. a meter id at scale) enter as ordered
-    codes instead of nominal features, which keeps ``maxBins`` - and the per-level split
-    aggregation of every tree - bounded."""
+    """Fit on rows with a known target for ``max_iter`` rounds (each costs about one Spark job per tree level).
+
+    With ``cutoff`` a first model is fitted on the rows before it and judged by mean absolute error on the rows from
+    it on, after every round and in one pass; ``stop_round`` with ``patience`` gives the round and error reported.
+    The returned model is fitted on all rows and all rounds.
+    Categoricals named in ``ordinal`` enter as ordered codes, all others as nominal features, whatever their number
+    of labels: ``maxBins`` is the largest nominal number of labels, so name columns of very many labels there."""
     ensure_checkpoint_dir(df.sparkSession)
     labelled = df.filter(F.col(target).isNotNull() & ~F.isnan(F.col(target)))
     cats = [c for c in categoricals if c in df.columns]
@@ -109,35 +154,31 @@ def train_forecaster(
     staged, num_cols = _numeric_prepare(staged, numeric)
     # iterative fits re-read their input: keep it (recomputable from lineage if blocks are lost)
     staged = staged.persist(StorageLevel.MEMORY_AND_DISK)
-    idx_cols = [f"{c}__idx" for c in cats]
-    indexer = PipelineModel(stages=[
-        StringIndexer(inputCols=cats, outputCols=idx_cols, handleInvalid="keep", stringOrderType="alphabetAsc").fit(staged)
-    ]) if cats else PipelineModel(stages=[])
+    indexer = PipelineModel(stages=[index_labels(staged, cats)] if cats else [])
     labels = dict(zip(cats, indexer.stages[0].labelsArray)) if cats else {}
-    wide = [c for c in cats if len(labels[c]) > max_nominal]
-    arity = max([len(labels[c]) + 1 for c in cats if c not in wide] or [2])
+    coded = [c for c in cats if c in ordinal]
+    arity = max([len(labels[c]) + 1 for c in cats if c not in coded] or [2])
     indexed = indexer.transform(staged)
     # a cast drops the nominal metadata: the code becomes an ordered numeric feature
-    ordinal = [SQLTransformer(statement="SELECT *, " + ", ".join(
-        f"CAST(`{c}__idx` AS DOUBLE) AS `{c}__ord`" for c in wide) + " FROM __THIS__")] if wide else []
-    inputs = [f"{c}__idx" for c in cats if c not in wide] + [f"{c}__ord" for c in wide] + num_cols
-    assembler = PipelineModel(stages=[*ordinal, VectorAssembler(inputCols=inputs, outputCol="features")])
-
-    def gbt(validation: bool) -> GBTRegressor:
-        extra = {"validationIndicatorCol": "_is_valid", "validationTol": validation_tol} if validation else {}
-        # checkpointInterval: boosting state is checkpointed to spark.checkpoint.dir every 10 rounds,
-        # so a lost executor does not replay the whole iteration lineage
-        return GBTRegressor(featuresCol="features", labelCol=target, maxIter=max_iter, stepSize=step_size,
-                            maxDepth=max_depth, subsamplingRate=subsampling_rate, featureSubsetStrategy=feature_subset,
-                            seed=seed, maxBins=max(32, arity), lossType="squared", checkpointInterval=10,
-                            cacheNodeIds=True, **extra)
-
-    mae = None
+    as_number = [SQLTransformer(statement="SELECT *, " + ", ".join(
+        f"CAST(`{c}__idx` AS DOUBLE) AS `{c}__ord`" for c in coded) + " FROM __THIS__")] if coded else []
+    inputs = [f"{c}__idx" for c in cats if c not in coded] + [f"{c}__ord" for c in coded] + num_cols
+    assembler = PipelineModel(stages=[*as_number, VectorAssembler(inputCols=inputs, outputCol="features")])
+    # checkpointInterval: boosting state is checkpointed to spark.checkpoint.dir every 10 rounds,
+    # so a lost executor does not replay the whole iteration lineage
+    gbt = GBTRegressor(featuresCol="features", labelCol=target, maxIter=max_iter, stepSize=step_size,
+                       maxDepth=max_depth, subsamplingRate=subsampling_rate, featureSubsetStrategy=feature_subset,
+                       seed=seed, maxBins=max(32, arity), lossType="squared", checkpointInterval=10, cacheNodeIds=True)
+
+    errors, best, mae = [], None, None
     if cutoff is not None:
-        flagged = indexed.withColumn("_is_valid", F.col(ts) >= F.lit(cutoff).cast(df.schema[ts].dataType))
-        vgbt = gbt(True).fit(assembler.transform(flagged))
-        scored = vgbt.transform(assembler.transform(flagged.filter("_is_valid")))
-        mae = scored.agg(F.avg(F.abs(F.col("prediction") - F.col(target)))).first()[0]
-    final = gbt(False).fit(assembler.transform(indexed))
+        later = F.col(ts) >= F.lit(cutoff).cast(df.schema[ts].dataType)
+        early, valid = indexed.filter(~later), indexed.filter(later)
+        if not early.isEmpty() and not valid.isEmpty():
+            judged = gbt.fit(assembler.transform(early))
+            errors = [float(e) for e in judged.evaluateEachIteration(assembler.transform(valid), "absolute")]
+            best = stop_round(errors, patience)
+            mae = errors[best - 1]
+    final = gbt.fit(assembler.transform(indexed))
     staged.unpersist()
-    return Forecaster(indexer, PipelineModel(stages=[*assembler.stages, final]), cats, numeric, mae)
+    return Forecaster(indexer, PipelineModel(stages=[*assembler.stages, final]), cats, numeric, mae, best, errors)

@@ -688,18 +688,45 @@ def q_weather_xml(spark, sf):
     return payloads.weather_xml_rows(docs)
 
 
-@register("gbt_forecast")
-def q_gbt_forecast(spark, sf):
-    """Boosted trees trained on the hourly training set (without weather), validation from the
-    cutoff, then refitted; predicts the 48 h inference window."""
+def _gbt_forecast(spark, sf) -> DataFrame:
+    """Boosted trees trained on the hourly training set (without weather), validated from the cutoff, then refitted;
+    predicts the 48 h inference window. ACTION: ten rounds, this query's parameter (the library's default is 1000)."""
     from loadcast.plans import ml
 
-    split = _split(spark, sf)
-    cal = _calendar_hourly(spark, sf)
-    cal_train, cal_inf = calendar.split_calendar_hourly(cal, tv.INFER_START, tv.INFER_END, ts_type=TS)
-    price_train, price_inf = price.split_price(_price_features(spark, sf), tv.INFER_START, tv.INFER_END, ts_type=TS)
-    dims = _groups(spark, sf)
-    train = gold.build_gold(split.train, dims, cal_train, price=price_train, weather_mode="none")
-    infer = gold.build_gold(split.inference, dims, cal_inf, price=price_inf, weather_mode="none")
-    model = ml.train_forecaster(train, ml.categorical_columns(False), cutoff=tv.VALID_CUTOFF, max_iter=10)
+    infer = q_gold_inference_without_weather(spark, sf)
+    model = ml.train_forecaster(q_gold_without_weather_sql(spark, sf), ml.categorical_columns(False),
+                                cutoff=tv.VALID_CUTOFF, max_iter=10)
     return model.predict(infer).select("timestamp_utc", "group_id", "target_consumption")
+
+
+register("gbt_forecast")(_gbt_forecast)
+
+
+@register("gbt_forecast_rows", with_views("SELECT timestamp_utc, group_id, TRUE AS finite FROM feat_inf", "feat_inf"))
+def q_gbt_forecast_rows(spark, sf):
+    """Every hour and group of the forecast, and whether its value is a finite number. ACTION as ``gbt_forecast``."""
+    value = F.col("target_consumption")
+    finite = value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))
+    return _gbt_forecast(spark, sf).select("timestamp_utc", "group_id", finite.alias("finite"))
+
+
+_CODED = ("group_id", "desc", *groups.GROUP_ATTRIBUTES)
+
+
+def _codes_sql() -> str:
+    """Labels in ascending order numbered from 0; NULL gets the number after the last."""
+    labels = ", ".join(
+        f'k_{c} AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS code FROM '
+        f'(SELECT DISTINCT CAST("{c}" AS VARCHAR) AS label FROM train) WHERE label IS NOT NULL)' for c in _CODED)
+    codes = ", ".join(f"CAST(coalesce(k_{c}.code, (SELECT count(*) FROM k_{c})) AS INTEGER) AS {c}_code" for c in _CODED)
+    joins_ = " ".join(f'LEFT JOIN k_{c} ON CAST(c."{c}" AS VARCHAR) = k_{c}.label' for c in _CODED)
+    train = ORACLES["gold_hourly_without_weather"]
+    return f"WITH train AS ({train}), {labels} SELECT c.timestamp_utc, c.group_id, {codes} FROM train c {joins_}"
+
+
+@register("category_codes", _codes_sql())
+def q_category_codes(spark, sf):
+    """Codes of the categorical features over the hourly training set. ACTION (labels are indexed)."""
+    from loadcast.plans import ml
+
+    return ml.category_codes(q_gold_without_weather_sql(spark, sf), _CODED, ["timestamp_utc", "group_id"])

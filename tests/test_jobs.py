@@ -54,7 +54,8 @@ def test_medallion_flow(spark, tmp_path):
 
     model = jobs.train_job(spark, L, "hourly", "without_weather", False, str(tmp_path / "models"), max_iter=2,
                            cutoff=tv.VALID_CUTOFF)
-    out = jobs.predict_job(spark, L, model, "hourly", "without_weather")
+    out = jobs.predict_job(spark, L, str(tmp_path / "models"), "hourly", "without_weather")  # the saved model
+    assert rows(spark.table(f"lc_results.{out}")) == rows(model.predict(spark.table("lc_gold.hourly_inference_dataset_without_weather")))
     preds = [r[0] for r in spark.table(f"lc_results.{out}").select("target_consumption").collect()]
     assert len(preds) == 48 * tv.N_GROUPS and all(math.isfinite(p) for p in preds)
     metrics = jobs.evaluate_job(spark, L, {"without_weather": out}).collect()

@@ -11,7 +11,7 @@ from conftest import SF_SMALL
 from loadcast.operators import index, splits
 
 QUERIES = entry.queries()
-LEARNING = {"gbt_forecast"}
+LEARNING = {"gbt_forecast", "gbt_forecast_rows", "category_codes"}
 
 
 def plan(df) -> str:

@@ -87,32 +87,42 @@ def test_forecaster_trains_predicts_and_round_trips(spark, tmp_path):
     df = spark.createDataFrame(rows, "timestamp_utc timestamp_ntz, group_id int, segment string, "
                                      "target_consumption double, lag1 double")
     model = ml.train_forecaster(df, ["group_id", "segment"], cutoff="2024-01-04 00:00:00", max_iter=3, max_depth=3)
-    assert model.validation_mae is not None and model.validation_mae >= 0
+    assert len(model.validation_errors) == 3 and model.validation_mae == min(model.validation_errors)
+    # the last round's error is that of predictions from a model of all rounds on the rows before the cutoff
+    early = ml.train_forecaster(df.filter("timestamp_utc < '2024-01-04'"), ["group_id", "segment"], max_iter=3, max_depth=3)
+    late = df.filter("timestamp_utc >= '2024-01-04'")
+    scored = early.predict(late.withColumn("target_consumption", F.lit(None).cast("double"))).alias("p").join(
+        late.alias("a"), ["timestamp_utc", "group_id"])
+    direct = scored.agg(F.avg(F.abs(F.col("p.target_consumption") - F.col("a.target_consumption")))).first()[0]
+    assert math.isclose(direct, model.validation_errors[-1], rel_tol=1e-9)
     pred = model.predict(df.withColumn("target_consumption", F.lit(None).cast("double")))
     vals = [r[0] for r in pred.select("target_consumption").collect()]
     assert len(vals) == 288 and all(v is not None and math.isfinite(v) for v in vals)
     model.save(str(tmp_path / "m"))
-    again = ml.Forecaster.load(str(tmp_path / "m"), model.categoricals, model.numeric)
-    assert again.predict(df).count() == 288
+    again = ml.Forecaster.load(str(tmp_path / "m"))
+    assert (again.categoricals, again.numeric, again.validation_errors) == (model.categoricals, model.numeric, model.validation_errors)
+    assert sorted(map(tuple, again.predict(df).collect())) == sorted(map(tuple, model.predict(df).collect()))
     assert ml.artifact_name("hourly", "with_weather") == "hourly_with_weather"
-    ordinal = ml.train_forecaster(df, ["group_id", "segment"], max_iter=2, max_depth=3, max_nominal=2)
-    assert [s.__class__.__name__ for s in ordinal.model.stages][:2] == ["SQLTransformer", "VectorAssembler"]
-    assert ordinal.predict(df).count() == 288
 
 
-def test_high_cardinality_categorical_keeps_bins_bounded(spark):
-    """40 groups > max_nominal: trained as an ordered code (nominal would need maxBins >= 41 > 32)."""
+def test_stop_rule_keeps_the_best_round_within_patience():
+    assert ml.stop_round([], 2) == 0
+    assert ml.stop_round([5.0, 4.0, 4.0, 3.0], 3) == 4
+    assert ml.stop_round([5.0, 4.0, 4.5, 4.2, 1.0], 2) == 2   # two rounds without a gain: round 5 is never reached
+    assert ml.stop_round([5.0, 4.0, 4.5, 4.2, 1.0], 3) == 5
+    assert ml.stop_round([4.0, 4.0], 9) == 1                  # the earlier of ties
+
+
+def test_ordinal_columns_are_the_callers_choice(spark):
+    """40 groups as an ordered code need no 41 bins; as a nominal feature they get them, at any number of labels."""
     rows = [(T0 + dt.timedelta(hours=h), g, float(g % 5 + h % 3)) for g in range(40) for h in range(12)]
     df = spark.createDataFrame(rows, "timestamp_utc timestamp_ntz, group_id int, target_consumption double")
-    model = ml.train_forecaster(df, ["group_id"], max_iter=2, max_depth=3, max_nominal=10)
-    assert model.predict(df).filter(F.col("target_consumption").isNull()).count() == 0
-    gbt = model.model.stages[-1]
-    assert gbt.getOrDefault("maxBins") == 32
-    features = model.model.stages[0].transform(model.prepare(df))
-    for stage in model.model.stages[1:-1]:
-        features = stage.transform(features)
-    attrs = features.schema["features"].metadata["ml_attr"]["attrs"]
-    assert "nominal" not in attrs
+    coded = ml.train_forecaster(df, ["group_id"], max_iter=2, max_depth=3, ordinal=["group_id"], feature_subset="all")
+    assert [s.__class__.__name__ for s in coded.model.stages][:2] == ["SQLTransformer", "VectorAssembler"]
+    assert coded.predict(df).filter(F.col("target_consumption").isNull()).count() == 0
+    assert coded.model.stages[-1].getOrDefault("maxBins") == 32
+    nominal = ml.train_forecaster(df, ["group_id"], max_iter=2, max_depth=3, feature_subset="all")
+    assert nominal.model.stages[-1].getOrDefault("maxBins") == 41
 
 
 def test_weather_xml_directory(spark, tmp_path):
