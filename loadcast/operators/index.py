@@ -46,14 +46,18 @@ def row_index(
     df: DataFrame, order: str, keys: Sequence[str] = (), bucket: Column | None = None, name: str = IDX,
     with_count: bool = False,
 ) -> DataFrame:
-    """Add the 1-based position of each row within its key (ties broken arbitrarily, as row_number).
+    """Add the 1-based position of each row within its key. Rows equal in ``order`` follow a hash of the whole row
+    (of the columns that can be hashed), so a task that is computed again numbers them alike.
 
     ``bucket`` defaults to the day of ``order``. ``with_count`` also adds ``_cnt`` = rows of the key."""
     # rows without an order value come first, as in an ascending sort: they get a bucket before all days
     b = bucket if bucket is not None else F.coalesce(
         F.date_trunc("day", F.col(order)), F.lit("0001-01-01 00:00:00").cast("timestamp"))
     keyed, ks = _null_free_keys(df.withColumn("_bkt", b), keys)
-    local = keyed.withColumn("_rn", F.row_number().over(Window.partitionBy(*ks, "_bkt").orderBy(order)))
+    hashed = [F.col(f"`{c.name}`") for c in df.schema if "map<" not in c.dataType.simpleString()
+              and "variant" not in c.dataType.simpleString()]
+    local = keyed.withColumn("_rn", F.row_number().over(
+        Window.partitionBy(*ks, "_bkt").orderBy(order, F.xxhash64(*hashed))))
     counts = keyed.groupBy(*ks, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
     running = Window.partitionBy(*ks).orderBy("_bkt")
     offsets = counts.select(

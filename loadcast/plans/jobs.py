@@ -92,13 +92,15 @@ def price_job(spark: SparkSession, raw_table: str, w: Windows, L: Layers) -> Non
 
 
 def weather_job(spark: SparkSession, landing_long_table: str, inference_raw_table: str, w: Windows, L: Layers,
-                block_rows: int | None = None) -> None:
+                block_rows: int | None = 65_536) -> None:
     """Training features from the long landing table (C6-C8) and both inference variants (C5, C7).
-    ``block_rows`` selects the split plan (fill per key and day, blocked lags) for very long keys."""
+    Default: the split plan (fill and positions per key and day, lags per block), which holds for any key length,
+    the NULL key of all unknown cities included; ``block_rows=None`` puts one key in one task, for many short keys."""
+    split = block_rows is not None
     obs = weather.prepare_weather_training(spark.table(landing_long_table), w.ts_type)
     feats = weather.weather_features(obs, *w.train_weather, ts_type=w.ts_type, block_rows=block_rows)
-    write_table(weather.drop_latest_horizon(feats), _t(L.silver, "weather_training_clean"))
-    inf = weather.prepare_weather_inference(spark.table(inference_raw_table), w.ts_type)
+    write_table(weather.drop_latest_horizon(feats, split=split), _t(L.silver, "weather_training_clean"))
+    inf = weather.prepare_weather_inference(spark.table(inference_raw_table), w.ts_type, split=split)
     write_table(weather.weather_features(inf, *w.inference_weather, ts_type=w.ts_type, block_rows=block_rows),
                 _t(L.silver, "weather_inference_clean"))
     write_table(weather.weather_features(inf, *w.inference_weather_null, ts_type=w.ts_type, block_rows=block_rows),

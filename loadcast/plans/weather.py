@@ -56,15 +56,15 @@ def check_prefix_coverage(long: DataFrame, prefixes: Sequence[str] = WEATHER_KEY
 
 
 def prepare_weather_inference(raw: DataFrame, ts_type: str = "timestamp", prefixes: Sequence[str] = WEATHER_KEYS,
-                              drop_latest: int = 1) -> DataFrame:
+                              drop_latest: int = 1, split: bool = False) -> DataFrame:
     """Key by normalised city prefix (NULL for unknown cities), tolerant temperature, parsed
-    timestamp; drop the latest ``drop_latest`` rows of every key."""
+    timestamp; drop the latest ``drop_latest`` rows of every key. ``split``: as in ``drop_latest_horizon``."""
     prepared = raw.select(
         to_ts("timestamp", ts_type).alias("timestamp_utc"),
         tolerant_double("TA_PT1H_AVG").alias("temperature"),
         key_from_prefix(normalize_name("city"), prefixes).alias("weather_key"),
     )
-    return windows.drop_tail(prepared, drop_latest, "timestamp_utc", ["weather_key"])
+    return drop_latest_horizon(prepared, drop_latest, split)
 
 
 def prepare_weather_training(long: DataFrame, ts_type: str = "timestamp") -> DataFrame:
@@ -107,6 +107,9 @@ def weather_features(
     return trimmed.select("weather_key", "timestamp_utc", "temperature_missing_flag", *lag_names)
 
 
-def drop_latest_horizon(df: DataFrame, horizon: int = FORECAST_HORIZON) -> DataFrame:
-    """Training weather: remove the latest ``horizon`` rows of every key."""
-    return windows.drop_tail(df, horizon, "timestamp_utc", ["weather_key"])
+def drop_latest_horizon(df: DataFrame, horizon: int = FORECAST_HORIZON, split: bool = False) -> DataFrame:
+    """Remove the latest ``horizon`` rows of every key. One task per key, right for many short keys;
+    ``split`` counts positions per (key, day) instead, so that no key (the NULL key of unknown cities
+    included) is one task."""
+    drop = index.drop_tail_positional if split else windows.drop_tail
+    return drop(df, horizon, "timestamp_utc", ["weather_key"])

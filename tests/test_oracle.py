@@ -5,9 +5,10 @@ import pytest
 import __spark_entry__ as entry
 from compare import same_result
 from conftest import SF_SMALL
+from loadcast import registry
 
-ORACLES = entry.oracle_sql()
-QUERIES = entry.queries()
+ORACLES = registry.oracle_sql()  # the training-data queries have their own tests
+QUERIES = {n: q for n, q in entry.queries().items() if n in registry.queries()}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

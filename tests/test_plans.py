@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from loadcast import registry
 from loadcast.operators import index, splits
 
-QUERIES = entry.queries()
+QUERIES = {n: q for n, q in entry.queries().items() if n in registry.queries()}
 LEARNING = {"gbt_forecast", "gbt_forecast_rows", "category_codes"}
 
 
@@ -90,3 +91,32 @@ def test_since_filter_reaches_the_scan(spark):
         F.col("value").alias("target_consumption"))
     text = plan(features.hourly_features(events, since="2024-01-29 00:00:00", ts_type=tv.TS, gap_free=True))
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts,2024-01-01T00:00)]" in text, text[-2000:]
+
+
+def test_metrics_start_no_job_while_building(spark):
+    names = ("model_comparison", "evaluate_forecast", "gold_hourly_with_weather_sql")
+    for name in names:
+        QUERIES[name](spark, SF_SMALL)  # table footers are read once per application
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build-only", "plans only")
+    try:
+        for name in names:
+            QUERIES[name](spark, SF_SMALL)
+        assert list(tracker.getJobIdsForGroup("build-only")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.sparkContext.setLocalProperty("spark.job.description", None)
+
+
+def test_hot_null_weather_key_is_split_over_tasks(spark):
+    """Half of all rows have no key: positions of the split form come from (key, day) parts."""
+    from loadcast.plans import weather
+
+    rows = spark.range(8000).select(
+        F.expr("timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(0, int(id div 2))").alias("timestamp_utc"),
+        F.when(F.col("id") % 2 == 0, "HEL").alias("weather_key"), F.col("id").cast("double").alias("temperature"))
+    split = weather.drop_latest_horizon(rows, 48, split=True)
+    text = plan(split)
+    assert not re.search(r"Exchange hashpartitioning\(weather_key#\d+, \d+\)", text)
+    assert re.search(r"Exchange hashpartitioning\([^)]*_bkt", text)
+    assert sorted(map(str, split.collect())) == sorted(map(str, weather.drop_latest_horizon(rows, 48).collect()))
