@@ -4,8 +4,13 @@ Iterative quantisation learns rotations on a bounded sample: alternately the nea
 the rotated, centred unit vectors and the rotation closest to those codes (a singular value
 decomposition). Every vector gets the code bits of several such rotations. The code is cut into
 disjoint substrings, one table each; vectors that agree on a whole substring meet. Width and number of
-tables follow from the table size and the threshold: about ``GROUP`` chance members per key, and a chance of at
-most ``MISS`` that a pair exactly at the threshold agrees on none. Their number grows as n**0.15.
+tables follow from the table size and the threshold: about ``GROUP`` chance members per key for spread vectors.
+
+Angles around the learned mean say nothing certain about the cosine, so as many tables again take signs of the
+uncentred vectors on independent normal directions. Those bits agree with chance 1 - angle / pi, one
+independently of the other and whatever the data, so a pair exactly at the threshold meets in none of these
+tables with a chance of at most ``MISS``. The number of tables grows as n**0.15. Vectors that share a strong
+common direction share keys: their groups, and the comparisons, grow, up to all pairs of a tight group.
 
 Members of a key are compared with their original vectors in double precision, block by block, so no
 candidate pair is written: each cell returns per vector its number of links and a root of the cell's link
@@ -54,8 +59,13 @@ def learn_rotations(sample: np.ndarray, count: int, rounds: int = ROUNDS, seed:
     return mean, np.concatenate(out, axis=1)
 
 
+def plain_directions(dim: int, count: int, seed: int = 17) -> np.ndarray:
+    """``count`` independent normal directions (columns): signs on them depend on the angle of two vectors only."""
+    return np.random.default_rng(seed).normal(size=(dim, count))
+
+
 def table_shape(n: int, threshold: float, miss: float = MISS, group: int = GROUP) -> tuple[int, int]:
-    """Bits per substring and number of tables for ``n`` vectors."""
+    """Bits per substring and number of tables of either kind (learned, plain) for ``n`` vectors."""
     width = min(30, max(6, round(math.log2(max(2, n) / group))))
     same = 1 - math.acos(threshold) / math.pi  # chance that a bit agrees at the threshold
     return width, max(4, math.ceil(math.log(miss) / math.log(1 - same**width)))
@@ -97,10 +107,11 @@ def _coded(classes: DataFrame, models: dict[int, tuple]) -> DataFrame:
             dims = batch.column(1).to_numpy()
             for dim in np.unique(dims).tolist():
                 part = batch.filter(pa.array(dims == dim))
-                mean, rotation, width, tables = models[dim]
+                mean, rotation, plain, width, tables = models[dim]
                 x = _matrix(part.column(2), dim)
                 x = x / np.linalg.norm(x, axis=1, keepdims=True)
-                bits = ((x - mean) @ rotation >= 0)[:, :width * tables].reshape(len(x), tables, width)
+                learned = ((x - mean) @ rotation >= 0)[:, :width * tables]
+                bits = np.concatenate([learned, x @ plain >= 0], axis=1).reshape(len(x), 2 * tables, width)
                 keys = (bits * (1 << np.arange(width, dtype=np.int64))).sum(axis=2).astype("<u4")
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array([k.tobytes() for k in keys], pa.binary())],
                                                  names=["cls", "dim", "vector", "copies", "keys"])
@@ -169,7 +180,7 @@ def near_duplicates(rows: DataFrame, column: str = "embedding", threshold: float
         picked = classes.filter(F.col("dim") == r["dim"]).select("vector", F.xxhash64("cls").alias("o")).orderBy("o").limit(sample).collect()
         x = np.frombuffer(b"".join(bytes(p["vector"]) for p in picked), dtype="<f8").reshape(-1, r["dim"])
         x = x / np.linalg.norm(x, axis=1, keepdims=True)
-        models[r["dim"]] = (*learn_rotations(x, -(-width * tables // r["dim"])), width, tables)
+        models[r["dim"]] = (*learn_rotations(x, -(-width * tables // r["dim"])), plain_directions(r["dim"], width * tables), width, tables)
     if not models:
         links = None
     else:

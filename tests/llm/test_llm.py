@@ -416,6 +416,34 @@ def test_embeddings_against_all_pairs(spark):
     assert embeddings.near_duplicates(df.filter("false")).isEmpty()
 
 
+def _at_threshold(g, vectors):
+    """A partner of each vector at a cosine of 0.9505, in a random direction."""
+    a = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    u = g.normal(size=a.shape)
+    u -= (u * a).sum(axis=1, keepdims=True) * a
+    return 0.9505 * a + np.sqrt(1 - 0.9505**2) * u / np.linalg.norm(u, axis=1, keepdims=True)
+
+
+def _embedding_sets():
+    g = np.random.default_rng(8)
+    offset = g.normal(size=(700, 32)) / np.sqrt(32) + 2 * np.eye(32)[0]  # mean of norm about 0.9
+    crowd = g.normal(size=(1, 32)) + 0.2 * g.normal(size=(900, 32))
+    return {"offset": np.concatenate([offset, _at_threshold(g, offset)]),
+            "dominating": np.concatenate([crowd, g.normal(size=(50, 32)), _at_threshold(g, crowd[:50])]),
+            "two": np.concatenate([offset[:1], _at_threshold(g, offset[:1])])}
+
+
+@pytest.mark.parametrize("name", ["offset", "dominating", "two"])
+def test_embeddings_recall_at_production_miss(spark, name):
+    x = _embedding_sets()[name]
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in embeddings.near_duplicates(df).collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    links = (u @ u.T >= 0.95).sum(axis=1) - 1
+    assert all(got[k] <= links[k] for k in range(len(x)))
+    assert sum(got.values()) >= 0.99 * links.sum() > 0
+
+
 # ------------------------------------------------------------------ pipeline and registration
 
 def test_pipeline_stages_on_odd_rows_and_empty_input(spark, docs, empty):
