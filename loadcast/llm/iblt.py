@@ -1,7 +1,9 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests, Spark functions only.
 
-A text is the set of its paragraph digests (lines; lines longer than ``LONG_LINE`` are cut after sentence
-ends). Each digest is added to three cells of a small table; a cell holds a count, the XOR of its
+A text is the set of its piece digests. Every line is cut after sentence ends, and a sentence longer than
+``LONG`` characters after the words where a hash of the word and the one before fits (about every ``EVERY``-th);
+a run of more than ``LONG_WORD`` characters without a space counts by its characters, so that texts in scripts
+without spaces are cut, too. Cuts depend on nearby content only. Each digest is added to three cells of a small table; a cell holds a count, the XOR of its
 digests and the XOR of their check hashes. The fingerprint is that table, in hexadecimal.
 
 Two fingerprints are subtracted cell by cell: common digests cancel. Peeling then recovers the
@@ -25,18 +27,36 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CELLS = 24          # cells of the fingerprint's table: three parts of eight
-LONG_LINE = 160     # characters from which a line is cut after its sentence ends
+LONG = 80           # characters from which a sentence is cut further
+LONG_WORD = 32      # characters from which a word is cut between its characters
+EVERY = 16          # words (or characters) between two such cuts, on average
+MOST = 64           # words (or characters) without a cut, at most
 PER_GROUP = 6       # digests of both sides per group in the retry
 WIDER = (18, 48, 144)  # cells of a group's table, try by try
 ROUNDS = 12         # peeling rounds per table
 SPAN = 64           # consecutive ids per bucket
 
 
+def _cut(piece: Column) -> Column:
+    """A piece cut at content-defined places."""
+    units = F.flatten(F.transform(F.split(piece, "(?<= )(?=[^ ])"), lambda w: F.when(
+        F.char_length(w) > LONG_WORD, F.filter(F.split(w, ""), lambda c: c != "")).otherwise(F.array(w))))
+
+    def pieces(us: Column) -> Column:
+        ends = F.filter(F.sequence(F.lit(1), F.size(us)), lambda i: (i == F.size(us)) | (
+            F.pmod(F.xxhash64(F.get(us, i - 2), F.get(us, i - 1)), F.lit(EVERY)) == 0))
+        return F.transform(F.array(ends), lambda es: F.flatten(F.transform(es, lambda e, k: F.transform(
+            F.sequence(F.coalesce(F.get(es, k - 1), F.lit(0)) + 1, e, F.lit(MOST)),
+            lambda f: F.array_join(F.slice(us, f, F.least(F.lit(MOST), e - f + 1)), "")))))[0]
+
+    return F.transform(F.array(units), pieces)[0]  # arrays of one: their lambda evaluates the inner part once
+
+
 def digests(text: Column) -> Column:
-    """Distinct paragraph digests of a text."""
+    """Distinct piece digests of a text."""
     lines = F.split(F.coalesce(text, F.lit("")), "\n")
-    cut = F.flatten(F.transform(lines, lambda x: F.when(F.char_length(x) > LONG_LINE, F.split(x, r"(?<=[.!?]) +"))
-                                .otherwise(F.array(x))))
+    sentences = F.flatten(F.transform(lines, lambda x: F.split(x, r"(?<=[.!?]) +|(?<=[。！？])")))
+    cut = F.flatten(F.transform(sentences, lambda p: F.when(F.char_length(p) > LONG, _cut(p)).otherwise(F.array(p))))
     return F.array_distinct(F.transform(F.filter(cut, lambda p: p != ""), lambda p: F.xxhash64(p)))
 
 

@@ -106,6 +106,26 @@ def test_fingerprints_against_sets(docs, empty):
     assert iblt.fingerprints(empty).isEmpty()
 
 
+def test_pieces_grow_with_every_text(spark):
+    """Texts without sentence ends, without spaces, and short lines of sentences: an edit leaves pieces in common."""
+    r = random.Random(12)
+    han = "".join(chr(r.randrange(0x4E00, 0x9FA5)) for _ in range(1200))
+    sentences = [prose(5, 300 + k) + "." for k in range(40)]
+    texts = [prose(900, 13), han, "a" * 3000, " ".join(sentences[:3]), " ".join(sentences), "😀é" * 400]
+    rows = [(2 * k + j, t) for k, t in enumerate(texts) for j, t in enumerate((t, prose(900, 400 + k)))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    near = {x.doc_id: x.near_edited for x in iblt.fingerprints(df).collect()}
+    assert all(near[2 * k] > 0 for k in range(len(texts)))
+    assert near[0] > 0.4 and near[2] > 0.4 and near[8] > 0.4
+    n = {x.doc_id: x.n for x in df.select("doc_id", F.size(iblt.digests(F.col("text"))).alias("n")).collect()}
+    assert n[0] > 40 and n[2] > 50 and 2 <= n[6] <= 3 and n[8] == 40
+    # a line's length does not change how its sentences count
+    one = {x.t: x.d for x in spark.createDataFrame([(" ".join(sentences[:k]),) for k in (1, 2, 9)], "t string")
+           .select("t", iblt.digests(F.col("t")).alias("d")).collect()}
+    a, b, c = (set(one[" ".join(sentences[:k])]) for k in (1, 2, 9))
+    assert a < b < c
+
+
 def test_sketch_retries_larger_when_tables_overflow(spark):
     a, b = list(range(0, 900)), list(range(450, 1600))
     df = spark.createDataFrame([(a, b)], "a array<bigint>, b array<bigint>").select(
