@@ -13,12 +13,13 @@ about ``PER_GROUP``, each with a table of its own, and a group that fails again
 hash seeds). What even the widest table leaves is counted by plain set difference. The likeness is the
 Jaccard index that follows from the recovered number: (a + b - d) / (a + b + d).
 
-The neighbour in id order is found without a global sort: ids are dealt to buckets of ``SPAN`` consecutive
-values, the next row is a lead inside the bucket, and the last row of a bucket takes the first row of the
-next non-empty one (a small table of buckets, chained the same way one level up).
+The neighbour in id order is found without a global sort: rows are dealt to ranges of (id, text digest) whose
+bounds come from a bounded sample of the keys, about ``SPAN`` rows each, however dense the ids are. The next row
+is a lead inside the range, and the last row of a range takes the first row of the next one that has rows (a
+table with a row per range, at most ``RANGES``).
 
 Defined cases: NULL and empty texts have no paragraphs; two such texts have likeness 1; NULL ids come first;
-rows that repeat an id are ordered by text, fully equal rows in any order; the last row's neighbour is
+rows that repeat an id are ordered by a digest of the text, fully equal rows in any order; the last row's neighbour is
 the first row; a single row is its own neighbour; extra columns are ignored; an empty table gives an empty result."""
 
 from __future__ import annotations
@@ -34,7 +35,9 @@ MOST = 64           # words (or characters) without a cut, at most
 PER_GROUP = 6       # digests of both sides per group in the retry
 WIDER = (18, 48, 144)  # cells of a group's table, try by try
 ROUNDS = 12         # peeling rounds per table
-SPAN = 64           # consecutive ids per bucket
+SPAN = 64           # rows per range, as long as that makes no more than RANGES
+RANGES = 4096       # ranges of ids, at most
+SAMPLE = 1 << 16    # keys the bounds are taken from, about
 
 
 def _cut(piece: Column) -> Column:
@@ -135,21 +138,39 @@ def likeness(left: str, right: str, left_cells: str, right_cells: str) -> Column
                   f"v -> if(v.n = 0, 1.0D, cast(v.n - v.d as double) / (v.n + v.d)))[0]")
 
 
+def _range_of(key: Column, bounds: list[tuple[bool, int, int]]) -> Column:
+    """Number of the ascending ``bounds`` that are at most ``key``: binary search in an array literal."""
+    if not bounds:
+        return F.lit(0)
+    places = F.expr("array({})".format(", ".join(
+        f"named_struct('has', {str(h).lower()}, 'id', cast('{i}' as bigint), 'digest', cast('{d}' as bigint))" for h, i, d in bounds)))
+    steps = F.expr("array({})".format(", ".join(str(1 << i) for i in reversed(range(len(bounds).bit_length())))))
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(places, at + step - 1) <= key, at + step).otherwise(at))
+
+
+def ranged(docs: DataFrame) -> DataFrame:
+    """ACTION (key sample): ``doc_id, text, k, b``: NULL texts as empty, the key that orders the rows, and its range."""
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", text.alias("text"), F.struct(
+        F.col("doc_id").isNotNull().alias("has"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("id"),
+        F.xxhash64(text).alias("digest")).alias("k"))
+    n = rows.count()
+    some = rows.filter(F.pmod(F.xxhash64("k"), F.lit(max(1, n // SAMPLE))) == 0).select("k.*").distinct().collect()  # at most two SAMPLE
+    keys, ranges = sorted(map(tuple, some)), min(RANGES, -(-n // SPAN))
+    bounds = sorted({keys[len(keys) * i // ranges] for i in range(1, ranges)}) if keys else []
+    return rows.withColumn("b", _range_of(F.col("k"), bounds))
+
+
 def with_next_text(docs: DataFrame) -> DataFrame:
-    """``doc_id, text, next_text`` (NULL texts as empty), neighbours in ascending doc_id."""
-    low = -(1 << 62)
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
-                       F.coalesce(F.floor(F.col("doc_id") / SPAN), F.lit(low)).cast("bigint").alias("b"))
-    # first text of the bucket that follows each bucket
-    firsts = rows.groupBy("b").agg(F.min(F.struct("doc_id", "text")).alias("f")).select("b", F.col("f.text").alias("first_text"))
-    buckets = rows.select("b").distinct().withColumn("bb", F.floor(F.col("b") / 4096))
-    heads = buckets.groupBy("bb").agg(F.min("b").alias("head"))  # a row per 4096 buckets of 64 ids
-    everything = Window.orderBy("bb")
-    next_heads = heads.select("bb", F.coalesce(F.lead("head").over(everything), F.first("head").over(everything)).alias("next_head"))
-    chain = buckets.join(next_heads, "bb").select(
-        F.col("b").alias("of"), F.coalesce(F.lead("b").over(Window.partitionBy("bb").orderBy("b")), "next_head").alias("b"))
+    """ACTION: ``doc_id, text, next_text`` (NULL texts as empty), neighbours in ascending doc_id."""
+    rows = ranged(docs)
+    # first text of each range, and the range it follows (one row per range)
+    firsts = rows.groupBy("b").agg(F.min(F.struct("k", "text")).alias("f")).select("b", F.col("f.text").alias("first_text"))
+    heads = rows.select("b").distinct()
+    everything = Window.orderBy("b")
+    chain = heads.select(F.col("b").alias("of"), F.coalesce(F.lead("b").over(everything), F.first("b").over(everything)).alias("b"))
     after = chain.join(firsts, "b").select(F.col("of").alias("b"), "first_text")
-    inside = rows.withColumn("next_text", F.lead("text").over(Window.partitionBy("b").orderBy("doc_id", "text")))
+    inside = rows.withColumn("next_text", F.lead("text").over(Window.partitionBy("b").orderBy("k", "text")))
     return inside.join(after, "b").select("doc_id", "text", F.coalesce("next_text", "first_text").alias("next_text"))
 
 
@@ -160,7 +181,7 @@ def edited(text: Column, following: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``docs(doc_id, text)`` to ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
+    """ACTION. ``docs(doc_id, text)`` to ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next``: likeness of each text to its edited version and to the next document."""
     staged = with_next_text(docs).withColumn("edited", edited(F.col("text"), F.col("next_text")))
     parts = staged.select("doc_id", F.char_length("text").cast("bigint").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),

@@ -141,6 +141,20 @@ def test_next_row_crosses_buckets_and_wraps(spark):
     assert got == {a: f"t{b}" for a, b in zip(ids, ids[1:] + ids[:1])}
 
 
+@pytest.mark.parametrize("kind", ["sparse", "null", "repeated"])
+def test_next_row_ranges_do_not_depend_on_ids(spark, kind):
+    r = random.Random(3)
+    ids = {"sparse": [r.randrange(-2**63, 2**63) for _ in range(2000)], "null": [None] * 2000, "repeated": [7] * 1990 + list(range(10))}[kind]
+    df = spark.createDataFrame([(i, f"t{k}") for k, i in enumerate(ids)], "doc_id bigint, text string")
+    got = {x.text: x.next_text for x in iblt.with_next_text(df).collect()}
+    digest = {x.text: x.d for x in df.select("text", F.xxhash64("text").alias("d")).collect()}
+    order = [t for _, _, t in sorted((-(2**64) if i is None else i, digest[f"t{k}"], f"t{k}") for k, i in enumerate(ids))]
+    assert got == dict(zip(order, order[1:] + order[:1]))
+    # ranges of about SPAN rows whatever the ids, and no table of one row per document behind the unpartitioned window
+    per = [x["count"] for x in iblt.ranged(df).groupBy("b").count().collect()]
+    assert max(per) <= 4 * iblt.SPAN and len(per) <= 2 * len(ids) / iblt.SPAN
+
+
 # ------------------------------------------------------------------ 2 range coder
 
 @pytest.mark.parametrize("n", [0, 1, 2, 129, 5000, 40000])
