@@ -336,7 +336,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rows:
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """ACTION: ``docs`` with one document per component (the smallest doc_id), every column kept.
-    Repeated rows with that doc_id all stay; rows with a NULL doc_id stay unless their component has an id."""
-    kept = near_duplicates(docs, **options).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
+    """ACTION: ``docs`` with one row per component, every column kept: of the rows with the smallest doc_id (with
+    NULL, if no row has an id) the one with the smallest text digest, of rows equal in both any one. Texts
+    without shingles are no copies of anything: their rows stay."""
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    order = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), digest.alias("c"))
+    # written once: a key per row, which stands for the doc_id in the search
+    rows = materialize(docs.withColumns({"_row": F.monotonically_increasing_id(), "_order": order}))
+    found = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), **options) \
+        .select(F.col("doc_id").alias("_row"), "component_id")
+    best = found.join(rows.select("_row", "_order"), "_row").groupBy("component_id") \
+        .agg(F.min(F.struct("_order", "_row")).alias("best")).select(F.col("best._row").alias("_row"))
+    return rows.join(best, "_row", "left_semi").select(*docs.columns)

@@ -236,6 +236,23 @@ def test_near_duplicates_against_all_pairs(docs, empty, shingle, percent):
     assert neardup.near_duplicates(empty, shingle, percent).isEmpty()
 
 
+def test_drop_keeps_one_row_per_component_with_null_and_repeated_ids(spark):
+    other = prose(200, 21)
+    rows = [(None, ""), (None, BASE), (None, BASE + " tail"), (4, BASE), (None, other), (None, other + " tail"), (None, other),
+            (7, prose(150, 22)), (7, prose(150, 22) + " tail"), (7, prose(150, 23)), (9, prose(150, 23)), (5, None), (6, "")]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    sets = {k: shingle_set(t, 5) for k, (_, t) in enumerate(rows)}
+    comp = brute_components(sets, lambda a, b: bool(sets[a] and sets[b])
+                            and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]))
+    best = {}
+    for k, (i, t) in enumerate(rows):
+        o = (i is None, i or 0, hashlib.sha256((t or "").encode()).hexdigest(), str((i, t)))
+        best[comp[k]] = min(best.get(comp[k], o), o)
+    got = neardup.drop_near_duplicates(df, shingle=5, percent=80)
+    assert got.columns == df.columns
+    assert sorted(str((x.doc_id, x.text)) for x in got.collect()) == sorted(o[3] for o in best.values())
+
+
 def test_chain_of_near_copies_in_small_blocks(spark):
     """Neighbours link, ends do not: the second round must find every join, also across blocks."""
     w = prose(400, 11).split()
