@@ -24,7 +24,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +34,8 @@ from pyspark.sql import types as T
 
 from loadcast.llm.textbytes import slices
 
-CACHED_WORDS = 400_000  # words remembered per task process (a bound on memory, results do not depend on it)
+CACHE_BYTES = 32 << 20  # of words and their ids remembered per task process, in each of two generations
+CACHED_ARCS = 120_000   # tabulated arc tests per task process (bounds on memory; results do not depend on them)
 
 
 def byte_symbols() -> list[str]:
@@ -60,7 +61,7 @@ class MergeAutomaton:
         right: dict[int, int] = {}
         self.cut: dict[tuple[int, int], int] = {}
         self.born, self.left, self.right = born, left, right
-        self.steps: dict[tuple[int, int], bool] = {}
+        self.steps: dict[int, bool] = {}
         for n, (a, b) in enumerate(merges):
             u, v = vocab[a], vocab[b]
             w = vocab[a + b]
@@ -121,9 +122,11 @@ class MergeAutomaton:
                 if y is not None:
                     if x < 0:
                         break
-                    ok = steps.get((x, y))
+                    ok = steps.get(x << 32 | y)
                     if ok is None:
-                        ok = steps[x, y] = self._arc(x, y)
+                        if len(steps) >= CACHED_ARCS:
+                            steps.clear()
+                        ok = steps[x << 32 | y] = self._arc(x, y)
                     if ok:
                         break
                 j -= 1
@@ -145,19 +148,23 @@ class MergeAutomaton:
 
 
 class _Words(dict):
-    """Word -> little-endian ids, filled on demand; emptied when full."""
+    """Word -> little-endian ids, filled on demand by ``encode_symbols``. Two generations of bounded bytes: a full
+    one becomes the old one, and words met again move to the new one."""
 
-    def __init__(self, automaton: MergeAutomaton):
+    def __init__(self, encode_symbols: Callable[[str], Sequence[int]]):
         super().__init__()
-        self.automaton, self.symbols = automaton, byte_symbols()
+        self.encode_symbols, self.symbols, self.old, self.room = encode_symbols, byte_symbols(), {}, CACHE_BYTES
 
     def __missing__(self, word: str) -> bytes:
-        symbols = self.symbols
-        ids = self.automaton.encode("".join([symbols[b] for b in word.encode()]))
-        if len(self) >= CACHED_WORDS:
+        out = self.old.pop(word, None)
+        if out is None:
+            symbols = self.symbols
+            out = np.array(self.encode_symbols("".join([symbols[b] for b in word.encode()])), dtype="<u4").tobytes()
+        self.room -= 200 + 4 * len(word) + len(out)  # about what Python keeps for them
+        if self.room < 0:
+            self.old, self.room = dict(self), CACHE_BYTES
             self.clear()
-            self.automaton.steps.clear()
-        out = self[word] = np.array(ids, dtype="<u4").tobytes()
+        self[word] = out
         return out
 
 
@@ -175,16 +182,20 @@ def _is_latin(text: str) -> bool:
 
 
 class WordTokenizer:
-    """Normalise, cut out special strings, split, and encode word by word."""
+    """Normalise, cut out special strings, split, and encode word by word: by the automaton, or by
+    ``encode_symbols`` (byte symbols of a word to its ids)."""
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, encode_symbols: Callable[[str], Sequence[int]] | None = None):
         from tokenizers import Tokenizer
 
         spec = json.loads(definition)
-        model = spec["model"]
-        merges = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in model["merges"]]
-        self.words = _Words(MergeAutomaton(model["vocab"], merges, model["end_of_word_suffix"] or ""))
-        self.normalise = Tokenizer.from_str(definition).normalizer.normalize_str
+        if encode_symbols is None:
+            model = spec["model"]
+            merges = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in model["merges"]]
+            encode_symbols = MergeAutomaton(model["vocab"], merges, model["end_of_word_suffix"] or "").encode
+        self.words = _Words(encode_symbols)
+        bare = spec | {"model": {"type": "BPE", "vocab": {}, "merges": []}, "added_tokens": [], "post_processor": None}
+        self.normalise = Tokenizer.from_str(json.dumps(bare)).normalizer.normalize_str
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         pattern = split["pattern"]["Regex"]
         self.find = regex.compile(pattern).findall

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadcast.llm import bpe, chat, coder, embeddings, iblt, mixing, neardup, quality, substring, warc
+from loadcast.llm import bpe, chat, coder, embeddings, iblt, mixing, neardup, packing, quality, substring, warc
 from loadcast.llm.scratch import folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -239,6 +239,14 @@ def op10_iterative_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+@register("op13_bounded_space_packing")
+def op13_bounded_space_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ACTION. Ids of word_bpe_49k.json and an end id, packed into windows of 4096 by bounded-space best fit."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=2)
+    return pieces.select("doc_id", "start", (F.octet_length("ids") / 4).cast("bigint").alias("length"),
+                         F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
