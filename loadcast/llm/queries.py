@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadcast.llm import bpe, chat, coder, embeddings, iblt, mixing, neardup, packing, quality, substring, warc
+from loadcast.llm import bpe, chat, coder, embeddings, iblt, mixing, neardup, packing, quality, runs, substring, warc
 from loadcast.llm.scratch import folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -239,6 +239,67 @@ def op10_iterative_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+# Runs as islands of equal places q apart. A run of 6 words with q = 1, or of 4 * q words with q from 2 on, has five equal words
+# in a row q apart, so only places that begin the same five words are joined. A stretch inside one of smaller period has that period.
+# The crc32 is a fold over the bits of the decimal id, lowest first; 3988292384 is its fixed polynomial.
+_OP11_ORACLE = f"""
+WITH hashed AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w0, xor(4294967295, list_reduce(
+  list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+    lambda ch: list_transform(range(8), lambda k: ((ascii(ch) >> k::INT) & 1)::BIGINT)))),
+  lambda c, bit: xor(c >> 1, 3988292384 * (xor(c, bit) & 1)))) AS h FROM documents),
+placed AS (SELECT doc_id, w0, h, len(w0) AS n, CASE WHEN h % 10 = 0 AND len(w0) > 0 THEN (h // 10) % len(w0) END AS a FROM hashed),
+tiled AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM placed),
+texts AS (SELECT doc_id, n, CASE WHEN a IS NULL THEN w0 ELSE
+  list_transform(range(n), lambda i: w0[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) END AS w FROM tiled),
+fives AS (SELECT doc_id, n, i, array_to_string(w[i + 1:i + 5], ' ') AS g FROM (SELECT *, unnest(range(n - 4)) AS i FROM texts WHERE n > 5)),
+again AS (SELECT * FROM fives QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+places AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM again x JOIN again y ON x.doc_id = y.doc_id AND x.g = y.g AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+islands AS (SELECT doc_id, q, min(i) AS start, count(*) + 4 + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM places) GROUP BY doc_id, q, island),
+long AS (SELECT * FROM islands WHERE length >= greatest(6, 4 * q)),
+runs AS (SELECT * FROM long r WHERE NOT EXISTS (SELECT 1 FROM long s WHERE s.doc_id = r.doc_id AND s.q < r.q AND s.start <= r.start
+  AND s.start + s.length >= r.start + r.length)),
+best AS (SELECT doc_id, start, length, q FROM runs r WHERE NOT EXISTS (SELECT 1 FROM runs s WHERE s.doc_id = r.doc_id
+  AND (s.length * r.q > r.length * s.q OR (s.length * r.q = r.length * s.q AND (s.start, s.q) < (r.start, r.q))))),
+listed AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS lines FROM runs GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + q, start + length)) AS i FROM runs),
+gone_list AS (SELECT doc_id, list(i) AS g FROM gone GROUP BY doc_id)
+SELECT t.doc_id, coalesce(l.n_runs, 0) AS n_runs, b.start, CAST(b.length AS BIGINT) AS length, b.q AS period,
+  CAST(1000 * b.length // b.q AS BIGINT) AS exponent_milli, sha256(coalesce(l.lines, '')) AS runs_sha256,
+  sha256(array_to_string(CASE WHEN k.g IS NULL THEN t.w ELSE
+    list_transform(list_filter(range(t.n), lambda i: NOT list_contains(k.g, i)), lambda i: t.w[i + 1]) END, ' ')) AS collapsed_sha256
+FROM texts t LEFT JOIN listed l USING (doc_id) LEFT JOIN best b USING (doc_id) LEFT JOIN gone_list k USING (doc_id)"""
+
+
+def _tiled(text, doc_id):
+    """The text, or for ids whose crc32 is divisible by 10 its words from a place on repeated with a period, both from that crc32."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+
+    def tiled(w):
+        n, g = F.size(w).cast("bigint"), F.floor(h / 10)
+        a = g % n
+        p = F.floor((n - a) / (3 + g % 8)) + 1
+        place = F.array(F.struct(a.alias("a"), p.alias("p")))  # arrays of one: their lambda evaluates the inner part once
+        return F.transform(place, lambda s: F.array_join(F.transform(F.sequence(F.lit(0).cast("bigint"), n - 1), lambda i: F.get(
+            w, F.when(i < s["a"], i).otherwise(s["a"] + (i - s["a"]) % s["p"]).cast("int"))), " "))[0]
+
+    words = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+)"), 1)
+    changed = F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, tiled(w)).otherwise(F.lit("")))[0]
+    return F.when(h % 10 == 0, changed).otherwise(text)
+
+
+@register("op11_descending_lcp_runs", _OP11_ORACLE)
+def op11_descending_lcp_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every text (a tenth of them made periodic), the strongest one, and the texts without their repeats."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    out = runs.periodic_runs(docs.select("doc_id", _tiled(F.col("text"), F.col("doc_id")).alias("text")))
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return out.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), "strongest.start", "strongest.length", "strongest.period",
+                      F.floor(F.col("strongest.length") * 1000 / F.col("strongest.period")).alias("exponent_milli"),
+                      F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+                      F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 @register("op13_bounded_space_packing")
 def op13_bounded_space_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ACTION. Ids of word_bpe_49k.json and an end id, packed into windows of 4096 by bounded-space best fit."""
