@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadcast.llm import bpe, chat, coder, embeddings, iblt, mixing, neardup, packing, quality, runs, substring, warc
+from loadcast.llm import bpe, chat, coder, embeddings, iblt, mixing, neardup, negatives, packing, quality, runs, substring, warc
 from loadcast.llm.scratch import folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -300,6 +300,30 @@ def op11_descending_lcp_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+_OP12_ORACLE = """
+WITH usable AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda e: CAST(floor(256 * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+scored AS (SELECT a.vec_id AS anchor, a.label AS own, b.vec_id AS other, b.label, CAST(list_sum(list_transform(range(1, len(a.x) + 1), lambda i: a.x[i] * b.x[i])) AS BIGINT) AS score
+  FROM usable a JOIN usable b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)),
+positives AS (SELECT anchor, other AS positive, score FROM scored WHERE label = own
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) <= 5)
+SELECT p.anchor AS anchor_id, p.positive AS positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, n.other AS negative_id,
+  p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor = p.anchor AND n.label <> n.own AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+WINDOW w AS (PARTITION BY p.anchor, p.positive ORDER BY n.score DESC, n.other)
+QUALIFY row_number() OVER w <= 3"""
+
+
+@register("op12_inverted_multi_index", _OP12_ORACLE)
+def op12_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ACTION. Hard negatives of every 50th vector, certified over the cells of an inverted multi-index."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.when(
+        F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"))
+    return negatives.hard_negatives(vectors)
+
+
 @register("op13_bounded_space_packing")
 def op13_bounded_space_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ACTION. Ids of word_bpe_49k.json and an end id, packed into windows of 4096 by bounded-space best fit."""
