@@ -21,6 +21,7 @@ ids; unknown symbols (none in a byte-level vocabulary) are left out; extra colum
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import unicodedata
@@ -151,9 +152,10 @@ class _Words(dict):
     """Word -> little-endian ids, filled on demand by ``encode_symbols``. Two generations of bounded bytes: a full
     one becomes the old one, and words met again move to the new one."""
 
-    def __init__(self, encode_symbols: Callable[[str], Sequence[int]]):
+    def __init__(self, encode_symbols: Callable[[str], Sequence[int]], cache_bytes: int):
         super().__init__()
-        self.encode_symbols, self.symbols, self.old, self.room = encode_symbols, byte_symbols(), {}, CACHE_BYTES
+        self.encode_symbols, self.symbols, self.old = encode_symbols, byte_symbols(), {}
+        self.room = self.bytes = cache_bytes
 
     def __missing__(self, word: str) -> bytes:
         out = self.old.pop(word, None)
@@ -162,7 +164,7 @@ class _Words(dict):
             out = np.array(self.encode_symbols("".join([symbols[b] for b in word.encode()])), dtype="<u4").tobytes()
         self.room -= 200 + 4 * len(word) + len(out)  # about what Python keeps for them
         if self.room < 0:
-            self.old, self.room = dict(self), CACHE_BYTES
+            self.old, self.room = dict(self), self.bytes
             self.clear()
         self[word] = out
         return out
@@ -185,7 +187,7 @@ class WordTokenizer:
     """Normalise, cut out special strings, split, and encode word by word: by the automaton, or by
     ``encode_symbols`` (byte symbols of a word to its ids)."""
 
-    def __init__(self, definition: str, encode_symbols: Callable[[str], Sequence[int]] | None = None):
+    def __init__(self, definition: str, encode_symbols: Callable[[str], Sequence[int]] | None = None, cache_bytes: int = CACHE_BYTES):
         from tokenizers import Tokenizer
 
         spec = json.loads(definition)
@@ -193,7 +195,7 @@ class WordTokenizer:
             model = spec["model"]
             merges = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in model["merges"]]
             encode_symbols = MergeAutomaton(model["vocab"], merges, model["end_of_word_suffix"] or "").encode
-        self.words = _Words(encode_symbols)
+        self.words = _Words(encode_symbols, cache_bytes)
         bare = spec | {"model": {"type": "BPE", "vocab": {}, "merges": []}, "added_tokens": [], "post_processor": None}
         self.normalise = Tokenizer.from_str(json.dumps(bare)).normalizer.normalize_str
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
@@ -232,6 +234,7 @@ def _once(key: int, make):
     """One built object per task process and definition."""
     if key not in _built:
         _built.clear()
+        gc.collect()
         _built[key] = make()
     return _built[key]
 
@@ -241,21 +244,40 @@ def _definition(path: str) -> str:
         return f.read()
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """``docs`` with ``out``: ids of ``text`` as little-endian unsigned 32-bit integers. ``path``: tokenizer file."""
+def _labels(definition: str) -> np.ndarray:
+    """The label of every id."""
+    spec = json.loads(definition)
+    if spec["decoder"] is not None:
+        raise ValueError("only tokenizer files without a decoder step are supported")
+    found = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
+    table = np.full(max(found.values()) + 1, "", dtype=object)
+    for t, i in found.items():
+        table[i] = t
+    return table
+
+
+def _decoded(table: np.ndarray, raw: bytes | None) -> str:
+    return " ".join(table[np.frombuffer(raw or b"", dtype="<u4")].tolist())
+
+
+def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", decoded: str | None = None) -> DataFrame:
+    """``docs`` with ``out``: ids of ``text`` as little-endian unsigned 32-bit integers. ``path``: tokenizer file. With ``decoded``,
+    that column holds the ids' labels again, from the same pass (one Python worker per task in place of two)."""
     definition = _definition(path)
-    names = [c for c in docs.columns if c != out]
-    schema = T.StructType([*(docs.schema[c] for c in names), T.StructField(out, T.BinaryType())])
+    names = [c for c in docs.columns if c not in (out, decoded)]
+    more = [T.StructField(out, T.BinaryType())] + ([T.StructField(decoded, T.StringType())] if decoded else [])
+    schema = T.StructType([*(docs.schema[c] for c in names), *more])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _once(hash((definition, "encode")), lambda: WordTokenizer(definition))
+        tokenizer, table = _once(hash((definition, "encode", bool(decoded))), lambda: (
+            WordTokenizer(definition), _labels(definition) if decoded else None))
         for batch in batches:
             for a, b, _, _ in slices(batch, text):
                 part = batch.slice(a, b - a)
-                texts = part.column(part.schema.get_field_index(text)).to_pylist()
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(part.schema.get_field_index(c)) for c in names),
-                     pa.array([tokenizer.encode(t) for t in texts], pa.binary())], names=[*names, out])
+                ids = [tokenizer.encode(t) for t in part.column(part.schema.get_field_index(text)).to_pylist()]
+                made = [pa.array(ids, pa.binary())] + ([pa.array([_decoded(table, r) for r in ids], pa.string())] if decoded else [])
+                yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in names), *made],
+                                                 names=schema.fieldNames())
 
     return docs.select(*names).mapInArrow(run, schema)
 
@@ -264,26 +286,15 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded"
     """``encoded`` with ``out``: the labels of the ids in order, special ones too, joined by a space
     (the tokenizer file has no decoder of its own)."""
     definition = _definition(path)
-    if json.loads(definition)["decoder"] is not None:
-        raise ValueError("only tokenizer files without a decoder step are supported")
     names = [c for c in encoded.columns if c != out]
     schema = T.StructType([*(encoded.schema[c] for c in names), T.StructField(out, T.StringType())])
 
-    def labels() -> np.ndarray:
-        spec = json.loads(definition)
-        found = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
-        table = np.full(max(found.values()) + 1, "", dtype=object)
-        for t, i in found.items():
-            table[i] = t
-        return table
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = labels()
+        table = _once(hash((definition, "decode")), lambda: _labels(definition))
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
-                raw = part.column(part.schema.get_field_index(ids)).to_pylist()
-                texts = [" ".join(table[np.frombuffer(r or b"", dtype="<u4")].tolist()) for r in raw]
+                texts = [_decoded(table, r) for r in part.column(part.schema.get_field_index(ids)).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(part.schema.get_field_index(c)) for c in names), pa.array(texts, pa.string())],
                     names=[*names, out])

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadcast.llm.bpe import WordTokenizer
+from loadcast.llm.bpe import WordTokenizer, _once
 from loadcast.llm.scratch import materialize
 from loadcast.llm.textbytes import slices
 
@@ -37,6 +37,7 @@ SPACES = 32   # open windows per packer
 SLACK = 8     # places of a window that may be padded when it is emitted
 FAN = 32      # tasks or groups whose leftovers meet in one packer of the next level
 BATCH = 2048  # pieces per Arrow batch written
+CACHE_BYTES = 96 << 20  # of words and their ids, in each of two generations of a task process
 
 Piece = tuple[int | None, int, int, bytes]  # document, ids of it before, all its ids, ids of the piece
 
@@ -141,7 +142,7 @@ def library_words(definition: str) -> WordTokenizer:
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_str(definition).model
-    return WordTokenizer(definition, lambda symbols: [t.id for t in model.tokenize(symbols)])
+    return WordTokenizer(definition, lambda symbols: [t.id for t in model.tokenize(symbols)], CACHE_BYTES)
 
 
 def _merged(left: DataFrame, last: bool, window: int, spaces: int, slack: int) -> DataFrame:
@@ -174,7 +175,8 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = WINDOW
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, packer, out = library_words(definition), Packer(window, spaces, slack), _Rows(TaskContext.get().partitionId())
+        tokenizer = _once(hash((definition, "library")), lambda: library_words(definition))
+        packer, out = Packer(window, spaces, slack), _Rows(TaskContext.get().partitionId())
         for batch in batches:
             ids = batch.column(0).cast(pa.int64()).to_pylist()
             for a, b, _, _ in slices(batch, "text"):

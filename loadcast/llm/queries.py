@@ -116,8 +116,7 @@ def op9_fixed_block_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFra
 def op6_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merge automaton of word_bpe_49k.json over whole documents, and back."""
     path = tokenizer_file("word_bpe_49k.json")
-    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
-    out = bpe.decode(encoded, path)
+    out = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, decoded="decoded")
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
                       F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
