@@ -40,8 +40,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document (little-endian unsigned 32-bit integers) and a digest of their decoding."""
     path = tokenizer_file("word_bpe_49k.json")
-    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path).drop("text")
-    out = bpe.decode(encoded, path)
+    out = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, decoded="decoded")
     return out.select("doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), "ids",
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
