@@ -2,16 +2,18 @@
 
 A text is the set of its piece digests. Every line is cut after sentence ends, and a sentence longer than
 ``LONG`` characters after the words where a hash of the word and the one before fits (about every ``EVERY``-th);
-a run of more than ``LONG_WORD`` characters without a space counts by its characters, so that texts in scripts
-without spaces are cut, too. Cuts depend on nearby content only. Each digest is added to three cells of a small table; a cell holds a count, the XOR of its
-digests and the XOR of their check hashes. The fingerprint is that table, in hexadecimal.
+a sentence with a run of more than ``LONG_WORD`` characters without a space is cut by its characters, so that texts in scripts
+without spaces are cut, too; a piece without such a place is cut every ``MOST`` characters. Cuts depend on nearby content only.
 
-Two fingerprints are subtracted cell by cell: common digests cancel. Peeling then recovers the
-differing digests: a cell with count +-1 whose check fits names one, which is taken out of its other cells,
-and so on. If cells stay, the comparison is retried larger: the digests are dealt by value to groups of
-about ``PER_GROUP``, each with a table of its own, and a group that fails again gets wider tables (other
-hash seeds). What even the widest table leaves is counted by plain set difference. The likeness is the
-Jaccard index that follows from the recovered number: (a + b - d) / (a + b + d).
+A sketch has blocks of three parts of cells; a digest's bits name its block and one cell in each part. A cell holds a count, the XOR
+of its digests and the XOR of their check hashes. The fingerprint is the sketch of ``BLOCKS`` blocks, in hexadecimal.
+
+Two sketches are subtracted cell by cell: common digests cancel. Peeling then recovers the differing digests: a cell with
+count +-1 whose check fits names one, which is taken out of its other cells, and so on. The number of differing digests is
+estimated from those of one stratum (a sixteenth of the hash space) and the two sizes. Where the fingerprints can hold that many,
+they are subtracted; else, or if cells stay, a sketch of as many blocks as fit the estimate is taken, and a block that does not peel is
+retried with twice the cells and other hash seeds, until it does. The likeness is the Jaccard index that follows
+from the recovered number: (a + b - d) / (a + b + d). Each text is cut once; a row's neighbour brings its digests along.
 
 The neighbour in id order is found without a global sort: rows are dealt to ranges of (id, text digest) whose
 bounds come from a bounded sample of the keys, about ``SPAN`` rows each, however dense the ids are. The next row
@@ -27,57 +29,67 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CELLS = 24          # cells of the fingerprint's table: three parts of eight
+PART = 8            # cells of a block's part, at first
+BLOCKS = 1          # blocks of the fingerprint
+PER_BLOCK = 8       # differing digests aimed at per block
+STRATA = 16         # strata of the hash space, one of which is compared for the estimate
+TRIES = 40          # sizes of a block: doubled up to parts of 1024 cells, then other seeds
+ROUNDS = 6          # peeling rounds per table (a deeper one is retried larger)
 LONG = 80           # characters from which a sentence is cut further
 LONG_WORD = 32      # characters from which a word is cut between its characters
 EVERY = 16          # words (or characters) between two such cuts, on average
-MOST = 64           # words (or characters) without a cut, at most
-PER_GROUP = 6       # digests of both sides per group in the retry
-WIDER = (18, 48, 144)  # cells of a group's table, try by try
-ROUNDS = 12         # peeling rounds per table
+MOST = 512          # characters without a cut, at most
 SPAN = 64           # rows per range, as long as that makes no more than RANGES
 RANGES = 4096       # ranges of ids, at most
 SAMPLE = 1 << 16    # keys the bounds are taken from, about
 
+_CUT = "\ufdd0"     # marks a cut inside a sentence (a noncharacter; in a text it counts as a cut)
+
 
 def _cut(piece: Column) -> Column:
-    """A piece cut at content-defined places."""
-    units = F.flatten(F.transform(F.split(piece, "(?<= )(?=[^ ])"), lambda w: F.when(
-        F.char_length(w) > LONG_WORD, F.filter(F.split(w, ""), lambda c: c != "")).otherwise(F.array(w))))
+    """A piece cut at content-defined places: marked after the units whose hash fits, joined and split again."""
 
-    def pieces(us: Column) -> Column:
-        ends = F.filter(F.sequence(F.lit(1), F.size(us)), lambda i: (i == F.size(us)) | (
-            F.pmod(F.xxhash64(F.get(us, i - 2), F.get(us, i - 1)), F.lit(EVERY)) == 0))
-        return F.transform(F.array(ends), lambda es: F.flatten(F.transform(es, lambda e, k: F.transform(
-            F.sequence(F.coalesce(F.get(es, k - 1), F.lit(0)) + 1, e, F.lit(MOST)),
-            lambda f: F.array_join(F.slice(us, f, F.least(F.lit(MOST), e - f + 1)), "")))))[0]
+    def marked(units: Column, between: str) -> Column:
+        return F.transform(F.array(units), lambda us: F.array_join(F.transform(us, lambda u, i: F.when(
+            F.xxhash64(F.get(us, i - 1), u).bitwiseAND(F.lit(EVERY - 1)) == 0, F.concat(u, F.lit(_CUT))).otherwise(u)), between))[0]
 
-    return F.transform(F.array(units), pieces)[0]  # arrays of one: their lambda evaluates the inner part once
+    by_words, by_characters = marked(F.split(piece, " "), " "), marked(F.split(piece, ""), "")
+    return F.split(F.when(piece.rlike(f"[^ ]{{{LONG_WORD + 1}}}"), by_characters).otherwise(by_words), _CUT)
 
 
 def digests(text: Column) -> Column:
     """Distinct piece digests of a text."""
-    lines = F.split(F.coalesce(text, F.lit("")), "\n")
-    sentences = F.flatten(F.transform(lines, lambda x: F.split(x, r"(?<=[.!?]) +|(?<=[。！？])")))
+    ended = F.coalesce(text, F.lit(""))
+    for end in (". ", "! ", "? ", "。", "！", "？"):
+        ended = F.replace(ended, F.lit(end), F.lit(end.rstrip() + "\n"))
+    sentences = F.split(ended, "\n")
     cut = F.flatten(F.transform(sentences, lambda p: F.when(F.char_length(p) > LONG, _cut(p)).otherwise(F.array(p))))
-    return F.array_distinct(F.transform(F.filter(cut, lambda p: p != ""), lambda p: F.xxhash64(p)))
+    short = F.flatten(F.transform(cut, lambda p: F.when(F.char_length(p) > MOST, F.regexp_extract_all(
+        p, F.lit(f"(?s)(.{{1,{MOST}}})"), 1)).otherwise(F.array(p))))
+    return F.array_distinct(F.transform(F.filter(short, lambda p: p != ""), lambda p: F.xxhash64(p)))
+
+
+# Pieces of SQL: lambda variables stand for rows' arrays (an array of one is a let), so every part is evaluated once per row.
+
+def _let(name: str, value: str, body: str) -> str:
+    return f"transform(array({value}), {name} -> {body})[0]"
 
 
-# Pieces of SQL: lambda variables stand for rows' arrays, so every part is evaluated once per row.
+def _entry(digest: str, part: str, seed: str, sign: str) -> str:
+    """A digest with its check hash and its cell in each part, all from one hash."""
+    places = ", ".join(f"'p{j}', cast(shiftright(z, {10 * j}) & ({part} - 1) as int)" for j in range(3))
+    return _let("z", f"xxhash64({digest}, {seed})", f"named_struct('s', {sign}, 'd', {digest}, 'c', shiftrightunsigned(z, 32), {places})")
 
-def _entry(digest: str, cells: int, seed: int, sign: str = "1") -> str:
-    """A digest with its check hash and its three cells."""
-    part = cells // 3
-    places = ", ".join(f"'p{j}', {j * part} + pmod(xxhash64({digest}, {seed + j}), {part})" for j in range(3))
-    return f"named_struct('s', {sign}, 'd', {digest}, 'c', xxhash64({digest}, 'check') & 4294967295, {places})"
 
+def _filled(entries: str, part: str) -> str:
+    """The cells of entries, part by part."""
+    parts = [f"transform(sequence(0, {part} - 1), i -> aggregate(filter(es, e -> e.p{j} = i), "
+             f"named_struct('n', 0, 'k', 0L, 'h', 0L), (a, e) -> named_struct('n', a.n + e.s, 'k', a.k ^ e.d, 'h', a.h ^ e.c)))" for j in range(3)]
+    return _let("es", entries, f"concat({', '.join(parts)})")
 
-def _table(digest_array: str, cells: int, seed: int) -> str:
-    """The cells of a digest array, part by part (a digest has one cell in each part)."""
-    part = cells // 3
-    parts = [f"transform(sequence({j * part}, {j * part + part - 1}), i -> aggregate(es, named_struct('n', 0, 'k', 0L, 'h', 0L), "
-             f"(a, e) -> if(e.p{j} = i, named_struct('n', a.n + e.s, 'k', a.k ^ e.d, 'h', a.h ^ e.c), a)))" for j in range(3)]
-    return (f"transform(array(transform({digest_array}, d -> {_entry('d', cells, seed)})), es -> concat({', '.join(parts)}))[0]")
+
+def _block(digest: str, blocks: str) -> str:
+    return f"pmod(shiftright({digest}, 32), {blocks})"
 
 
 def _difference(left: str, right: str) -> str:
@@ -85,57 +97,78 @@ def _difference(left: str, right: str) -> str:
     return f"zip_with({left}, {right}, (x, y) -> named_struct('n', x.n - y.n, 'k', x.k ^ y.k, 'h', x.h ^ y.h))"
 
 
-def _peeled(cells_expr: str, cells: int, seed: int) -> str:
-    """Number of digests recovered from a difference, NULL when cells are left over."""
-    part = cells // 3
-    pure = (f"array_distinct(transform(filter(st.cells, c -> abs(c.n) = 1 and c.h = xxhash64(c.k, 'check') & 4294967295), "
-            f"c -> {_entry('c.k', cells, seed, 'c.n')}))")
-    taken = (f"transform(st.cells, (c, i) -> aggregate(ps, c, (a, p) -> "
-             f"if(if(i < {part}, p.p0, if(i < {2 * part}, p.p1, p.p2)) = i, "
-             f"named_struct('n', a.n - p.s, 'k', a.k ^ p.d, 'h', a.h ^ p.c), a)))")
-    step = (f"transform(array({pure}), ps -> if(size(ps) = 0, st, named_struct('cells', {taken}, "
-            f"'found', st.found + size(ps))))[0]")
-    run = f"aggregate(sequence(1, {ROUNDS}), named_struct('cells', {cells_expr}, 'found', 0), (st, r) -> {step})"
-    return f"transform(array({run}), z -> if(forall(z.cells, c -> c.n = 0 and c.k = 0 and c.h = 0), z.found, null))[0]"
-
-
-def _retried(left: str, right: str) -> str:
-    """Differing digests by groups: tables of growing width, then plain set difference.
-
-    Groups are dealt in two steps (about the square root of their number each), so a text of p
-    paragraphs costs p * sqrt(p) tests, not p * p."""
-    tries = []
-    for t, cells in enumerate(WIDER):
-        seed = 101 * (t + 2)
-        tries.append(_peeled(_difference(_table("x.a", cells, seed), _table("x.b", cells, seed)), cells, seed))
-    exact = "size(array_except(x.a, x.b)) + size(array_except(x.b, x.a))"
-    side = f"cast(ceil(sqrt(greatest(1, (size({left}) + size({right})) / {PER_GROUP}))) as int)"
-    fine = (f"aggregate(transform(sequence(0, n - 1), i2 -> transform(array(named_struct("
-            f"'a', filter(w.a, d -> pmod(shiftright(d, 24), n) = i2), 'b', filter(w.b, d -> pmod(shiftright(d, 24), n) = i2))), "
-            f"x -> coalesce({', '.join(tries)}, {exact}))[0]), 0, (acc, v) -> acc + v)")
-    coarse = (f"aggregate(transform(sequence(0, n - 1), i1 -> transform(array(named_struct("
-              f"'a', filter({left}, d -> pmod(d, n) = i1), 'b', filter({right}, d -> pmod(d, n) = i1))), w -> {fine})[0]), "
-              f"0, (acc, v) -> acc + v)")
-    return f"transform(array({side}), n -> {coarse})[0]"
-
-
-def sketch(digest_array: str, cells: int = CELLS) -> Column:
-    """The fingerprint's table of a digest column."""
-    return F.expr(_table(digest_array, cells, 11))
+def _peeled(cells: str, part: str, seed: str) -> str:
+    """Digests recovered from the cells of one block's difference, NULL when cells are left over."""
+    one = [f"transform(array_distinct(transform(filter(pure, c -> c.n = {n}), c -> c.k)), k -> {_entry('k', part, seed, n)})" for n in ("1", "-1")]
+    pure = _let("pure", f"filter(st.cells, c -> abs(c.n) = 1 and shiftrightunsigned(xxhash64(c.k, {seed}), 32) = c.h)", f"concat({', '.join(one)})")
+    parts = [f"transform(slice(st.cells, {j} * {part} + 1, {part}), (c, i) -> aggregate(filter(ps, p -> p.p{j} = i), c, (a, p) -> "
+             f"named_struct('n', a.n - p.s, 'k', a.k ^ p.d, 'h', a.h ^ p.c)))" for j in range(3)]
+    taken = f"concat({', '.join(parts)})"
+    step = _let("ps", pure, f"if(size(ps) = 0, named_struct('go', false, 'cells', st.cells, 'found', st.found), named_struct('go', true, "
+                            f"'cells', {taken}, 'found', concat(st.found, transform(ps, p -> p.d))))")
+    run = (f"aggregate(sequence(1, {ROUNDS}), named_struct('go', true, 'cells', {cells}, 'found', cast(array() as array<bigint>)), "
+           f"(st, r) -> if(st.go, {step}, st))")
+    return _let("w", run, "if(forall(w.cells, c -> c.n = 0 and c.k = 0 and c.h = 0), w.found, null)")
+
+
+def _signed(part: str, seed: str) -> str:
+    """Entries of a block's two digest lists: the right one is subtracted."""
+    return f"concat(transform(x.a, d -> {_entry('d', part, seed, '1')}), transform(x.b, d -> {_entry('d', part, seed, '-1')}))"
+
+
+def _larger(left: str, right: str, estimate: str) -> str:
+    """Differing digests by a sketch of as many blocks as the estimate asks for, each retried larger until it peels.
+
+    Digests are dealt to blocks in two steps (about the square root of their number each), so p digests cost
+    p * sqrt(p) tests, not p * p."""
+    def tried(part: str, seed: str) -> str:
+        return _peeled(_filled(_signed(part, seed), part), part, seed)
+
+    again = (f"aggregate(sequence(1, {TRIES}), cast(null as array<bigint>), (f, t) -> coalesce(f, "
+             + _let("q", f"cast(shiftleft({PART}, least(t, 8)) as int)", tried("q", "t")) + "))")
+    fine = (f"flatten(transform(sequence(0, m - 1), i2 -> " + _let("x", f"named_struct("
+            f"'a', filter(v.a, d -> pmod(shiftright(d, 24), m) = i2), 'b', filter(v.b, d -> pmod(shiftright(d, 24), m) = i2))",
+            f"coalesce({tried(str(PART), '0')}, {again})") + "))")
+    coarse = (f"flatten(transform(sequence(0, m - 1), i1 -> " + _let("v", f"named_struct("
+              f"'a', filter({left}, d -> {_block('d', 'm')} = i1), 'b', filter({right}, d -> {_block('d', 'm')} = i1))", fine) + "))")
+    return _let("m", f"cast(ceil(sqrt(greatest(1, {estimate}) / {PER_BLOCK}D)) as int)", coarse)
+
+
+def _estimate(left: str, right: str) -> str:
+    """About the number of differing digests."""
+    stratum = [f"filter({x}, d -> d & {STRATA - 1} = 0)" for x in (left, right)]
+    sampled = _let("u", f"named_struct('a', {stratum[0]}, 'b', {stratum[1]})",
+                   "size(array_except(u.a, u.b)) + size(array_except(u.b, u.a))")
+    return (f"least(size({left}) + size({right}), greatest(abs(size({left}) - size({right})), {STRATA} * {sampled}, "
+            f"cast(sqrt(size({left}) + size({right})) as int)))")
+
+
+def sketch(digest_array: str) -> Column:
+    """The fingerprint's table of a digest column: its blocks' cells."""
+    entries = f"transform(filter({digest_array}, d -> {_block('d', str(BLOCKS))} = number), d -> {_entry('d', str(PART), '0', '1')})"
+    return F.expr(f"transform(sequence(0, {BLOCKS - 1}), number -> {_filled(entries, str(PART))})")
 
 
 def fingerprint(cells: str, digest_array: str) -> Column:
-    """The table as text: number of digests, then count, digest XOR and check XOR of each cell."""
-    body = (f"array_join(transform({cells}, c -> concat(lpad(hex(c.n), 4, '0'), lpad(hex(c.k), 16, '0'), lpad(hex(c.h), 8, '0'))), '')")
-    return F.expr(f"concat(lpad(hex(size({digest_array})), 6, '0'), {body})")
+    """The table as text: number of digests, then count, digest XOR and check XOR of each cell, at fixed width."""
+    body = (f"array_join(transform(flatten({cells}), c -> concat(lpad(hex(c.n), 8, '0'), lpad(hex(c.k), 16, '0'), "
+            f"lpad(hex(c.h), 8, '0'))), '')")
+    return F.expr(f"concat(lpad(hex(size({digest_array})), 16, '0'), {body})")
+
+
+def recovered(left: str, right: str, left_cells: str, right_cells: str) -> Column:
+    """The differing digests of two digest columns, by subtracting and peeling their sketches."""
+    direct = f"zip_with({left_cells}, {right_cells}, (lc, rc) -> {_peeled(_difference('lc', 'rc'), str(PART), '0')})"
+    both = _let("f", direct, "if(exists(f, x -> x is null), null, flatten(f))")
+    fits = f"est <= {BLOCKS * PER_BLOCK * 3 // 2}"
+    return F.expr(_let("est", _estimate(left, right), f"coalesce(if({fits}, {both}, null), {_larger(left, right, 'est')})"))
 
 
 def likeness(left: str, right: str, left_cells: str, right_cells: str) -> Column:
-    """Jaccard index of two digest columns by subtracting and peeling their tables."""
-    direct = _peeled(_difference(left_cells, right_cells), CELLS, 11)
-    differing = f"coalesce({direct}, {_retried(left, right)})"
-    return F.expr(f"transform(array(named_struct('d', {differing}, 'n', size({left}) + size({right}))), "
-                  f"v -> if(v.n = 0, 1.0D, cast(v.n - v.d as double) / (v.n + v.d)))[0]")
+    """Jaccard index of two digest columns from the number of digests recovered."""
+    total = F.expr(f"size({left}) + size({right})")
+    return F.transform(F.array(F.size(recovered(left, right, left_cells, right_cells))), lambda d: F.when(
+        total == 0, 1.0).otherwise((total - d).cast("double") / (total + d)))[0]
 
 
 def _range_of(key: Column, bounds: list[tuple[bool, int, int]]) -> Column:
@@ -161,17 +194,24 @@ def ranged(docs: DataFrame) -> DataFrame:
     return rows.withColumn("b", _range_of(F.col("k"), bounds))
 
 
-def with_next_text(docs: DataFrame) -> DataFrame:
-    """ACTION: ``doc_id, text, next_text`` (NULL texts as empty), neighbours in ascending doc_id."""
+def with_next(docs: DataFrame) -> DataFrame:
+    """ACTION: ``doc_id, text, a, ta, next`` (NULL texts as empty; ``a``, ``ta``: digests and sketch of the text; ``next``: these
+    three of the neighbour in ascending doc_id)."""
     rows = ranged(docs)
-    # first text of each range, and the range it follows (one row per range)
-    firsts = rows.groupBy("b").agg(F.min(F.struct("k", "text")).alias("f")).select("b", F.col("f.text").alias("first_text"))
+
+    def described(texts: DataFrame, name: str) -> DataFrame:
+        return texts.withColumn("a", digests(F.col("text"))).withColumn("ta", sketch("a")).withColumn(name, F.struct("text", "a", "ta"))
+
+    whole = described(rows, "own")
+    # first row of each range, and the range it follows (one row per range)
+    firsts = rows.groupBy("b").agg(F.min(F.struct("k", "text")).alias("f")).select("b", F.col("f.text").alias("text"))
+    firsts = described(firsts, "first").select("b", "first")
     heads = rows.select("b").distinct()
     everything = Window.orderBy("b")
     chain = heads.select(F.col("b").alias("of"), F.coalesce(F.lead("b").over(everything), F.first("b").over(everything)).alias("b"))
-    after = chain.join(firsts, "b").select(F.col("of").alias("b"), "first_text")
-    inside = rows.withColumn("next_text", F.lead("text").over(Window.partitionBy("b").orderBy("k", "text")))
-    return inside.join(after, "b").select("doc_id", "text", F.coalesce("next_text", "first_text").alias("next_text"))
+    after = chain.join(firsts, "b").select(F.col("of").alias("b"), "first")
+    inside = whole.withColumn("next", F.lead("own").over(Window.partitionBy("b").orderBy("k", "own.text")))
+    return inside.join(after, "b").select("doc_id", "own.text", "own.a", "own.ta", F.coalesce("next", "first").alias("next"))
 
 
 def edited(text: Column, following: Column) -> Column:
@@ -183,10 +223,10 @@ def edited(text: Column, following: Column) -> Column:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """ACTION. ``docs(doc_id, text)`` to ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next``: likeness of each text to its edited version and to the next document."""
-    staged = with_next_text(docs).withColumn("edited", edited(F.col("text"), F.col("next_text")))
+    staged = with_next(docs).withColumn("edited", edited(F.col("text"), F.col("next.text")))
     parts = staged.select("doc_id", F.char_length("text").cast("bigint").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-                          digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("e"), digests(F.col("next_text")).alias("x"))
-    tables = parts.select("*", sketch("a").alias("ta"), sketch("e").alias("te"), sketch("x").alias("tx"))
+                          "a", "ta", digests(F.col("edited")).alias("e"), F.col("next.a").alias("x"), F.col("next.ta").alias("tx"))
+    tables = parts.withColumn("te", sketch("e"))
     return tables.select("doc_id", "n_chars", "edited_sha256", fingerprint("ta", "a").alias("fingerprint"),
                          fingerprint("te", "e").alias("edited_fingerprint"), likeness("a", "e", "ta", "te").alias("near_edited"),
                          likeness("a", "x", "ta", "tx").alias("near_next"))

@@ -63,6 +63,10 @@ def shingle_set(text, k):
     return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
 
 
+def next_texts(df):
+    return iblt.with_next(df).select("doc_id", "text", F.col("next.text").alias("next_text"))
+
+
 def brute_components(items, linked):
     root = {i: i for i in items}
 
@@ -89,7 +93,7 @@ def test_components_path_star_and_null_ends(spark):
 # ------------------------------------------------------------------ 1 fingerprints
 
 def test_fingerprints_against_sets(docs, empty):
-    rows = iblt.with_next_text(docs).withColumn("ed", iblt.edited(F.col("text"), F.col("next_text")))
+    rows = next_texts(docs).withColumn("ed", iblt.edited(F.col("text"), F.col("next_text")))
     exact = rows.select(iblt.digests(F.col("text")).alias("a"), iblt.digests(F.col("ed")).alias("e"), iblt.digests(F.col("next_text")).alias("x"))
     exact = exact.select("*", iblt.sketch("a").alias("ta"), iblt.sketch("e").alias("te"), iblt.sketch("x").alias("tx"))
     for r in exact.select("a", "e", "x", iblt.likeness("a", "e", "ta", "te").alias("ne"), iblt.likeness("a", "x", "ta", "tx").alias("nx")).collect():
@@ -137,7 +141,7 @@ def test_sketch_retries_larger_when_tables_overflow(spark):
 def test_next_row_crosses_buckets_and_wraps(spark):
     ids = [-300, -1, 0, 63, 64, 5000, 5001, 10**9, 10**14]
     df = spark.createDataFrame([(i, f"t{i}") for i in ids], "doc_id bigint, text string")
-    got = {r.doc_id: r.next_text for r in iblt.with_next_text(df).collect()}
+    got = {r.doc_id: r.next_text for r in next_texts(df).collect()}
     assert got == {a: f"t{b}" for a, b in zip(ids, ids[1:] + ids[:1])}
 
 
@@ -146,7 +150,7 @@ def test_next_row_ranges_do_not_depend_on_ids(spark, kind):
     r = random.Random(3)
     ids = {"sparse": [r.randrange(-2**63, 2**63) for _ in range(2000)], "null": [None] * 2000, "repeated": [7] * 1990 + list(range(10))}[kind]
     df = spark.createDataFrame([(i, f"t{k}") for k, i in enumerate(ids)], "doc_id bigint, text string")
-    got = {x.text: x.next_text for x in iblt.with_next_text(df).collect()}
+    got = {x.text: x.next_text for x in next_texts(df).collect()}
     digest = {x.text: x.d for x in df.select("text", F.xxhash64("text").alias("d")).collect()}
     order = [t for _, _, t in sorted((-(2**64) if i is None else i, digest[f"t{k}"], f"t{k}") for k, i in enumerate(ids))]
     assert got == dict(zip(order, order[1:] + order[:1]))
