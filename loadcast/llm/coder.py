@@ -13,6 +13,10 @@ A block is cut into lanes that advance in lockstep as NumPy vectors, each with i
 state; all lanes learn one shared model step by step, so the work per id is a few vector
 operations and the decoder repeats it exactly.
 
+Defined cases: NULL and empty texts have the end id alone; NULL ids come first; rows that repeat an id stay, ordered by a hash of
+their text, then the text; a document longer than a block fills blocks of its own; extra columns are ignored; an empty table gives an empty
+result. Ids are below 2**18 (others raise).
+
 ``write`` deals documents by ranges of doc_id and writes blocks in ascending order as rows
 ``(part, block, n_docs, n_ids, split, payload)`` of a Parquet folder; ``read`` gives back one row per document."""
 
@@ -29,12 +33,12 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loadcast.llm.bpe import _is_latin, _latin, byte_symbols
+from loadcast.llm.bpe import _is_latin, _latin, _once, byte_symbols
 from loadcast.llm.textbytes import slices
 
 BLOCK_IDS = 1 << 20
 LANES = 8192
-CACHED_PIECES = 600_000
+CACHED_PIECES = 600_000  # pieces remembered per task process
 
 _MAGIC = b"CMR1"
 _HEAD = struct.Struct("<4sIIIIII")  # magic, ids, documents, lanes, largest id + 1, crc of ids, crc of what follows
@@ -45,6 +49,7 @@ _SLOTS_BITS = 18
 _FINE = 20  # order-0 counts never add up to more than 2**20, and smallest order-0 shares are 2**20 wide
 _ROOM = np.uint64(1 << 48)
 _U = np.uint64
+_U32 = np.uint32
 _BLOCKS = "part bigint, block bigint, n_docs bigint, n_ids bigint, split boolean, payload binary"
 
 
@@ -69,7 +74,8 @@ class _Model:
 
     def predict(self, one: np.ndarray, two: np.ndarray):
         """Guesses and interval sizes: order 2, order 1, and what is left for order 0."""
-        slot = ((two * 0x9E3779B1 + one * 0x85EBCA6B) & 0xFFFFFFFF) >> (32 - _SLOTS_BITS)
+        slot = (two.astype(np.uint32) * _U32(0x9E3779B1) + one.astype(np.uint32) * _U32(0x85EBCA6B)) >> _U32(32 - _SLOTS_BITS)
+        slot = slot.astype(np.int64)
         self.at = (one, slot)
         self.e1, self.e2 = self.entries[0].take(one), self.entries[1].take(slot)
         self.g1, self.g2, self.c1, self.c2 = self.e1 >> 3, self.e2 >> 3, self.e1 & 7, self.e2 & 7
@@ -163,7 +169,7 @@ def encode_block(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray,
     steps, lanes = _shape(n, min(max_lanes, max(1, n // 128)))
     symbols = int(ids.max()) + 1 if n else 0
     if symbols > 1 << 18:
-        raise ValueError("ids above 2**18 are not supported")
+        raise ValueError("ids from 2**18 on are not supported")
     words, owners = [], []
     if n:
         model = _Model(symbols)
@@ -310,7 +316,7 @@ def _latin_pattern(pattern: str, white: str) -> str:
 
 def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, block_ids: int = BLOCK_IDS) -> None:
     """ACTION: encode ``docs(doc_id, text)``, append ``end_id`` to each document, and write the blocks in
-    ascending doc_id order (NULL ids first; rows that repeat an id in order of their text)."""
+    ascending doc_id order (NULL ids first; rows that repeat an id in order of a hash of their text, then the text)."""
     from pyspark import TaskContext
 
     with open(tokenizer_path, encoding="utf-8") as f:
@@ -318,7 +324,7 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, block_
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = PieceTokenizer(definition)
+        tokenizer = _once(hash((definition, "pieces")), lambda: PieceTokenizer(definition))
         part, block = TaskContext.get().partitionId(), 0
         names: list = []
         lengths: list[int] = []
@@ -356,7 +362,7 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, block_
             yield flush()
 
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id", F.xxhash64("text")) \
-        .sortWithinPartitions("doc_id", "text")
+        .sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     blocks = ordered.mapInArrow(run, _BLOCKS)
     blocks.write.option("compression", "none").parquet(folder)
 
