@@ -21,6 +21,7 @@ from pyspark.sql.types import AtomicType, DateType, TimestampNTZType, TimestampT
 IDX = "_idx"
 BLOCK = "_blk"
 HALO = "_halo"
+SKIPPED = "_skipped"
 
 
 def _null_free_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -92,6 +93,48 @@ def blocked(
     return out.filter(~F.col(HALO)).drop(BLOCK, HALO)
 
 
+def day_counts(df: DataFrame, order: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Rows per (key, day): ``keys, day, n``. Stored beside a series, it is the zone map of ``prune_history``: one row per
+    key and day, pre-aggregated map-side, and additive (counts of new rows can be appended). Rows without a time have no day."""
+    return df.groupBy(*keys, F.to_date(F.col(order)).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def prune_history(
+    df: DataFrame, counts: DataFrame, order: str, keys: Sequence[str], since: Column, lookback: int, day_column: str | None = None,
+) -> DataFrame:
+    """ACTION (one value): the rows from ``since`` on and, per key, whole days before it that hold the last ``lookback`` rows or
+    more; ``_skipped`` = rows of the key before those days. Exact on series with gaps; NULL keys are a key, and rows
+    without a time come first, as in ``row_index``."""
+    cut = F.to_date(since)
+    days = counts.groupBy(*keys, "day").agg(F.sum("n").alias("n")).withColumn("day", F.coalesce("day", F.lit("0001-01-01").cast("date")))
+    older = days.filter(F.col("day") < cut)
+    later = Window.partitionBy(*keys).orderBy(F.col("day").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = older.withColumn("upto", F.sum("n").over(later))
+    enough = F.col("upto") >= lookback
+    bounds = sums.groupBy(*keys).agg(
+        F.coalesce(F.max(F.when(enough, F.col("day"))), F.min("day")).alias("_first"),
+        (F.sum("n") - F.coalesce(F.min(F.when(enough, F.col("upto"))), F.max("upto"))).alias(SKIPPED))
+    low = bounds.agg(F.least(F.min("_first"), F.min(cut)).alias("d")).first()["d"]
+    day = F.coalesce(F.to_date(F.col(order)), F.lit("0001-01-01").cast("date"))
+    near = df if low is None or low.year == 1 else df.filter(F.col(order) >= F.lit(low).cast(df.schema[order].dataType))
+    if low is None:  # nothing is older than ``since``
+        near = df.filter(day >= cut)
+    elif low.year > 1 and day_column is not None:
+        near = near.filter(F.col(day_column) >= F.lit(low))
+    if keys:
+        renamed = bounds.select(*[F.col(k).alias(f"_b{i}") for i, k in enumerate(keys)], "_first", SKIPPED)
+        same = F.lit(True)
+        for i, k in enumerate(keys):
+            same = same & F.col(k).eqNullSafe(F.col(f"_b{i}"))
+        joined = near.join(renamed, same, "left")
+    else:
+        one = bounds.first()  # a series without keys has one bound
+        joined = near.withColumns({"_first": F.lit(one["_first"]), SKIPPED: F.lit(one[SKIPPED])}) if one else \
+            near.withColumns({"_first": F.lit(None).cast("date"), SKIPPED: F.lit(0)})
+    return joined.filter(day >= F.coalesce("_first", cut)).withColumn(SKIPPED, F.coalesce(SKIPPED, F.lit(0))) \
+        .select(*df.columns, SKIPPED)
+
+
 def positional_lags(
     df: DataFrame, value: str, lags: Sequence[int], order: str, keys: Sequence[str] = (),
     names: Sequence[str] | None = None, bucket: Column | None = None, block_rows: int = 4096,

@@ -1,10 +1,12 @@
-"""Joins against dimensions and global series with a *proven* broadcast bound.
+"""Joins against dimensions and global series with a *checked* broadcast bound.
 
-Catalyst already broadcasts a side whose estimated size is under
-``spark.sql.autoBroadcastJoinThreshold`` and AQE re-plans on measured sizes. ``bounded``
-adds an explicit hint only after counting the small side's rows with a partial-aggregated
-count (one row per task reaches the final count - unlike ``limit(n).count()``, which funnels
-up to n rows per task into a single task). Anything larger stays a shuffle join."""
+Catalyst broadcasts a side whose estimated size is under ``spark.sql.autoBroadcastJoinThreshold``, and AQE
+re-plans on measured sizes. ``bounded`` adds a hint where the optimized plan's size estimate (file and table statistics, no job)
+is at most ``max_bytes``: estimates of filters, projections, windows and aggregates are at most those of their input, joins count as
+the product, and a generator (``explode``) as ``PER_ROW`` rows for one; an unknown size is never small. So tables need no job. A side
+that is still to be computed may be small all the same: ``bounded_all`` persists such sides (memory, spilling to disk; lost blocks are
+computed again), counts them in one job and hints those of at most ``max_rows``; the join reads the blocks that the count made, so
+every side runs once. Anything larger stays a shuffle join that AQE may still turn round."""
 
 from __future__ import annotations
 
@@ -12,36 +14,61 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+MAX_BYTES = 64 * 1024 * 1024
+MAX_ROWS = 2_000_000
+PER_ROW = 512  # rows a generator is taken to make of one
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """ACTION: True when ``df`` has at most ``max_rows`` rows (partial-aggregated count)."""
-    return df.select(F.count(F.lit(1)).alias("n")).first()["n"] <= max_rows
-
-
-def bounded(df: DataFrame, max_rows: int, reuse: bool = False) -> DataFrame:
-    """``broadcast(df)`` when it provably has at most ``max_rows`` rows, else ``df`` unchanged.
-
-    With ``reuse`` (for expensive small sides) the small side is persisted (memory, spilling to disk) while it is counted,
-    so the broadcast reads the blocks the check computed instead of re-running its plan.
-    Lost blocks are recomputed from lineage; a side that fails the check is unpersisted."""
-    if reuse:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if row_count_at_most(df, max_rows):
-        return F.broadcast(df)
-    if reuse:
-        df.unpersist()
-    return df
-
-
-def bounded_all(frames: dict[str, DataFrame], max_rows: int) -> dict[str, DataFrame]:
-    """``bounded`` for several small sides with ONE job: the row counts of all sides are branches
-    of a single union (partial-aggregated per task), so their plans execute concurrently."""
-    if not frames:
-        return {}
-    names = list(frames)
-    probes = [frames[n].select(F.lit(i).alias("_side")) for i, n in enumerate(names)]
-    union = probes[0]
-    for p in probes[1:]:
-        union = union.unionByName(p)
-    counts = {r["_side"]: r["n"] for r in union.groupBy("_side").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return {n: F.broadcast(frames[n]) if counts.get(i, 0) <= max_rows else frames[n] for i, n in enumerate(names)}
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Size of the result by the optimized plan's statistics; starts no job."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    generators = plan.toString().count("Generate ")
+    return int(str(plan.stats().sizeInBytes())) * PER_ROW ** generators
+
+
+def bounded(df: DataFrame, max_bytes: int = MAX_BYTES, max_rows: int = MAX_ROWS) -> DataFrame:
+    """``bounded_all`` for one side."""
+    return bounded_all({"side": df}, max_bytes, max_rows)["side"]
+
+
+def bounded_all(frames: dict[str, DataFrame], max_bytes: int = MAX_BYTES, max_rows: int = MAX_ROWS) -> dict[str, DataFrame]:
+    """``broadcast(df)`` for every side that is checked to be small, else the side as it is (persisted, where it was counted). ACTION only
+    for sides whose estimate is above ``max_bytes``: one job counts them all (partial-aggregated, one row per task)."""
+    out = {name: F.broadcast(df) if estimated_bytes(df) <= max_bytes else None for name, df in frames.items()}
+    unknown = [name for name, df in out.items() if df is None]
+    if unknown:
+        held = {name: frames[name].persist(StorageLevel.MEMORY_AND_DISK) for name in unknown}
+        probe = None
+        for i, name in enumerate(unknown):
+            part = held[name].select(F.lit(i).alias("side"))
+            probe = part if probe is None else probe.unionAll(part)
+        rows = {r["side"]: r["n"] for r in probe.groupBy("side").agg(F.count(F.lit(1)).alias("n")).collect()}
+        for i, name in enumerate(unknown):
+            out[name] = F.broadcast(held[name]) if rows.get(i, 0) <= max_rows else held[name]
+    return out
+
+
+def left_join_sparse(left: DataFrame, right: DataFrame, on: list[str], salts: int = 1, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """Left join for a left side with many rows that can not match (a NULL in ``on``) or share one key.
+
+    With a small right side it is broadcast. Else rows with a NULL key pass by the shuffle (a union after the join), and with
+    ``salts`` above 1 every key of the left side is dealt to that many tasks, to which the right rows are copied; so neither the NULL
+    rows nor one hot key meet in one task. The result is that of ``left.join(right, on, "left")``."""
+    hinted = right._jdf.queryExecution().analyzed().toString().startswith("ResolvedHint")
+    if hinted or estimated_bytes(right) <= max_bytes:
+        return left.join(right if hinted else F.broadcast(right), on, "left")
+    null_key = F.lit(False)
+    for c in on:
+        null_key = null_key | F.col(c).isNull()
+    more = [c for c in right.columns if c not in on]
+    columns = [*on, *[c for c in left.columns if c not in on], *more]
+    can, cannot = left.filter(~null_key), left.filter(null_key)
+    if salts > 1:
+        salt = "_salt" + "_" * max((len(c) for c in [*left.columns, *right.columns]), default=0)
+        can = can.withColumn(salt, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts)).cast("int"))
+        copies = right.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        matched = can.join(copies, [*on, salt], "left").drop(salt)
+    else:
+        matched = can.join(right, on, "left")
+    nothing = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in more]
+    return matched.select(*columns).unionByName(cannot.select(*columns[:len(columns) - len(more)], *nothing))

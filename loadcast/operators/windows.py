@@ -47,22 +47,62 @@ def _scaled(value: str, scale: int, wide: bool) -> Column:
     return F.round(F.col(value) * F.lit(10.0**scale)).cast("bigint")
 
 
-def moment_form(df: DataFrame, value: str, scale: int | None, exact: bool | None, wide: bool | None) -> tuple[bool, int, bool]:
-    """``(exact, scale, wide)`` to use. A stated ``scale`` asks for the prefix form. Without one the type decides:
-    integers and decimals whose squares add up inside 38 digits take it with their own scale, everything else
-    (doubles above all, whose digits are unknown) the built-in frame, which is right for any value."""
+def moment_form(df: DataFrame, value: str, scale: int | None, exact: bool | None, wide: bool | None) -> tuple[str, int, bool]:
+    """``(form, scale, wide)`` to use: ``prefix`` (running sums of integers), ``segments`` (merged block statistics) or
+    ``sliding`` (Spark's own frame). A stated ``scale`` asks for the prefix form. Without one the type decides: integers and
+    decimals whose squares add up inside 38 digits take it with their own scale, everything else (doubles above all, whose
+    digits are unknown) the segments, which are right for any value."""
     dtype = df.schema[value].dataType
     if exact is False:
-        return False, 0, False
+        return "sliding", 0, False
     if scale is not None:
-        return True, scale, bool(wide)
+        return "prefix", scale, bool(wide)
     if isinstance(dtype, DecimalType) and dtype.precision <= 13:
-        return True, dtype.scale, dtype.precision > 4 if wide is None else wide
+        return "prefix", dtype.scale, dtype.precision > 4 if wide is None else wide
     if isinstance(dtype, (ByteType, ShortType, IntegerType)):
-        return True, 0, isinstance(dtype, IntegerType) if wide is None else wide
+        return "prefix", 0, isinstance(dtype, IntegerType) if wide is None else wide
     if exact:
         raise ValueError(f"exact statistics of a {dtype.simpleString()} column need scale=")
-    return False, 0, False
+    return "segments", 0, False
+
+
+def segment_moments(
+    df: DataFrame, value: str, size: int, gap: int, order, keys: Sequence[str], mean_name: str, std_name: str,
+    position: str | None = None,
+) -> DataFrame:
+    """Trailing mean and sample standard deviation of any double in O(1) per row, without subtracting sums.
+
+    The rows of a key are cut into segments of ``size``. Count, mean and squared deviations run from the front of each
+    segment to every row (prefix) and from every row to the segment's end (suffix). A frame of ``size`` rows is the suffix of one
+    segment and the prefix of the next; the two are merged by the parallel variance formula, so large values with a small
+    spread keep their digits, and a NaN or infinity harms only the frames that hold it. One exchange by ``keys``. ``position``: a
+    column with consecutive row numbers per key (else they are counted); segments lie at its multiples of ``size``, so a series
+    that is cut into blocks by its positions gives the same bits as the whole one."""
+    w = spec(keys, order)
+    taken = set(df.columns)
+    name = lambda n: next(c for c in (f"_{n}{'_' * i}" for i in range(len(taken) + 1)) if c not in taken)
+    rn, seg, vals = name("rn"), name("seg"), {p + c: name(p + c) for p in "ps" for c in ("n", "m", "v")}
+    numbered = df.withColumn(rn, F.col(position) if position else F.row_number().over(w)).withColumn(seg, F.floor((F.col(rn) - 1) / size))
+    x = F.col(value).cast("double")
+    inside = Window.partitionBy(*keys, seg).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    for part, at in (("p", F.col(rn).asc()), ("s", F.col(rn).desc())):
+        frame = inside.orderBy(at)
+        numbered = numbered.withColumns({vals[f"{part}n"]: F.count(x).over(frame), vals[f"{part}m"]: F.avg(x).over(frame),
+                                         vals[f"{part}v"]: F.var_pop(x).over(frame) * F.count(x).over(frame)})
+    back = Window.partitionBy(*keys).orderBy(rn)
+    whole = F.pmod(F.col(rn) - gap, F.lit(size)) == 0  # the frame is a segment: the prefix of its last row alone
+    far = {c: F.when(~whole, F.lag(vals[f"s{c}"], gap + size - 1).over(back)) for c in "nmv"}
+    near = {c: F.lag(vals[f"p{c}"], gap).over(back) for c in "nmv"}
+    cols = {name(f"{side}{c}l"): col for side, parts in (("a", far), ("b", near)) for c, col in parts.items()}
+    na, ma, va, nb, mb, vb = (F.col(c) for c in cols)
+    na0, nb0 = F.coalesce(na, F.lit(0)), F.coalesce(nb, F.lit(0))
+    n = na0 + nb0
+    both = (na0 > 0) & (nb0 > 0)
+    mean = F.when(both, ma + (mb - ma) * (nb0 / n)).when(na0 > 0, ma).otherwise(mb)
+    spread = F.when(both, va + vb + (mb - ma) * (mb - ma) * (na0 * nb0 / n)).when(na0 > 0, va).otherwise(vb)
+    out = numbered.withColumns(cols).withColumns({
+        mean_name: F.when(n > 0, mean), std_name: F.when(n > 1, F.sqrt(spread / (n - 1)))})
+    return out.drop(rn, seg, *vals.values(), *cols)
 
 
 def moment_prefix_columns(
@@ -107,7 +147,7 @@ def moments_from_prefix(tag: str, scale: int, mean_name: str | None, std_name: s
 def rolling_moments(
     df: DataFrame, value: str, size: int, gap: int = 1, order: str = "timestamp_utc",
     keys: Sequence[str] = (), scale: int | None = None, mean_name: str | None = None, std_name: str | None = None,
-    exact: bool | None = None, wide: bool | None = None,
+    exact: bool | None = None, wide: bool | None = None, position: str | None = None,
 ) -> DataFrame:
     """Trailing mean and sample standard deviation over ``rows gap+size-1 .. gap preceding``
     (reference frame: size 168, gap 1 = the 168 rows before the current one). NULLs are skipped.
@@ -115,13 +155,15 @@ def rolling_moments(
     ``scale=k`` is the caller's statement that values have at most ``k`` decimals: integers ``round(value * 10^k)``
     are summed, exactly and in one pass. Bigint sums raise on overflow (squares of scaled values over a key or block
     above 9.2e18); ``wide=True`` sums decimal(38,0) and raises beyond 38 digits
-    (frame rows times squares above 1e38: scaled values from about 1e17 on). Without ``scale`` see ``moment_form``: doubles use the built-in
-    sliding frame (``size`` values per row). ``exact=False`` always does. A NaN or infinity gives NaN in the exact form;
-    the built-in frame gives Spark's own result."""
+    (frame rows times squares above 1e38: scaled values from about 1e17 on). Without ``scale`` see ``moment_form``: doubles merge
+    block statistics (``segment_moments``). ``exact=False`` takes Spark's sliding frame (``size`` values per row). A NaN or infinity
+    gives NaN in the prefix form, and what the double statistics give in the others."""
     mean_name = mean_name or f"rolling_mean_{size}"
     std_name = std_name or f"rolling_std_{size}"
-    exact, scale, wide = moment_form(df, value, scale, exact, wide)
-    if not exact:
+    form, scale, wide = moment_form(df, value, scale, exact, wide)
+    if form == "segments":
+        return segment_moments(df, value, size, gap, order, keys, mean_name, std_name, position)
+    if form == "sliding":
         frame = spec(keys, order).rowsBetween(-(gap + size - 1), -gap)
         return df.withColumns({mean_name: F.avg(value).over(frame), std_name: F.stddev_samp(value).over(frame)})
     tag = f"{value}_{size}_{gap}"

@@ -3,25 +3,24 @@ bridge, price lags, weather features and calendar features.
 
 The fact side keeps its grain (one row per group and hour). Every other input is a
 dimension or a global series whose size is bounded by (groups) or (hours in the span);
-each is broadcast only after its row count is checked against ``max_dim_rows``, so the
-fact rows are never shuffled for those joins. Weather is keyed by (hour, weather_key):
-broadcast when under the bound, otherwise one shuffle on that composite key."""
+each is broadcast when the size estimate of its plan is at most ``max_dim_bytes`` (tables: no job runs for it) or, for a side
+still to be computed, when its counted rows are few (it is persisted and runs once), so the fact rows are not shuffled for those joins. Weather is keyed by (hour, weather_key):
+broadcast when under the bound, otherwise one shuffle on that composite key, past which the rows without a weather key go."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadcast.operators.joins import bounded_all
+from loadcast.operators.joins import MAX_BYTES, bounded_all, left_join_sparse
 from loadcast.plans.features import FEATURE_COLUMNS
 from loadcast.plans.groups import GROUP_ATTRIBUTES
+from loadcast.sources.writers import publish
 
 PRICE_COLUMNS = ("price_lag_24", "price_lag_48", "price_lag_168")
 WEATHER_COLUMNS = ("temperature_missing_flag", "temp_lag_24", "temp_lag_48", "temp_lag_168")
 CALENDAR_COLUMNS = ("working_day", "desc", "is_weekend", "is_holiday", "hour_of_day", "day_of_week", "month", "day_of_year")
 
-DEFAULT_MAX_DIM_ROWS = 2_000_000
-
 
 def build_gold(
     consumption: DataFrame,
@@ -32,11 +31,14 @@ def build_gold(
     bridge: DataFrame | None = None,
     weather_mode: str = "none",
     hourly_features: bool = True,
-    max_dim_rows: int = DEFAULT_MAX_DIM_ROWS,
+    max_dim_bytes: int = MAX_BYTES,
+    weather_salts: int = 1,
 ) -> DataFrame:
     """``weather_mode``: ``'join'`` (with weather), ``'null'`` (bridge joined, weather columns
     NULL - the 'weather unknown at inference' variant), ``'none'`` (no weather columns).
-    ``hourly_features=False`` gives the monthly layout (target only, no price)."""
+    ``hourly_features=False`` gives the monthly layout (target only, no price). ``weather_salts``: tasks per weather key and hour where
+    the weather is too large to broadcast. Building starts no job when
+    the sides are tables."""
     ts, gid = "timestamp_utc", "group_id"
     fact_cols = [ts, gid, "target_consumption", *(FEATURE_COLUMNS if hourly_features else ())]
     out = consumption.select(*fact_cols)
@@ -48,15 +50,15 @@ def build_gold(
         sides["price"] = price.select(ts, *PRICE_COLUMNS)
     if weather_mode == "join":
         sides["weather"] = weather.select(ts, "weather_key", *WEATHER_COLUMNS)
-    small = bounded_all(sides, max_dim_rows)  # one job proves every bound
+    small = bounded_all(sides, max_dim_bytes)
 
     out = out.join(small["groups"], gid, "left")
     if "bridge" in small:
         out = out.join(small["bridge"], gid, "left")
     if "price" in small:
         out = out.join(small["price"], ts, "left")
-    if "weather" in small:
-        out = out.join(small["weather"], [ts, "weather_key"], "left")
+    if weather_mode == "join":
+        out = left_join_sparse(out, small["weather"], [ts, "weather_key"], weather_salts, max_dim_bytes)
     elif weather_mode == "null":
         out = out.withColumns({
             "temperature_missing_flag": F.lit(None).cast("int"),
@@ -104,7 +106,5 @@ def gold_sql(
 
 
 def create_gold_table(spark, target: str, select_sql: str, fmt: str = "parquet") -> None:
-    """``CREATE TABLE target AS select`` after dropping the old table (replace-as-select is not
-    available for file-source tables in the session catalog)."""
-    spark.sql(f"DROP TABLE IF EXISTS {target}")
-    spark.sql(f"CREATE TABLE {target} USING {fmt} AS {select_sql}")
+    """``CREATE OR REPLACE`` of a table as a select, in one catalog step: see ``writers.publish``."""
+    publish(spark.sql(select_sql), target, fmt)

@@ -56,13 +56,12 @@ def _view(spark: SparkSession, name: str, df_sql: str) -> None:
 # ------------------------------------------------------------------ silver
 
 
-def consumption_job(spark: SparkSession, raw_table: str, w: Windows, L: Layers, scale: int | None = 2,
+def consumption_job(spark: SparkSession, raw_table: str, w: Windows, L: Layers, scale: int | None = None,
                     wide: bool | None = None) -> list[str]:
     """Wide raw -> long -> features computed once, written partitioned by ``split``
     (train / inference / later); training, inference (NULL target), actuals and baseline are
     views that prune partitions. Monthly history and the 12-month future grid are written too.
-    ``scale`` and ``wide``: as in ``hourly_features``; the default states readings of two decimals (others are rounded
-    to it in the statistics), ``scale=None`` assumes nothing."""
+    ``scale`` and ``wide``: as in ``hourly_features``; by default nothing is assumed about the readings' decimals."""
     long = reshape.to_long(spark.table(raw_table), ts_type=w.ts_type)
     ts = F.col("timestamp_utc")
     start, end = (F.lit(x).cast(w.ts_type) for x in (w.inference_start, w.inference_end))

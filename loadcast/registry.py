@@ -234,6 +234,17 @@ def q_rolling_stats(spark, sf):
     return windows.rolling_moments(tv.consumption_long(spark, sf), "target_consumption", 168, 1, keys=["group_id"], scale=2)
 
 
+@register("rolling_stats_doubles", with_views(
+    "SELECT supplier_id, day, round(avg(x) OVER w, 3) AS mean_168, round(stddev_samp(x) OVER w, 3) AS std_168 "
+    "FROM (SELECT *, 100000 + sqrt(quantity) AS x FROM supplier_daily) "
+    "WINDOW w AS (PARTITION BY supplier_id ORDER BY day ROWS BETWEEN 168 PRECEDING AND 1 PRECEDING)", "supplier_daily"))
+def q_rolling_stats_doubles(spark, sf):
+    """Trailing statistics of doubles without a stated number of decimals: large values, small spread, merged segments."""
+    series = tv.supplier_daily(spark, sf).withColumn("x", F.lit(100000) + F.sqrt("quantity"))
+    out = windows.rolling_moments(series, "x", 168, 1, "day", ["supplier_id"])
+    return out.select("supplier_id", "day", F.round("rolling_mean_168", 3).alias("mean_168"), F.round("rolling_std_168", 3).alias("std_168"))
+
+
 @register("drop_head_per_key", with_views("SELECT timestamp_utc, group_id, target_consumption FROM feat", "feat"))
 def q_drop_head_per_key(spark, sf):
     return windows.drop_head(tv.consumption_long(spark, sf), 336, keys=["group_id"])
@@ -274,6 +285,15 @@ def q_inference_features_since(spark, sf):
     return splits.split_window(feats, tv.INFER_START, tv.INFER_END, ts_type=TS)
 
 
+@register("inference_features_pruned", with_views("SELECT * FROM feat_inf", "feat_inf"))
+def q_inference_features_pruned(spark, sf):
+    """ACTION. Inference features from the days that the day counts show to be needed (a fortnight of the month)."""
+    long = tv.consumption_long(spark, sf)
+    counts = index.day_counts(long, "timestamp_utc", ["group_id"])
+    feats = features.hourly_features(long, scale=2, since=tv.INFER_START, ts_type=TS, day_counts=counts)
+    return splits.split_window(feats, tv.INFER_START, tv.INFER_END, ts_type=TS)
+
+
 @register("hourly_features_per_group", with_views("SELECT * FROM feat", "feat"))
 def q_hourly_features_per_group(spark, sf):
     """Same result through the single-shuffle plan (one window per group)."""
@@ -373,7 +393,7 @@ def q_forward_fill_split(spark, sf):
     f"SELECT {FC}, {GROUP_COLS} FROM feat c LEFT JOIN groups g ON c.group_id = g.group_id", "feat", "groups"))
 def q_join_group_dim(spark, sf):
     dim = _groups(spark, sf)
-    return _features(spark, sf).join(joins.bounded(dim, gold.DEFAULT_MAX_DIM_ROWS), "group_id", "left")
+    return _features(spark, sf).join(joins.bounded(dim), "group_id", "left")
 
 
 @register("join_price_calendar", with_views(
@@ -383,8 +403,8 @@ def q_join_group_dim(spark, sf):
 def q_join_price_calendar(spark, sf):
     cal = _calendar_hourly(spark, sf).select("timestamp_utc", *gold.CALENDAR_COLUMNS)
     p = _price_features(spark, sf)
-    out = _features(spark, sf).join(joins.bounded(p, gold.DEFAULT_MAX_DIM_ROWS), "timestamp_utc", "left")
-    return out.join(joins.bounded(cal, gold.DEFAULT_MAX_DIM_ROWS), "timestamp_utc", "left")
+    out = _features(spark, sf).join(joins.bounded(p), "timestamp_utc", "left")
+    return out.join(joins.bounded(cal), "timestamp_utc", "left")
 
 
 @register("join_weather_composite", with_views(
@@ -393,9 +413,9 @@ def q_join_price_calendar(spark, sf):
     "LEFT JOIN wx_train_feat w ON c.timestamp_utc = w.timestamp_utc AND b.weather_key = w.weather_key",
     "feat_train", "bridge", "wx_train_feat"))
 def q_join_weather(spark, sf):
-    fact = _split(spark, sf).train.join(joins.bounded(tv.bridge(spark, sf), gold.DEFAULT_MAX_DIM_ROWS), "group_id", "left")
+    fact = _split(spark, sf).train.join(joins.bounded(tv.bridge(spark, sf)), "group_id", "left")
     wx = _weather_training(spark, sf)
-    return fact.join(joins.bounded(wx, gold.DEFAULT_MAX_DIM_ROWS), ["timestamp_utc", "weather_key"], "left")
+    return fact.join(joins.bounded(wx), ["timestamp_utc", "weather_key"], "left")
 
 
 GOLD_WITH_WEATHER_SQL = (

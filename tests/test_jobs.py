@@ -33,7 +33,7 @@ def test_medallion_flow(spark, tmp_path):
     write_table(weather.build_weather_long(tv.weather_landing(spark, SF_SMALL), "source_table"), b("weather_data_long"))
     write_table(tv.bridge(spark, SF_SMALL), "lc_silver.group_weather_map")
 
-    jobs.consumption_job(spark, b("consumption_data_raw"), w, L)
+    jobs.consumption_job(spark, b("consumption_data_raw"), w, L, scale=2)
     jobs.price_job(spark, b("price_data_raw"), w, L)
     jobs.weather_job(spark, b("weather_data_long"), b("weather_hourly_inference_raw"), w, L)
     jobs.calendar_job(spark, b("calendar_data_raw"), b("calendar_data_raw"), w, L)

@@ -225,3 +225,67 @@ def test_since_keeps_every_row_of_a_gapped_series(spark):
     since = features.hourly_features(long, since="2024-03-15 00:00:00")
     assert whole.count() == since.count() > 100
     assert whole.exceptAll(since).isEmpty()
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.floats(-1e6, 1e6), st.just(float("nan"))), min_size=1, max_size=40),
+       st.integers(1, 6), st.integers(1, 3))
+def test_segment_moments_equal_builtin_frame(spark, vals, size, gap):
+    df = series(spark, vals)
+    merged = windows.rolling_moments(df, "target_consumption", size, gap, keys=["group_id"], mean_name="m", std_name="s")
+    builtin = windows.rolling_moments(df, "target_consumption", size, gap, keys=["group_id"], mean_name="m",
+                                      std_name="s", exact=False)
+    assert set(merged.columns) == set(builtin.columns)
+    for got, want in zip(by_time(merged, "m", "s"), by_time(builtin, "m", "s")):
+        for a, b in zip(got, want):
+            assert (a is None) == (b is None)
+            if a is not None:
+                assert (math.isnan(a) and math.isnan(b)) or a == pytest.approx(b, rel=1e-9, abs=1e-6)
+
+
+def test_segments_in_the_blocked_plan_and_with_clashing_names(spark):
+    from loadcast.plans import features
+
+    rnd = random.Random(5)
+    df = series(spark, [rnd.uniform(1e5, 1e5 + 1) for _ in range(900)]).withColumn("_rn", F.lit(7)).withColumn("_seg", F.lit("x"))
+    out = windows.rolling_moments(df, "target_consumption", 168, 1, keys=["group_id"])
+    assert {(r["_rn"], r["_seg"]) for r in out.collect()} == {(7, "x")}
+    plain = df.drop("_rn", "_seg")
+    blocks = features.hourly_features(plain, block_rows=400)
+    whole = features.hourly_features(plain, block_rows=None, exact=False)
+    for a, b in zip(by_time(blocks, "rolling_mean_168", "rolling_std_168"), by_time(whole, "rolling_mean_168", "rolling_std_168")):
+        assert a == pytest.approx(b, rel=1e-9)
+
+
+@pytest.mark.parametrize("keyed", [True, False])
+def test_since_with_day_counts_is_exact_on_gaps(spark, keyed, tmp_path):
+    """Groups of different density (one of them young, one with a NULL key, rows without a time): the same rows as the whole
+    history, from fewer days."""
+    rnd = random.Random(11)
+    rows = []
+    for g, step in ((1, 1), (2, 5), (None, 2)) if keyed else ((0, 3),):
+        at = T0
+        while at < dt.datetime(2024, 6, 1):
+            rows.append((g, at, rnd.uniform(0, 9)))
+            at += dt.timedelta(hours=step * rnd.randint(1, 3))
+    rows += [(3, dt.datetime(2024, 5, 30) + dt.timedelta(hours=k), 1.0) for k in range(60)] if keyed else []
+    rows += [(1 if keyed else 0, None, 5.0)] * 3
+    df = spark.createDataFrame(rows, "group_id int, timestamp_utc timestamp, target_consumption double")
+    df.withColumn("day", F.to_date("timestamp_utc")).write.partitionBy("day").parquet(f"{tmp_path}/series")
+    long = spark.read.parquet(f"{tmp_path}/series")
+    keys, since = (["group_id"] if keyed else []), "2024-05-25 07:00:00"
+    counts = index.day_counts(long, "timestamp_utc", keys)
+    cols = ["group_id", "timestamp_utc", "target_consumption"]
+    pruned = features.hourly_features(long, keys, since=since, day_counts=counts, day_column="day").drop("day")
+    whole = features.hourly_features(long.select(*cols), keys).filter(F.col("timestamp_utc") >= since)
+    key = lambda r: str((r["group_id"], r["timestamp_utc"]))
+    got, want = sorted(pruned.collect(), key=key), sorted(whole.collect(), key=key)
+    assert len(got) == len(want) > 30 and sorted(pruned.columns) == sorted(whole.columns)
+    for a, b in zip(got, want):
+        assert all(a[c] == (pytest.approx(b[c], rel=1e-9) if isinstance(b[c], float) else b[c]) for c in whole.columns)
+    named = long.withColumn("f", F.col("_metadata.file_path"))
+    near = index.prune_history(named, counts, "timestamp_utc", keys, F.lit(since).cast("timestamp"), 336, "day")
+    if not keyed:  # the file of the rows without a time is not read either
+        assert near.select("f").distinct().count() < named.select("f").distinct().count() - 30
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and near.count() < long.count()
