@@ -99,8 +99,9 @@ def _difference(left: str, right: str) -> str:
 
 def _peeled(cells: str, part: str, seed: str) -> str:
     """Digests recovered from the cells of one block's difference, NULL when cells are left over."""
-    one = [f"transform(array_distinct(transform(filter(pure, c -> c.n = {n}), c -> c.k)), k -> {_entry('k', part, seed, n)})" for n in ("1", "-1")]
-    pure = _let("pure", f"filter(st.cells, c -> abs(c.n) = 1 and shiftrightunsigned(xxhash64(c.k, {seed}), 32) = c.h)", f"concat({', '.join(one)})")
+    cell = _entry("u.k", part, seed, "u.n")
+    pure = (f"transform(array_distinct(transform(filter(st.cells, c -> abs(c.n) = 1 and shiftrightunsigned(xxhash64(c.k, {seed}), 32) = c.h), "
+            f"c -> named_struct('k', c.k, 'n', c.n))), u -> {cell})")
     parts = [f"transform(slice(st.cells, {j} * {part} + 1, {part}), (c, i) -> aggregate(filter(ps, p -> p.p{j} = i), c, (a, p) -> "
              f"named_struct('n', a.n - p.s, 'k', a.k ^ p.d, 'h', a.h ^ p.c)))" for j in range(3)]
     taken = f"concat({', '.join(parts)})"
