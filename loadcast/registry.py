@@ -750,3 +750,65 @@ def q_category_codes(spark, sf):
     from loadcast.plans import ml
 
     return ml.category_codes(q_gold_without_weather_sql(spark, sf), _CODED, ["timestamp_utc", "group_id"])
+
+
+# Features of the boosted trees below; ``lag_48_known`` is missing in every fifth hour, so the missing direction is learned.
+_BOOSTED = ("consumption_lag_48", "consumption_lag_336", "rolling_mean_168", "lag_48_known")
+_BINS, _UNIT, _STEP, _TREES, _MIN_ROWS = 32, 2.0 ** -20, 0.1, 3, 20
+
+
+def _boosted_sql() -> str:
+    """Best-first trees of three leaves, by definition: every threshold of every feature, missing values on either side."""
+    k = len(_BOOSTED)
+    unit = f"CAST({_UNIT!r} AS DOUBLE)"
+    parts = [
+        "raw AS (SELECT *, CASE WHEN hour(timestamp_utc) % 5 <> 0 THEN consumption_lag_48 END AS lag_48_known FROM feat_train)",
+        "lims AS (SELECT " + ", ".join(f"min({c}) AS lo{i}, max({c}) AS hi{i}" for i, c in enumerate(_BOOSTED)) + " FROM raw)",
+        "x0 AS (SELECT [" + ", ".join(
+            f"CASE WHEN {c} IS NULL THEN 0 ELSE 1 + len(list_filter(range(1, {_BINS}), "
+            f"lambda e: lo{i} + (hi{i} - lo{i}) * CAST(e AS DOUBLE) / {_BINS} < {c})) END" for i, c in enumerate(_BOOSTED))
+        + "] AS x, target_consumption AS y FROM raw, lims WHERE target_consumption IS NOT NULL)",
+        f"g0 AS (SELECT x, y, CAST(sum(CAST(round(y / {unit}) AS BIGINT)) OVER () AS DOUBLE) / count(*) OVER () * {unit} AS f FROM x0)",
+    ]
+
+    def best(rows: str, name: str) -> None:
+        part = lambda s, n: f"CAST({s} AS DOUBLE) * CAST({s} AS DOUBLE) / CAST({n} AS DOUBLE)"
+        parts.append(f"{name}_c AS (SELECT node, feature, x[feature + 1] AS bin, count(*) AS n, sum(g) AS s FROM {rows}, range({k}) r(feature) GROUP BY ALL)")
+        parts.append(f"{name}_w AS (SELECT node, feature, bin, sum(n) OVER a AS n, sum(s) OVER a AS s, sum(n) OVER w AS cn, sum(s) OVER w AS cs, "
+                     f"coalesce(sum(n) FILTER (bin = 0) OVER a, 0) AS mn, coalesce(sum(s) FILTER (bin = 0) OVER a, 0) AS ms FROM {name}_c "
+                     "WINDOW a AS (PARTITION BY node, feature), w AS (PARTITION BY node, feature ORDER BY bin))")
+        parts.append(f"{name}_t AS (SELECT node, feature, bin, n, s, false AS missing_left, cn - mn AS nl, cs - ms AS sl FROM {name}_w "
+                     f"UNION ALL SELECT node, feature, bin, n, s, true, cn, cs FROM {name}_w)")
+        parts.append(f"{name} AS (SELECT *, {part('sl', 'nl')} + {part('(s - sl)', '(n - nl)')} - {part('s', 'n')} AS gain FROM {name}_t "
+                     f"WHERE nl >= {_MIN_ROWS} AND n - nl >= {_MIN_ROWS} "
+                     "QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, feature, bin, missing_left) = 1)")
+
+    left = "(x[feature + 1] <= bin AND (missing_left OR x[feature + 1] > 0))"
+    out = []
+    for t in range(_TREES):
+        parts.append(f"r{t} AS (SELECT *, 0 AS node, CAST(round((f - y) / {unit}) AS BIGINT) AS g FROM g{t})")
+        best(f"r{t}", f"b{t}")
+        parts.append(f"s{t} AS (SELECT r.x, r.y, r.f, r.g, CASE WHEN {left} THEN 1 ELSE 2 END AS node FROM r{t} r, b{t} b)")
+        best(f"s{t}", f"d{t}")
+        parts.append(f"e{t} AS (SELECT * FROM d{t} WHERE gain > 0 ORDER BY gain DESC, node LIMIT 1)")
+        parts.append(f"l{t} AS (SELECT s.x, s.y, s.f, s.g, CASE WHEN s.node <> e.node THEN s.node WHEN {left} THEN 3 ELSE 4 END AS leaf FROM s{t} s, e{t} e)")
+        parts.append(f"v{t} AS (SELECT leaf, -CAST(sum(g) AS DOUBLE) / count(*) * {unit} * CAST({_STEP} AS DOUBLE) AS value FROM l{t} GROUP BY leaf)")
+        parts.append(f"g{t + 1} AS (SELECT x, y, f + value AS f FROM l{t} JOIN v{t} USING (leaf))")
+        out += [f"SELECT {t} AS tree, * FROM b{t}", f"SELECT {t}, * FROM e{t}"]
+    names = "[" + ", ".join(f"'{c}'" for c in _BOOSTED) + "]"
+    body = (f"SELECT CAST(tree AS INTEGER) AS tree, CAST(node AS INTEGER) AS node, {names}[feature + 1] AS feature, CAST(bin AS INTEGER) AS bin, "
+            f"missing_left, CAST(n AS BIGINT) AS n FROM ({' UNION ALL '.join(out)})")
+    return with_views("SELECT * FROM feat_train", "feat_train").replace("\nSELECT * FROM feat_train", ",\n" + ",\n".join(parts) + "\n" + body)
+
+
+@register("boosted_splits", _boosted_sql())
+def q_boosted_splits(spark, sf):
+    """Splits of the first boosted trees, leaf by leaf, over the whole hourly training features. ACTION (the fit)."""
+    from loadcast.plans import boosting
+
+    hour = F.hour(F.col("timestamp_utc").cast("timestamp"))
+    train = _split(spark, sf).train.withColumn("lag_48_known", F.when(hour % 5 != 0, F.col("consumption_lag_48")))
+    edges = boosting.bin_edges(train, _BOOSTED, _BINS, equal_width=True)
+    model = boosting.fit(train, _BOOSTED, "target_consumption", rounds=_TREES, max_leaves=3, step=_STEP, column_share=1.0,
+                         min_rows=_MIN_ROWS, edges=edges, unit=_UNIT)
+    return boosting.splits_table(spark, model)

@@ -12,7 +12,7 @@ from loadcast import registry
 from loadcast.operators import index, splits
 
 QUERIES = {n: q for n, q in entry.queries().items() if n in registry.queries()}
-LEARNING = {"gbt_forecast", "gbt_forecast_rows", "category_codes"}
+LEARNING = {"gbt_forecast", "gbt_forecast_rows", "category_codes", "boosted_splits"}
 
 
 def plan(df) -> str:
