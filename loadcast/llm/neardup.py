@@ -342,9 +342,10 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
     order = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), digest.alias("c"))
     # written once: a key per row, which stands for the doc_id in the search
-    rows = materialize(docs.withColumns({"_row": F.monotonically_increasing_id(), "_order": order}))
-    found = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), **options) \
-        .select(F.col("doc_id").alias("_row"), "component_id")
-    best = found.join(rows.select("_row", "_order"), "_row").groupBy("component_id") \
-        .agg(F.min(F.struct("_order", "_row")).alias("best")).select(F.col("best._row").alias("_row"))
-    return rows.join(best, "_row", "left_semi").select(*docs.columns)
+    rows = materialize(docs.select(F.monotonically_increasing_id().alias("row"), order.alias("order"),
+                                   F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")))
+    found = near_duplicates(rows.select(F.col("row").alias("doc_id"), "doc.text"), **options) \
+        .select(F.col("doc_id").alias("row"), "component_id")
+    best = found.join(rows.select("row", "order"), "row").groupBy("component_id") \
+        .agg(F.min(F.struct("order", "row")).alias("best")).select(F.col("best.row").alias("row"))
+    return rows.join(best, "row", "left_semi").select("doc.*")

@@ -18,7 +18,7 @@ mostly share one, so a run of windows travels as one row. The steps:
 
 Defined cases: NULL and empty texts have no words; a NULL doc_id neither removes nor is removed;
 rows that repeat a doc_id do not remove from each other (no smaller id); documents shorter than
-the window stay whole; extra columns are kept by ``drop_repeats``; an empty table gives an empty result."""
+the window stay whole; extra columns of any name are kept by ``drop_repeats``; an empty table gives an empty result."""
 
 from __future__ import annotations
 
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -188,23 +188,23 @@ def _repeated_ids(docs: DataFrame) -> bool:
     return not docs.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").isEmpty()
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """ACTION. Every input row with ``kept_text`` (its kept words joined by one space), ``n_words`` and
-    ``n_removed``. A word is removed when it lies in a window of ``window`` words whose word sequence also
-    starts in a document with a smaller doc_id; windows are judged on the input. Extra columns stay."""
-    marks = repeats(docs, window, gram)
-    found = marks.withColumnsRenamed({"doc_id": "_marked_id", "marks": "_marks"})
-    joined = docs.join(found, docs["doc_id"] == F.col("_marked_id"), "left").drop("_marked_id")
-    schema = T.StructType([*docs.schema.fields, T.StructField("kept_text", T.StringType()),
+_RESULTS = ("kept_text", "n_words", "n_removed")
+
+
+def _kept(docs: DataFrame, window: int, gram: int) -> DataFrame:
+    """ACTION. ``row`` (struct of all columns but the text), ``text``, and the three results; no input name can clash."""
+    found = repeats(docs.select("doc_id", "text"), window, gram).select(F.col("doc_id").alias("key"), "marks")
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    nested = docs.select(others.alias("row"), "text")
+    joined = nested.join(found, F.col("row.doc_id") == F.col("key"), "left").select("row", "text", "marks")
+    schema = T.StructType([*nested.schema.fields, T.StructField("kept_text", T.StringType()),
                            T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
-    names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.schema.get_field_index("_marks")
             for a, b, data, offsets in slices(batch, "text"):
                 words = Words(data, offsets, lower=False)
-                marked = batch.column(at).slice(a, b - a)
+                marked = batch.column(2).slice(a, b - a)
                 seq_a = _sequence_digests(words)[0] if marked.null_count < b - a else None
                 raw = data.tobytes()
                 kept, removed = [], []
@@ -219,20 +219,30 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
                     removed.append(c - len(stay))
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(part.schema.get_field_index(c)) for c in names), pa.array(kept, pa.string()),
-                     pa.array(words.count.astype(np.int64)), pa.array(removed, pa.int64())],
-                    names=[*names, "kept_text", "n_words", "n_removed"])
+                    [part.column(0), part.column(1), pa.array(kept, pa.string()), pa.array(words.count.astype(np.int64)),
+                     pa.array(removed, pa.int64())], names=["row", "text", *_RESULTS])
 
     return joined.mapInArrow(run, schema)
 
 
+def _flat(name: str) -> Column:
+    return F.col("text") if name == "text" else F.col(f"row.`{name}`").alias(name)
+
+
+def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """ACTION. Every input row with ``kept_text`` (its kept words joined by one space), ``n_words`` and
+    ``n_removed``. A word is removed when it lies in a window of ``window`` words whose word sequence also
+    starts in a document with a smaller doc_id; windows are judged on the input. Extra columns stay; those named like one of
+    the three results are replaced by it."""
+    return _kept(docs, window, gram).select(*[_flat(c) for c in docs.columns if c.lower() not in _RESULTS], *_RESULTS)
+
+
 def drop_repeats(docs: DataFrame, **options) -> DataFrame:
     """ACTION: ``docs`` with its repeated passages cut out of ``text`` (untouched texts stay byte for byte);
     documents that lose every word go; ``n_chars``, where present, follows the new text. Same columns."""
-    done = remove_repeats(docs, **options).filter("n_removed = 0 or n_removed < n_words")
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    out = done.withColumn("text", text)
+    done = _kept(docs, **{"window": WINDOW, "gram": GRAM, **options}).filter("n_removed = 0 or n_removed < n_words")
+    cut = F.col("n_removed") > 0
+    now = {"text": F.when(cut, F.col("kept_text")).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
-        n = F.when(F.col("n_removed") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-        out = out.withColumn("n_chars", n)
-    return out.select(*docs.columns)
+        now["n_chars"] = F.when(cut, F.char_length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars"))
+    return done.select(*[now[c].alias(c) if c in now else _flat(c) for c in docs.columns])

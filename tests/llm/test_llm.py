@@ -516,3 +516,23 @@ def test_every_operator_is_registered():
     names = queries.queries()
     assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "substring_dedup", "source_mix", "tokens"]
+
+
+def test_columns_of_clashing_names_survive(spark):
+    passage = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, passage + " one"), (2, "two " + passage), (3, passage + " one"), (4, None), (None, passage + " one")]
+    extra = {"n_words": 7, "n_removed": 8, "kept_text": "own", "marks": 9, "key": 10, "row": 11, "order": 12, "_row": 13, "_order": 14,
+             "doc": 15, "label": 16, "cls": 17, "_marks": 18, "_marked_id": 19, "a.b": 20, "n_chars": 0}
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({c: F.lit(v) for c, v in extra.items()})
+    got = {r.doc_id: r for r in substring.drop_repeats(docs).collect()}
+    assert {k: r.text for k, r in got.items()} == {1: passage + " one", 2: "two", 4: None, None: passage + " one"}
+    assert all(r[c] == v for r in got.values() for c, v in extra.items() if c != "n_chars")
+    assert got[2].n_chars == 3 and got[1].n_chars == 0
+    out = substring.remove_repeats(docs)
+    assert out.columns == [c for c in docs.columns if c not in ("kept_text", "n_words", "n_removed")] + ["kept_text", "n_words", "n_removed"]
+    assert {r.doc_id: (r.n_words, r.n_removed, r.key) for r in out.collect()} == {
+        1: (61, 0, 10), 2: (61, 60, 10), 3: (61, 61, 10), 4: (0, 0, 10), None: (61, 0, 10)}
+    kept = neardup.drop_near_duplicates(docs, shingle=5, percent=80)
+    assert kept.columns == docs.columns
+    got = {r.doc_id: r for r in kept.collect()}
+    assert set(got) == {1, 4} and all(r[c] == v for r in got.values() for c, v in extra.items())
