@@ -16,7 +16,7 @@ from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
@@ -125,11 +125,40 @@ def index_labels(df: DataFrame, cats: Sequence[str]) -> StringIndexerModel:
                          stringOrderType="alphabetAsc").fit(df.withColumns({c: F.col(c).cast("string") for c in cats}))
 
 
+def label_dictionary(df: DataFrame, cats: Sequence[str]) -> DataFrame:
+    """ACTION. ``column, label, code``: the distinct labels of each column, coded from 0 in ascending order; NULL is no label.
+
+    No label reaches the driver and no column meets in one task: distinct labels are dealt to ranges of (column, label), checkpointed
+    (range bounds are sampled, so they are drawn once), numbered inside their range, and moved by the counts of the ranges before."""
+    ensure_checkpoint_dir(df.sparkSession)
+    if not cats:
+        return df.sparkSession.createDataFrame([], "column string, label string, code int")
+    found = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("label")) for c in cats]))
+    pairs = df.select(found.alias("p")).select("p.*").filter("label is not null").distinct()
+    dealt = pairs.repartitionByRange("column", "label").withColumn("part", F.spark_partition_id()).checkpoint()
+    counts = dealt.groupBy("column", "part").agg(F.count("*").alias("n"))  # a row per range and column
+    before = counts.select("column", "part", (F.sum("n").over(Window.partitionBy("column").orderBy("part")) - F.col("n")).alias("before"))
+    place = F.row_number().over(Window.partitionBy("column", "part").orderBy("label"))
+    return dealt.withColumn("place", place).join(before, ["column", "part"]) \
+        .select("column", "label", (F.col("before") + F.col("place") - 1).cast("int").alias("code"))
+
+
+def encode_labels(df: DataFrame, dictionary: DataFrame, cats: Sequence[str]) -> DataFrame:
+    """ACTION (one count per column). ``df`` with ``{c}_code`` for each column, joined from ``label_dictionary``; NULL and
+    unseen labels share the code after the last. A column of that name is replaced; Spark broadcasts a dictionary by its size."""
+    sizes = {r["column"]: r["n"] for r in dictionary.groupBy("column").agg(F.count("*").alias("n")).collect()}  # a row per column
+    kept = [c for c in df.columns if c.lower() not in {f"{c}_code".lower() for c in cats}]
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+    for i, c in enumerate(cats):
+        one = dictionary.filter(F.col("column") == c).select(F.col("label").alias(f"label{i}"), F.col("code").alias(f"code{i}"))
+        rows = rows.join(one, F.col(f"row.`{c}`").cast("string") == F.col(f"label{i}"), "left") \
+            .withColumn(f"code{i}", F.coalesce(f"code{i}", F.lit(sizes.get(c, 0)))).drop(f"label{i}")
+    return rows.select(*[F.col(f"row.`{c}`").alias(c) for c in kept], *[F.col(f"code{i}").alias(f"{c}_code") for i, c in enumerate(cats)])
+
+
 def category_codes(df: DataFrame, cats: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """ACTION (labels are indexed). ``keys`` and the code of each categorical column, ``{c}_code``."""
-    codes = index_labels(df, cats).transform(df.withColumns({c: F.col(c).cast("string") for c in cats}))
-    return codes.select(*[F.col(k).cast(df.schema[k].dataType) for k in keys],
-                        *[F.col(f"{c}__idx").cast("int").alias(f"{c}_code") for c in cats])
+    """ACTION (labels are ranked). ``keys`` and the code of each categorical column, ``{c}_code``."""
+    return encode_labels(df, label_dictionary(df, cats), cats).select(*[F.col(f"`{k}`") for k in keys], *[f"`{c}_code`" for c in cats])
 
 
 def train_forecaster(

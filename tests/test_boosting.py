@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loadcast.plans import boosting
+from loadcast.plans import boosting, ml
 
 SCHEMA = "id int, a double, b double, c double, y double"
 
@@ -116,3 +116,23 @@ def test_defined_cases(spark):
     assert [r.prediction for r in model.predict(odd.withColumn("x", F.lit("kept"))).collect()] == [4.0] * 4
     assert model.predict(odd.withColumn("x", F.lit("kept")), "y").columns == [*odd.columns, "x"]
     assert boosting.fit(odd, [], "y", rounds=2).predict(odd).first().prediction == 4.0
+
+
+def test_labels_are_ranked_without_the_driver(spark):
+    rnd = random.Random(5)
+    rows = [(i, None if i % 7 == 0 else f"k{rnd.randrange(5000)}", "hot" if i % 3 else f"z{i % 4}", i % 2 == 0) for i in range(6000)]
+    df = spark.createDataFrame(rows, "id int, a string, `b.c` string, d boolean").withColumn("a_code", F.lit("old")).repartition(7)
+    cats = ["a", "b.c", "d"]
+    dictionary = ml.label_dictionary(df, cats)
+    want = {c: sorted({str(r[i]).lower() if c == "d" else r[i] for r in rows if r[i] is not None}) for i, c in enumerate(cats, 1)}
+    assert sorted(map(tuple, dictionary.collect())) == sorted((c, x, k) for c in cats for k, x in enumerate(want[c]))
+    got = {r.id: r for r in ml.encode_labels(df, dictionary, cats).collect()}
+    code = {c: {x: k for k, x in enumerate(want[c])} for c in cats}
+    assert len(got) == len(rows)
+    for i, a, b, d in rows:
+        assert got[i]["a_code"] == code["a"].get(a, len(want["a"])) and got[i]["b.c_code"] == code["b.c"][b] and got[i]["d_code"] == int(d)
+    new = spark.createDataFrame([(1, "never", "hot", None)], "id int, a string, `b.c` string, d boolean")
+    r = ml.encode_labels(new, dictionary, cats).first()
+    assert (r["a_code"], r["b.c_code"], r["d_code"]) == (len(want["a"]), code["b.c"]["hot"], 2)
+    assert ml.label_dictionary(df.limit(0), cats).isEmpty() and ml.label_dictionary(df, []).isEmpty()
+    assert ml.encode_labels(df.limit(0), dictionary, cats).isEmpty()
