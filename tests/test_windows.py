@@ -289,3 +289,34 @@ def test_since_with_day_counts_is_exact_on_gaps(spark, keyed, tmp_path):
         assert near.select("f").distinct().count() < named.select("f").distinct().count() - 30
     plan = near._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan and near.count() < long.count()
+
+
+def test_segment_moments_sort_rows_once_and_do_not_depend_on_the_cut(spark):
+    """One sort for all levels; a frame's bits are those of its rows; infinities act as in the double statistics."""
+    rnd = random.Random(7)
+    vals = [rnd.uniform(1e5, 1e5 + 1) for _ in range(300)]
+    out = windows.rolling_moments(series(spark, vals), "target_consumption", 21, 2, keys=["group_id"], mean_name="m", std_name="s")
+    assert out._jdf.queryExecution().sparkPlan().toString().count("Window [") >= 4
+    out.collect()
+    assert out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Sort [") == 1
+    cut = windows.rolling_moments(series(spark, vals[37:]), "target_consumption", 21, 2, keys=["group_id"], mean_name="m", std_name="s")
+    assert by_time(out, "m", "s")[37 + 22:] == by_time(cut, "m", "s")[22:]
+    inf = float("inf")
+    odd = by_time(windows.rolling_moments(series(spark, [inf, 1.0, inf, 2.0, 3.0, 4.0]), "target_consumption", 3, 1, keys=["group_id"],
+                                          mean_name="m", std_name="s"), "m", "s")
+    assert [r[0] for r in odd] == [None, inf, inf, inf, inf, inf] and odd[1][1] is None and all(math.isnan(r[1]) for r in odd[2:])
+
+
+def test_daily_series_is_dealt_to_tasks_by_the_table_size(spark, tmp_path, monkeypatch):
+    """More input, more tasks: a task's lines stay the same; the rows are those of a plain grouping."""
+    from loadcast.sources import testviews as tv
+
+    lines = spark.range(5000).select((F.col("id") % 40).alias("l_suppkey"), F.expr("date_add(date'2024-01-01', int(id % 90))").alias("l_shipdate"),
+                                     (F.col("id") % 50 + 0.25).alias("l_quantity"), F.lit("x").alias("l_comment"))
+    lines.coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(tv, "TASK_BYTES", 16)
+    daily = tv.supplier_daily(spark, str(tmp_path))
+    assert daily.rdd.getNumPartitions() > 2 * spark.sparkContext.defaultParallelism
+    want = lines.groupBy("l_suppkey", "l_shipdate").agg(F.sum("l_quantity")).collect()
+    assert sorted(map(tuple, daily.collect())) == sorted(map(tuple, want))
+    assert sorted(map(tuple, tv.supplier_daily(spark, str(tmp_path), dealt=False).collect())) == sorted(map(tuple, want))
