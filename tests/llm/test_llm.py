@@ -179,6 +179,41 @@ def test_predictable_ids_are_small():
     assert len(coder.encode_block([1], [60000], np.tile(np.arange(20), 3000))) < 12000
 
 
+def test_block_bytes_stay():
+    """The bytes of blocks written before the steps were rewritten: skewed ids, a last lane with fewer ids."""
+    r = random.Random(4)
+    ids = np.array([int(r.paretovariate(0.6)) % 50257 for _ in range(70001)])
+    block = coder.encode_block([1], [len(ids)], ids)
+    assert (len(block), hashlib.sha256(block).hexdigest()[:16]) == (52733, "8a0870be142ef8ae")
+    assert (coder.decode_block(block)[2] == ids).all()
+
+
+def test_pieces_split_together_as_the_library_does():
+    lib = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    with open(P.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        tokenizer = coder.PieceTokenizer(f.read())
+    r = random.Random(8)
+    some = ["'", "s", "ve", "ll", "re", "r", "e", " ", "  ", "\n", "\t", "\x85", "\xa0", "\x1c", "é", "ª", "Z", "1", "½", "!", "_", "'s", " don't", "\x00"]
+    rare = ["日", "<|endoftext|>"]
+    texts = [None, "", *("".join(r.choice(some + rare * (k % 9 == 0)) for _ in range(r.randint(0, 14))) for k in range(900))]
+    got = [np.frombuffer(raw, "<u4").tolist() for raw in tokenizer.encode_all(texts)]
+    assert got == [lib.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert tokenizer.encode_all([]) == [] and tokenizer.encode_all([None]) == [b""]
+
+
+def test_pieces_met_again_are_kept(monkeypatch):
+    """A full cache drops the pieces that were not met again, not all of them."""
+    monkeypatch.setattr(coder, "CACHED_PIECES", 8)
+    with open(P.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        tokenizer = coder.PieceTokenizer(f.read())
+    asked, tokenize = [], tokenizer.pieces.tokenize
+    tokenizer.pieces.tokenize = lambda text: asked.append(text) or tokenize(text)
+    for k in range(40):
+        one = tokenizer.encode(f" word a{chr(97 + k % 26)}z{'x' * (k // 26)}")
+        assert one == tokenizer.encode_all([f" word a{chr(97 + k % 26)}z{'x' * (k // 26)}"])[0]
+    assert len(asked) == 41 and len(tokenizer.pieces) <= 8
+
+
 @pytest.mark.parametrize("block_ids", [64, 1 << 20])
 def test_files_round_trip(spark, docs, empty, block_ids):
     path = P.path("byte_bpe_50k.json")
