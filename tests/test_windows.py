@@ -320,3 +320,19 @@ def test_daily_series_is_dealt_to_tasks_by_the_table_size(spark, tmp_path, monke
     want = lines.groupBy("l_suppkey", "l_shipdate").agg(F.sum("l_quantity")).collect()
     assert sorted(map(tuple, daily.collect())) == sorted(map(tuple, want))
     assert sorted(map(tuple, tv.supplier_daily(spark, str(tmp_path), dealt=False).collect())) == sorted(map(tuple, want))
+
+
+@pytest.mark.parametrize("block_rows", [None, 400])
+def test_exact_moments_of_sums_whose_squares_exceed_a_bigint(spark, block_rows):
+    """Hourly sums of a large meter park: frame rows times squares, and squares themselves, pass 9.2e18. Exact by the definition."""
+    rnd = random.Random(13)
+    cents = [rnd.randint(15_000_000, 45_000_000) if h < 300 else rnd.randint(4_000_000_000, 6_000_000_000) for h in range(600)]
+    df = series(spark, [c / 100 for c in cents])
+    out = features.hourly_features(df, min_history_rows=0, scale=2, block_rows=block_rows)
+    got = by_time(out, "rolling_mean_168", "rolling_std_168")
+    assert len(got) == 600
+    for h, (mean, std) in enumerate(got):
+        frame = cents[max(0, h - 168):h]
+        n, s, q = len(frame), sum(frame), sum(c * c for c in frame)
+        assert mean == (s / (n * 100.0) if n else None)
+        assert std == (math.sqrt(float(n * q - s * s) / float(n * (n - 1))) / 100.0 if n > 1 else None)
